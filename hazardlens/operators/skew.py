@@ -1,0 +1,58 @@
+"""Joins that stay balanced when one key holds a large share of the rows."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+HOT_ROWS = 1_000_000
+HOT_KEYS = 1_000
+SPREAD = 64
+
+
+def hot_keys(
+    facts: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS, limit: int = HOT_KEYS
+) -> DataFrame:
+    """The most frequent keys that have at least ``min_rows`` rows.
+
+    At most ``limit`` rows, so it may be broadcast. A key that is left out holds
+    under ``1/limit`` of the rows and needs no splitting. The full ordering makes
+    every evaluation return the same keys.
+    """
+    return (
+        facts.groupBy(*keys)
+        .agg(F.count("*").alias("_n"))
+        .where(F.col("_n") >= min_rows)
+        .orderBy(F.desc("_n"), *keys)
+        .limit(limit)
+        .select(*keys, F.lit(True).alias("_hot"))
+    )
+
+
+def join_hot(
+    facts: DataFrame,
+    dim: DataFrame,
+    keys: Sequence[str],
+    how: str,
+    spread_by: Sequence[str],
+    min_rows: int = HOT_ROWS,
+    spread: int = SPREAD,
+) -> DataFrame:
+    """``facts.join(dim, keys, how)`` with the hot keys of ``facts`` split.
+
+    Rows of a hot key go to ``spread`` slots by a hash of ``spread_by`` and the
+    rows of ``dim`` with that key are repeated once per slot; every other key
+    stays in slot 0. ``dim`` should hold few rows per key. ``how`` is a join type
+    that never returns unmatched rows of ``dim``.
+    """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"join type {how!r} would repeat rows of the split side")
+    hot = F.broadcast(hot_keys(facts, keys, min_rows))
+    slot = F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread_by), F.lit(spread))).otherwise(0)
+    every_slot: Column = F.sequence(F.lit(0), F.lit(spread - 1))
+    slots = F.when(F.col("_hot"), every_slot).otherwise(F.array(F.lit(0)))
+    left = facts.join(hot, list(keys), "left").withColumn("_slot", slot.cast("int")).drop("_hot")
+    right = dim.join(hot, list(keys), "left").withColumn("_slot", F.explode(slots)).drop("_hot")
+    return left.join(right, [*keys, "_slot"], how).drop("_slot")
