@@ -134,3 +134,26 @@ def format_elapsed(seconds: Column) -> Column:
     hours, minutes, rest = F.floor(s / 3600), F.floor(s % 3600 / 60), s % 60
     short = F.concat(minutes.cast("string"), F.lit("m "), rest.cast("string"), F.lit("s"))
     return F.when(s >= 3600, F.concat(hours.cast("string"), F.lit("h "), short)).otherwise(short)
+
+
+def json_path(json: Column, path: str, default: str = "") -> Column:
+    """Value at a path of a JSON text, the default where the path leads nowhere."""
+    return F.coalesce(F.get_json_object(json, path), F.lit(default))
+
+
+def compact_json(**fields: Column) -> Column:
+    """Fields as compact JSON text; NULL fields are left out."""
+    return F.to_json(F.struct(*[value.alias(name) for name, value in fields.items()]))
+
+
+def epoch_millis(ts: Column) -> Column:
+    return F.unix_millis(ts.cast("timestamp"))
+
+
+def id_text(number: Column) -> Column:
+    return number.cast("string")
+
+
+def id_number(text: Column) -> Column:
+    """Id as a number, NULL where it is none."""
+    return text.try_cast("bigint")

@@ -29,7 +29,7 @@ def take_while(
     width: int = PAGE_CHUNK,
     levels: int = 2,
 ) -> DataFrame:
-    """Pages 1, 2, 3, … up to the first with ``stop`` set or the first gap.
+    """Pages 1, 2, 3, \u2026 up to the first with ``stop`` set or the first gap.
 
     ``page`` is unique within the keys. ``inclusive`` keeps the stop page itself.
     Pages are judged inside chunks of ``width`` pages. A chunk is reached when the
@@ -84,12 +84,20 @@ def search_pages_read(
 
 
 def running_new_ids(
-    ids: DataFrame, keys: Sequence[str] = ("category", "subcategory"), page: str = "page"
+    found: DataFrame,
+    fresh: DataFrame,
+    keys: Sequence[str] = ("category", "subcategory"),
+    page: str = "page",
 ) -> DataFrame:
     """New ids per page and their count up to and including that page.
 
-    ``ids`` carries ``is_new``; they are counted per page before any window runs.
+    ``found`` holds every sighting, ``fresh`` the ones that were new; both are
+    counted per page before any window runs.
     """
-    per_page = ids.groupBy(*keys, page).agg(F.count_if("is_new").alias("new_ids"))
-    totals = running_total(per_page, keys, page, "new_ids", "_before")
+    per_page = found.groupBy(*keys, page).agg(F.count("*").alias("ids_seen"))
+    fresh_per_page = fresh.groupBy(*keys, page).agg(F.count("*").alias("_new"))
+    counts = per_page.join(fresh_per_page, [*keys, page], "left").withColumn(
+        "new_ids", F.coalesce("_new", F.lit(0))
+    )
+    totals = running_total(counts.drop("_new"), keys, page, "new_ids", "_before")
     return totals.withColumn("new_so_far", F.col("_before") + F.col("new_ids")).drop("_before")

@@ -7,6 +7,7 @@ positions stay in the JVM.
 from __future__ import annotations
 
 import json
+import re
 import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -81,7 +82,7 @@ def ask_batches(
     every attempt failed.
     """
     attempts, wait = config.attempts, config.wait_seconds
-    fence = "`" * 3
+    around = re.compile(r"\A\s*(`{3}(json)?)?|(`{3})?\s*\Z")
 
     @F.pandas_udf("string")
     def ask(series_list: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -92,8 +93,7 @@ def ask_batches(
                 try:
                     response = model(prompt)
                     if response is not None:
-                        bare = response.strip().removeprefix(fence + "json").removeprefix(fence)
-                        json.loads(bare.removesuffix(fence))
+                        json.loads(around.sub("", response))
                     return response
                 except Exception:
                     if attempt + 1 < attempts:
