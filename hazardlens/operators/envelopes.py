@@ -33,8 +33,19 @@ _KEEP_CORRUPT = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
 def parse_envelope(json: Column, schema: str) -> Column:
     """Envelope as a struct; NULL for no text, text that is no JSON and an empty object."""
     parsed = F.from_json(json, schema, _KEEP_CORRUPT)
-    blank = json.isNull() | F.rlike(json, F.lit(r"\A\s*(\{\s*\})?\s*\z"))
-    return F.when(~blank, parsed)
+    short = F.octet_length(json) < 100
+    blank = short & F.rlike(json, F.lit(r"\A\s*(\{\s*\})?\s*\z"))
+    return F.when(json.isNotNull() & ~blank, parsed)
+
+
+def settle(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that later filters take as they are.
+
+    A filter on a projected column is moved below the projection and repeats its
+    expression, here the parsing of a whole response. It cannot pass a generator.
+    """
+    row = F.struct(*[value.alias(name) for name, value in columns.items()])
+    return df.select("*", F.inline(F.array(row)))
 
 
 def _is_missing(envelope: Column) -> Column:
@@ -79,13 +90,13 @@ def read_review_envelopes(pages: DataFrame) -> DataFrame:
     parsed = pages.withColumn(
         "_envelope", parse_envelope(unwrap_callback(F.col("body")), schemas.REVIEW_ENVELOPE)
     )
-    return (
-        parsed.withColumn("status", call_status(envelope))
-        .withColumn("texts", texts)
-        .withColumn("n_valid", F.size("texts"))
-        .withColumn("total_pages", total_pages(*[data[field] for field in PAGE_TOTAL_FIELDS]))
-        .drop("_envelope", "body")
+    settled = settle(
+        parsed,
+        status=call_status(envelope),
+        texts=texts,
+        total_pages=total_pages(*[data[field] for field in PAGE_TOTAL_FIELDS]),
     )
+    return settled.withColumn("n_valid", F.size("texts")).drop("_envelope", "body")
 
 
 def explode_reviews(pages: DataFrame) -> DataFrame:
@@ -108,13 +119,13 @@ def read_search_envelopes(pages: DataFrame) -> DataFrame:
     parsed = pages.withColumn(
         "_envelope", parse_envelope(F.col("body"), schemas.SEARCH_ENVELOPE)
     )
-    return (
-        parsed.withColumn("status", search_status(envelope))
-        .withColumn("ids", ids)
-        .withColumn("n_ids", F.size("ids"))
-        .withColumn("next_stream", first_text(result["pageInfo"]["streamId"], result["streamId"]))
-        .drop("_envelope", "body")
+    settled = settle(
+        parsed,
+        status=search_status(envelope),
+        ids=ids,
+        next_stream=first_text(result["pageInfo"]["streamId"], result["streamId"]),
     )
+    return settled.withColumn("n_ids", F.size("ids")).drop("_envelope", "body")
 
 
 def explode_ids(pages: DataFrame) -> DataFrame:
@@ -154,14 +165,14 @@ def read_tab_envelopes(tabs: DataFrame) -> DataFrame:
         ),
     )
     titles = F.transform(F.get(marked, F.lit(0))["data"]["items"], lambda item: item["title"])
-    return (
-        tabs.withColumn(
-            "_envelope", parse_envelope(F.col("body"), schemas.CATEGORY_ENVELOPE)
-        )
-        .withColumn("status", call_status(envelope))
-        .withColumn("subcategories", F.filter(titles, lambda t: F.coalesce(t, F.lit("")) != ""))
-        .drop("_envelope", "body")
+    parsed = tabs.withColumn(
+        "_envelope", parse_envelope(F.col("body"), schemas.CATEGORY_ENVELOPE)
     )
+    return settle(
+        parsed,
+        status=call_status(envelope),
+        subcategories=F.filter(titles, lambda t: F.coalesce(t, F.lit("")) != ""),
+    ).drop("_envelope", "body")
 
 
 def category_tree(tabs: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from hazardlens.operators.dedup import keep_first
 from hazardlens.operators.ordering import running_total
 
-PAGE_CHUNK = 1024
+PAGE_BITS = 10
 
 
 def first_usable_attempt(
@@ -26,15 +26,16 @@ def take_while(
     page: str,
     stop: str,
     inclusive: bool = True,
-    width: int = PAGE_CHUNK,
+    bits: int = PAGE_BITS,
     levels: int = 2,
 ) -> DataFrame:
-    """Pages 1, 2, 3, \u2026 up to the first with ``stop`` set or the first gap.
+    """Pages 1, 2, 3, ... up to the first with ``stop`` set or the first gap.
 
     ``page`` is unique within the keys. ``inclusive`` keeps the stop page itself.
-    Pages are judged inside chunks of ``width`` pages. A chunk is reached when the
-    chunks before it are complete and free of stops, which is the same question
-    asked about chunks, so no window sees more than ``width`` pages.
+    Pages are judged inside chunks of ``2 ** bits`` pages. A chunk is reached when
+    the chunks before it are complete and free of stops, which is the same question
+    asked about chunks, so no window below the top level sees more than one chunk.
+    ``pages`` is read twice, the second time without its wide columns: pass a table.
     """
     chunk = f"_chunk{levels}"
     groups = [*keys, chunk] if levels else list(keys)
@@ -42,8 +43,8 @@ def take_while(
     chunked = pages.where(number >= 1)
     first = F.lit(1)
     if levels:
-        chunked = chunked.withColumn(chunk, F.floor((number - 1) / width))
-        first = F.col(chunk) * width + 1
+        chunked = chunked.withColumn(chunk, F.shiftright(number - 1, bits))
+        first = F.shiftleft(F.col(chunk), bits) + 1
     ordered = Window.partitionBy(*groups).orderBy(page)
     earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
     stopped = F.coalesce(F.max(stop).over(earlier), F.lit(False))
@@ -56,10 +57,10 @@ def take_while(
     if not levels:
         return kept
     chunks = chunked.groupBy(*groups).agg(
-        (F.bool_or(stop) | (F.count("*") < width)).alias("_end")
+        (F.bool_or(stop) | (F.count("*") < 2**bits)).alias("_end")
     )
     numbered = chunks.withColumn("_number", F.col(chunk) + 1)
-    reached = take_while(numbered, keys, "_number", "_end", True, width, levels - 1)
+    reached = take_while(numbered, keys, "_number", "_end", True, bits, levels - 1)
     return kept.join(reached.select(*groups), groups).drop(chunk)
 
 

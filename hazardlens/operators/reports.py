@@ -45,7 +45,8 @@ def stacked(reports: dict[str, DataFrame], group: str, count: str = "n") -> Data
 
 def run_elapsed(log: DataFrame, run: str, ts: str) -> DataFrame:
     """Whole seconds between first and last log entry of each run, also as text."""
+    first, last = F.min(ts).cast("timestamp"), F.max(ts).cast("timestamp")
     spans = log.groupBy(run).agg(
-        F.floor((F.unix_micros(F.max(ts)) - F.unix_micros(F.min(ts))) / 1_000_000).alias("seconds")
+        F.floor((F.unix_micros(last) - F.unix_micros(first)) / 1_000_000).alias("seconds")
     )
     return spans.withColumn("elapsed", format_elapsed(F.col("seconds")))

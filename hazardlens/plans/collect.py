@@ -22,6 +22,23 @@ from hazardlens.operators.paging import (
     search_pages_read,
 )
 from hazardlens.operators.worklist import enrich_subcategory, negative_only
+from hazardlens.session import materialize
+
+
+def usable_review_pages(pages: DataFrame) -> DataFrame:
+    """First successful attempt of each landed review page, parsed and written once."""
+    parsed = read_review_envelopes(pages)
+    key = ["product_id", "star", "page"]
+    first = first_usable_attempt(parsed, key, ["attempt"], F.col("status") == "OK")
+    return materialize(first, "review_pages")
+
+
+def usable_search_pages(pages: DataFrame) -> DataFrame:
+    """First attempt of each landed search page that brought data, parsed and written once."""
+    parsed = read_search_envelopes(pages)
+    key = ["category", "subcategory", "page"]
+    first = first_usable_attempt(parsed, key, ["attempt"], F.col("status") == "DATA")
+    return materialize(first, "search_pages")
 
 
 def collect_reviews(pages: DataFrame, ids: DataFrame) -> DataFrame:
@@ -30,10 +47,7 @@ def collect_reviews(pages: DataFrame, ids: DataFrame) -> DataFrame:
     Pages meet the id list before the reviews are taken out of them, so the join
     moves pages and not reviews.
     """
-    parsed = read_review_envelopes(negative_only(pages))
-    usable = first_usable_attempt(
-        parsed, ["product_id", "star", "page"], ["attempt"], F.col("status") == "OK"
-    )
+    usable = usable_review_pages(negative_only(pages))
     listed = enrich_subcategory(review_pages_read(usable), ids, ["star", "page"])
     known = listed.where(F.col("product_ordinal").isNotNull())
     rows = explode_reviews(known).withColumn(
@@ -48,14 +62,7 @@ def collect_reviews(pages: DataFrame, ids: DataFrame) -> DataFrame:
 
 def collect_ids(pages: DataFrame, existing: DataFrame) -> DataFrame:
     """Existing ids followed by the new ones on the landed search pages."""
-    parsed = read_search_envelopes(pages)
-    usable = first_usable_attempt(
-        parsed,
-        ["category", "subcategory", "sub_ord", "page"],
-        ["attempt"],
-        F.col("status") == "DATA",
-    )
-    return merge_ids(explode_ids(search_pages_read(usable)), existing)
+    return merge_ids(explode_ids(search_pages_read(usable_search_pages(pages))), existing)
 
 
 def collect_tree(first_response: DataFrame, tabs: DataFrame) -> DataFrame:

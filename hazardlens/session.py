@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 RECOMMENDED = {
     "spark.sql.session.timeZone": "UTC",
@@ -41,3 +41,14 @@ def work_dir(spark: SparkSession, label: str) -> str:
         base = tempfile.mkdtemp(prefix="hazardlens-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/hazardlens/{label}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once to the working folder and read it back.
+
+    For results of costly steps that several later branches read, each with its own
+    columns. Lost executors do not bring the steps back.
+    """
+    path = work_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -6,7 +6,13 @@ from pyspark.sql import functions as F
 
 from hazardlens.functions.text import category_of_file, slug
 from hazardlens.operators import dedup, envelopes, ordering, paging, worklist
-from hazardlens.plans.collect import collect_ids, collect_reviews, collect_tree
+from hazardlens.plans.collect import (
+    collect_ids,
+    collect_reviews,
+    collect_tree,
+    usable_review_pages,
+    usable_search_pages,
+)
 from hazardlens.sources.files import explode_id_lists, explode_query_map
 from registry.base import (
     EXISTING_IDS_SQL,
@@ -78,13 +84,6 @@ n as (select *, row_number() over w as n,
 kept as (select * from n where n = page and stopped = 0)"""
 
 
-def _usable_pages(spark, sf_dir):
-    parsed = envelopes.read_review_envelopes(review_pages(spark, sf_dir))
-    return paging.first_usable_attempt(
-        parsed, ["product_id", "star", "page"], ["attempt"], F.col("status") == "OK"
-    )
-
-
 @query(
     "pagination_takewhile",
     f"""with {_READ_PAGES_SQL}
@@ -93,7 +92,7 @@ def _usable_pages(spark, sf_dir):
         from kept""",
 )
 def pagination_takewhile(spark, sf_dir):
-    kept = paging.review_pages_read(_usable_pages(spark, sf_dir))
+    kept = paging.review_pages_read(usable_review_pages(review_pages(spark, sf_dir)))
     return kept.select("product_id", "star", "page", "n_valid")
 
 
@@ -205,11 +204,7 @@ kept as (select * from n where n = page and stopped = 0)"""
         select category, subcategory, page, cast(n_ids as int) as n_ids from kept""",
 )
 def search_takewhile(spark, sf_dir):
-    parsed = envelopes.read_search_envelopes(search_pages(spark, sf_dir))
-    usable = paging.first_usable_attempt(
-        parsed, ["category", "subcategory", "page"], ["attempt"], F.col("status") == "DATA"
-    )
-    kept = paging.search_pages_read(usable)
+    kept = paging.search_pages_read(usable_search_pages(search_pages(spark, sf_dir)))
     return kept.select("category", "subcategory", "page", "n_ids")
 
 
