@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -80,16 +82,13 @@ def numbered_line(index: Column, text: Column) -> Column:
     return F.concat(index.cast("string"), F.lit(". "), text)
 
 
-def any_contains(texts: Column, part: str) -> Column:
-    """True when an element of the list contains ``part``; false for no list."""
-    return F.coalesce(F.exists(texts, lambda t: F.contains(t, F.lit(part))), F.lit(False))
+def any_contains(texts: Column, *parts: str) -> Column:
+    """True when an element of the list contains one of ``parts``; false for no list."""
 
+    def found(text: Column) -> Column:
+        return reduce(lambda a, b: a | b, [F.contains(text, F.lit(part)) for part in parts])
 
-def any_contains_one_of(texts: Column, parts: tuple[str, ...]) -> Column:
-    found = any_contains(texts, parts[0])
-    for part in parts[1:]:
-        found = found | any_contains(texts, part)
-    return found
+    return F.coalesce(F.exists(texts, found), F.lit(False))
 
 
 def review_key(category: Column, product_id: Column, text: Column) -> Column:

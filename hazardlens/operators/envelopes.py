@@ -18,7 +18,6 @@ from hazardlens.constants import (
 )
 from hazardlens.functions.text import (
     any_contains,
-    any_contains_one_of,
     first_list,
     first_text,
     is_usable,
@@ -61,7 +60,7 @@ def call_status(envelope: Column) -> Column:
     return (
         F.when(_is_missing(envelope), "NO_RESPONSE")
         .when(any_contains(envelope["ret"], SUCCESS_CODE), "OK")
-        .when(any_contains_one_of(envelope["ret"], TOKEN_CODES), "TOKEN_EXPIRED")
+        .when(any_contains(envelope["ret"], *TOKEN_CODES), "TOKEN_EXPIRED")
         .otherwise("ERROR")
     )
 
@@ -73,7 +72,7 @@ def search_status(envelope: Column) -> Column:
     return (
         F.when(_is_missing(envelope), "NO_RESPONSE")
         .when(refused | flagged, "BLOCKED")
-        .when(any_contains_one_of(envelope["ret"], AUTH_CODES), "AUTH")
+        .when(any_contains(envelope["ret"], *AUTH_CODES), "AUTH")
         .otherwise("DATA")
     )
 
@@ -109,11 +108,8 @@ def read_search_envelopes(pages: DataFrame) -> DataFrame:
     """Landed search pages with ``status``, ``ids``, ``n_ids`` and ``next_stream``."""
     envelope = F.col("_envelope")
     result = envelope["data"]["result"]
-    product_ids = F.transform(
-        result["mods"]["itemList"]["content"], lambda item: item["productId"]
-    )
     ids = F.coalesce(
-        F.filter(product_ids, lambda i: ~F.coalesce(i, F.lit("")).isin("", "0")),
+        F.filter(result["mods"]["itemList"]["content"]["productId"], lambda i: ~F.coalesce(i, F.lit("")).isin("", "0")),
         F.array().cast("array<string>"),
     )
     parsed = pages.withColumn(
@@ -164,7 +160,7 @@ def read_tab_envelopes(tabs: DataFrame) -> DataFrame:
             F.lit(False),
         ),
     )
-    titles = F.transform(F.get(marked, F.lit(0))["data"]["items"], lambda item: item["title"])
+    titles = F.get(marked, F.lit(0))["data"]["items"]["title"]
     parsed = tabs.withColumn(
         "_envelope", parse_envelope(F.col("body"), schemas.CATEGORY_ENVELOPE)
     )

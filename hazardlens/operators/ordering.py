@@ -2,9 +2,9 @@
 
 A category may hold a third of all rows, so a window over a whole category is
 not an option. Rows are numbered inside chunks of the order column; only the
-chunk sums are accumulated over the category, chunk by chunk of chunks. With a
-unique order column no window group is larger than ``2 ** bits`` rows on any
-level but the top one, which has ``range / 2 ** (bits * levels)`` rows.
+chunk sums are accumulated over the category, chunk by chunk of chunks. The order
+column is unique within its keys, so no window sees more than 2**16 rows: an int
+needs one level of chunks for that, a bigint three.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from hazardlens.constants import NEGATIVE_STARS
 
@@ -26,12 +27,14 @@ def running_total(
     value: str,
     out: str,
     bits: int = CHUNK_BITS,
-    levels: int = 2,
+    levels: int | None = None,
 ) -> DataFrame:
     """Add ``out``: the sum of ``value`` over earlier rows of the same keys.
 
     ``order`` is an integer column, unique within the keys; keys are not NULL.
     """
+    if levels is None:
+        levels = 3 if isinstance(df.schema[order].dataType, LongType) else 1
     chunk, base, within = f"_chunk{levels}", f"_base{levels}", f"_within{levels}"
     groups = [*keys, chunk] if levels else list(keys)
     window = (
@@ -57,7 +60,7 @@ def ordinal(
     order: Sequence[str],
     out: str = "ordinal",
     bits: int = CHUNK_BITS,
-    levels: int = 2,
+    levels: int | None = None,
 ) -> DataFrame:
     """Add ``out``: 1-based position within the keys in the order of integer columns.
 

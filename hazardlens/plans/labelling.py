@@ -32,7 +32,6 @@ def run_pass(
     make_scorer: Callable[[], Scorer],
     config: ScorerConfig,
     limit: int | None = None,
-    levels: int = 2,
 ) -> DataFrame:
     """Label what has no label yet, append it to ``labels_path`` and return all labels.
 

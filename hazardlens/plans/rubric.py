@@ -1,7 +1,8 @@
-"""Rule-based hazard scoring: word patterns evaluated inside Spark.
+"""Rule-based hazard scoring with a lexicon, evaluated inside Spark on whole texts.
 
-Patterns avoid ``\\b`` and look-around, so they mean the same in every regex
-dialect. They are matched on lower-cased whole texts.
+A text is split into lower-case words once. Words of the lexicon are looked up as a
+set, which costs far less per text than a regular expression with as many branches;
+only texts with at least one of them are looked at rule by rule.
 """
 
 from __future__ import annotations
@@ -14,114 +15,184 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+NOT_A_WORD = "[^a-z0-9]+"
+
+
+def terms(text: str) -> tuple[str, ...]:
+    """Comma-separated words and phrases."""
+    return tuple(term.strip() for term in text.split(","))
+
 
 @dataclass(frozen=True)
 class Rule:
-    """A class of review, hit when every pattern of ``all_of`` occurs as whole words."""
+    """A class of review, hit when a term of every group of ``all_of`` occurs."""
 
     class_id: int
     name: str
-    all_of: tuple[str, ...]
+    all_of: tuple[tuple[str, ...], ...]
 
 
 @dataclass(frozen=True)
 class Rubric:
-    """Hazard rules, benign rules, and phrases that are taken out before matching."""
+    """Hazard rules, benign rules, and phrases that are taken out before matching.
+
+    ``negations`` is a regular expression on words with single spaces between them.
+    """
 
     hazards: tuple[Rule, ...]
     benign: tuple[Rule, ...] = ()
     negations: str | None = None
 
 
-_FIRE = "fires?|flames?|smok(e|ed|es|ing|y)|sparks?|sparked|sparking|burn(s|ed|t|ing)?|explo(de|des|ded|ding|sion|sions)"
+_FIRE = terms(
+    "fire, fires, flame, flames, smoke, smoked, smokes, smoking, smoky, spark, sparks, sparked,"
+    " sparking, burn, burns, burned, burnt, burning, explode, explodes, exploded, exploding,"
+    " explosion"
+)
+_MELT = terms("melt, melts, melted, melting, deform, deforms, deformed, warp, warps, warped")
+_SMELL = terms("smell, smells, smelled, smelly, odor, odors, odour, odours, stink, stinks, stench")
 
 DEFAULT_RUBRIC = Rubric(
     hazards=(
         Rule(1, "personal injury", (
-            "pain|painful|bleed(s|ing)?|bled|blood|rash|rashes|allerg(y|ies|ic)|swelling|swollen"
-            "|swelled|poison(ed|ing|ous)?|injur(y|ies|ed)|blisters?|hurt my|cut my",
+            terms(
+                "pain, painful, bleed, bleeds, bleeding, bled, blood, rash, rashes, allergy,"
+                " allergies, allergic, swelling, swollen, swelled, poison, poisoned, poisoning,"
+                " poisonous, injury, injuries, injured, blister, blisters, hurt my, cut my"
+            ),
+        )),
+        Rule(2, "choking hazard for children", (
+            terms("choke, chokes, choked, choking, swallow, swallows, swallowed, swallowing"),
         )),
-        Rule(2, "choking hazard for children", ("chok(e|ed|es|ing)|swallow(ed|s|ing)?",)),
         Rule(3, "electric shock, short circuit, sparks, smoke, fire or explosion", (
-            _FIRE + "|electric(al)? shocks?|electrocut(e|ed|ion)|shocked me|short[- ]circuit(s|ed)?",
+            _FIRE
+            + terms(
+                "electric shock, electrical shock, shocked me, electrocuted, short circuit,"
+                " short circuited"
+            ),
         )),
         Rule(4, "dangerously hot to the touch", (
-            "(too|dangerously|extremely|so|very) hot to (the )?(touch|hold)|hot to the touch"
-            "|scald(s|ed|ing)?|burning hot",
-        )),
-        Rule(5, "melting with smoke, fire or burns", (
-            "melt(s|ed|ing)?|deform(s|ed|ing)?", _FIRE,
+            terms(
+                "hot to the touch, hot to touch, hot to hold, burning hot, scald, scalds, scalded,"
+                " scalding"
+            ),
         )),
+        Rule(5, "melting with smoke, fire or burns", (_MELT, _FIRE)),
         Rule(6, "toxic smell with symptoms", (
-            "smell(s|ed|ing|y)?|odou?rs?|fumes?|stink(s|ing)?|stench|chemical",
-            "headaches?|nausea|nauseous|dizzy|dizziness|throat|cough(s|ed|ing)?|vomit(ed|ing)?"
-            "|eyes? (irritation|burn|burning|watering)|irritated eyes",
+            _SMELL + terms("fumes, fume, chemical, chemicals"),
+            terms(
+                "headache, headaches, nausea, nauseous, dizzy, dizziness, throat, cough, coughing,"
+                " vomit, vomiting, eye irritation, eyes burn, eyes water, irritated eyes"
+            ),
         )),
         Rule(7, "unsafe for contact with food", (
-            "food|drinks?|drinking|cooking|baking",
-            "unsafe|not safe|toxic|rust(y|ed|ing|s)?|peel(s|ed|ing)?|flak(es|ed|ing)|poisonous",
+            terms("food, drink, drinks, drinking, cooking, baking"),
+            terms(
+                "unsafe, not safe, toxic, rust, rusty, rusted, rusting, peel, peels, peeled,"
+                " peeling, flakes, flaking, flaked"
+            ),
         )),
         Rule(8, "wrong voltage with failure or fire", (
-            "voltage|110 ?v|120 ?v|220 ?v|230 ?v|240 ?v",
-            _FIRE + "|fried|blew|blown|failed|failure|died",
+            terms("voltage, 110v, 120v, 220v, 230v, 240v"),
+            _FIRE + terms("fried, blew, blown, failed, failure, died"),
+        )),
+        Rule(9, "bursting in normal use", (
+            terms("burst, bursts, bursting, rupture, ruptured, ruptures, rupturing, shattered"),
         )),
-        Rule(9, "bursting in normal use", ("burst(s|ing)?|ruptur(e|es|ed|ing)|shattered",)),
     ),
     benign=(
         Rule(1, "poor quality, wrong or fake item, stopped working", (
-            "broken|broke|poor quality|bad quality|cheap|fake|wrong (item|product|size|color)"
-            "|stopped working|does ?n.?t work|not working",
+            terms(
+                "broken, broke, poor quality, bad quality, cheap, fake, wrong item, wrong product,"
+                " wrong size, wrong color, stopped working, not working, doesn t work, doesnt work"
+            ),
+        )),
+        Rule(2, "property damage only", (
+            terms("damaged my, ruined my, scratched my"),
+            terms("printer, phone, car, laptop"),
+        )),
+        Rule(3, "leak, refund or seller issue", (
+            terms(
+                "leak, leaks, leaked, leaking, refund, refunds, refunded, seller, return, returned"
+            ),
+        )),
+        Rule(4, "discomfort from fit or normal use", (
+            terms("uncomfortable, discomfort, too tight, too small, too big"),
         )),
-        Rule(2, "property damage only", ("(damaged|ruined|scratched) my (printer|phone|car|laptop)",)),
-        Rule(3, "leak, refund or seller issue", ("leak(s|ed|ing)?|refund(s|ed)?|seller|return(ed)?",)),
-        Rule(4, "discomfort from fit or normal use", ("uncomfortable|discomfort|too (tight|small|big)",)),
-        Rule(5, "fraud, misleading listing or malware", ("scam|fraud|mislead(s|ing)?|malware|virus",)),
-        Rule(6, "warm in normal use", ("warm",)),
-        Rule(7, "overheating without fire", ("overheat(s|ed|ing)?",)),
-        Rule(8, "melted or warped without fire", ("melt(s|ed|ing)?|warp(s|ed|ing)?",)),
-        Rule(9, "smell without symptoms", ("smell(s|ed|ing|y)?|odou?rs?|stink(s|ing)?|stench",)),
+        Rule(5, "fraud, misleading listing or malware", (
+            terms("scam, fraud, mislead, misleads, misleading, malware, virus"),
+        )),
+        Rule(6, "warm in normal use", (terms("warm"),)),
+        Rule(7, "overheating without fire", (
+            terms("overheat, overheats, overheated, overheating"),
+        )),
+        Rule(8, "melted or warped without fire", (_MELT,)),
+        Rule(9, "smell without symptoms", (_SMELL,)),
     ),
     negations=(
-        "(no|without|without any|not any) "
-        "(fire|smoke|flames?|sparks?|burns?|burning|explosion)"
-        "( (or|and|nor) (any )?(fire|smoke|flames?|sparks?|burns?|burning|explosion))*"
+        "(?:no|without|without any|not any) (?:fire|smoke|flames?|sparks?|burns?|explosion)"
+        "(?: (?:or|and|nor) (?:any )?(?:fire|smoke|flames?|sparks?|burns?|explosion))*"
     ),
 )
 
 
-def whole_words(pattern: str) -> str:
-    return f"(^|[^a-z])({pattern})([^a-z]|$)"
+def negation_pattern(rubric: Rubric) -> str:
+    return f"(?: (?:{rubric.negations}))+ "
 
 
-def _prepared(text: Column, rubric: Rubric) -> Column:
-    low = F.lower(text)
-    if rubric.negations is None:
-        return low
-    return F.regexp_replace(low, f"(^|[^a-z])({rubric.negations})", " ")
+def triggers(rules: tuple[Rule, ...]) -> tuple[str, ...]:
+    """Words of which every hit needs one: the first groups, phrases by their longest word."""
+    firsts = [term for rule in rules for term in rule.all_of[0]]
+    return tuple(dict.fromkeys(max(term.split(), key=len) for term in firsts))
 
 
-def _hits(low: Column, rule: Rule) -> Column:
-    found = [F.rlike(low, F.lit(whole_words(p))) for p in rule.all_of]
-    return reduce(lambda a, b: a & b, found)
+def _literals(words) -> Column:
+    return F.array(*[F.lit(word) for word in words])
 
 
-def _first_class(low: Column, rules: tuple[Rule, ...]) -> Column:
-    chosen = F.lit(0)
-    for rule in reversed(rules):
-        chosen = F.when(_hits(low, rule), rule.class_id).otherwise(chosen)
-    return chosen
+def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def hazard_class(text: Column, rubric: Rubric = DEFAULT_RUBRIC) -> Column:
-    """Id of the first hazard rule that is hit, 0 when none is.
+def _has_any(text: Column, group: tuple[str, ...]) -> Column:
+    words = [term for term in group if " " not in term]
+    phrases = [F.contains(text["spaced"], F.lit(f" {t} ")) for t in group if " " in t]
+    found = [F.arrays_overlap(text["words"], _literals(words))] if words else []
+    return reduce(lambda a, b: a | b, found + phrases)
+
+
+def _first_class(words: Column, rubric: Rubric, rules: tuple[Rule, ...]) -> Column:
+    spaced = F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" "))
+    if rubric.negations is not None:
+        spaced = F.regexp_replace(spaced, negation_pattern(rubric), " ")
+
+    def chosen(text: Column) -> Column:
+        result = F.lit(0)
+        for rule in reversed(rules):
+            hit = reduce(lambda a, b: a & b, [_has_any(text, group) for group in rule.all_of])
+            result = F.when(hit, rule.class_id).otherwise(result)
+        return result
+
+    def split_again(text: Column) -> Column:
+        both = F.struct(F.split(text, " +").alias("words"), text.alias("spaced"))
+        return _bind(both, chosen)
+
+    return _bind(spaced, split_again)
+
+
+def _judged(words: Column, rubric: Rubric, rules: tuple[Rule, ...]) -> Column:
+    candidate = F.arrays_overlap(words, _literals(triggers(rules)))
+    return F.when(candidate, _first_class(words, rubric, rules)).otherwise(0)
 
-    One pass over the raw text with the first patterns of all rules decides for
-    most reviews; only what it finds is looked at rule by rule.
-    """
-    any_word = whole_words("|".join(f"({r.all_of[0]})" for r in rubric.hazards))
-    candidate = F.rlike(F.lower(text), F.lit(any_word))
-    detailed = _first_class(_prepared(text, rubric), rubric.hazards)
-    return F.when(candidate, detailed).otherwise(0)
+
+def _words(text: Column) -> Column:
+    return F.split(F.lower(text), NOT_A_WORD)
+
+
+def hazard_class(text: Column, rubric: Rubric = DEFAULT_RUBRIC) -> Column:
+    """Id of the first hazard rule that is hit, 0 when none is."""
+    return _bind(_words(text), lambda words: _judged(words, rubric, rubric.hazards))
 
 
 def hazard_label(text: Column, rubric: Rubric = DEFAULT_RUBRIC) -> Column:
@@ -131,27 +202,32 @@ def hazard_label(text: Column, rubric: Rubric = DEFAULT_RUBRIC) -> Column:
 
 def benign_class(text: Column, rubric: Rubric = DEFAULT_RUBRIC) -> Column:
     """Id of the first benign rule, 0 for hazards and for reviews that hit none."""
-    low = F.lower(text)
-    return F.when(hazard_class(text, rubric) == 0, _first_class(low, rubric.benign)).otherwise(0)
+
+    def judge(words: Column) -> Column:
+        harmless = _judged(words, rubric, rubric.hazards) == 0
+        return F.when(harmless, _judged(words, rubric, rubric.benign)).otherwise(0)
+
+    return _bind(_words(text), judge)
 
 
 def python_scorer(rubric: Rubric = DEFAULT_RUBRIC) -> Callable[[], Callable[[list[str]], list[int]]]:
-    """The same rules as a scorer for ``score_batches``, made once per task."""
-    rules = [[whole_words(p) for p in rule.all_of] for rule in rubric.hazards]
-    negation = rubric.negations and f"(^|[^a-z])({rubric.negations})"
+    """The same hazard rules as a scorer for ``score_batches``, made once per task."""
+    rules = [rule.all_of for rule in rubric.hazards]
+    negation = rubric.negations and negation_pattern(rubric)
+    not_a_word = NOT_A_WORD
 
     def make() -> Callable[[list[str]], list[int]]:
-        compiled = [[re.compile(p) for p in rule] for rule in rules]
+        def label(text: str) -> int:
+            spaced = " " + re.sub(not_a_word, " ", text.lower()) + " "
+            spaced = re.sub(negation, " ", spaced) if negation else spaced
+            words = set(spaced.split())
+
+            def present(term: str) -> bool:
+                return f" {term} " in spaced if " " in term else term in words
 
-        def score(texts: list[str]) -> list[int]:
-            labels = []
-            for text in texts:
-                low = text.lower()
-                low = re.sub(negation, " ", low) if negation else low
-                labels.append(int(any(all(p.search(low) for p in rule) for rule in compiled)))
-            return labels
+            return int(any(all(any(map(present, group)) for group in rule) for rule in rules))
 
-        return score
+        return lambda texts: [label(text) for text in texts]
 
     return make
 

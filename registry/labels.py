@@ -9,12 +9,14 @@ from hazardlens.operators import batching, dedup, gates, merging, reports
 from hazardlens.plans.labelling import rule_cascade, run_cascade, run_pass
 from hazardlens.plans.rubric import (
     DEFAULT_RUBRIC,
+    NOT_A_WORD,
     Rubric,
     Rule,
     benign_class,
     hazard_class,
+    negation_pattern,
     python_scorer,
-    whole_words,
+    terms,
 )
 from hazardlens.plans.scoring import ScorerConfig, ask_batches, score_batches
 from hazardlens.session import materialize, work_dir
@@ -332,24 +334,26 @@ def merge_second_pass(spark, sf_dir):
 
 WORD_RUBRIC = Rubric(
     hazards=(
-        Rule(1, "licence talk", ("licen[sc]es?",)),
-        Rule(2, "hands", ("hand|hands",)),
-        Rule(3, "thin and short", ("thin", "is|the")),
+        Rule(1, "licence talk", (terms("license, licenses, licence, under the"),)),
+        Rule(2, "hands", (terms("hand, hands"),)),
+        Rule(3, "thin and short", (terms("thin"), terms("is, the"))),
     ),
-    negations="no (hand|hands)",
+    negations="(?:the|no) (?:hand|hands)",
 )
-STRICT_RUBRIC = Rubric(hazards=(Rule(1, "licence talk", ("licen[sc]es?",)),))
+STRICT_RUBRIC = Rubric(hazards=(Rule(1, "licence talk", (terms("license"),)),))
 
 
-def _rule_sql(text, rule):
-    return "(" + " and ".join(f"regexp_matches({text}, '{whole_words(p)}')" for p in rule.all_of) + ")"
+def _class_sql(rubric, column="review_text", rules=None):
+    """The classes by regular expressions on the words with single spaces between them."""
+    text = f"' ' || regexp_replace(lower({column}), '{NOT_A_WORD}', ' ', 'g') || ' '"
+    if rubric.negations:
+        text = f"regexp_replace({text}, '{negation_pattern(rubric)}', ' ', 'g')"
 
+    def hit(rule):
+        groups = [f"regexp_matches({text}, ' ({'|'.join(g)}) ')" for g in rule.all_of]
+        return " and ".join(groups)
 
-def _class_sql(rubric, column="review_text"):
-    text = f"lower({column})"
-    if rubric.negations:
-        text = f"regexp_replace({text}, '(^|[^a-z])({rubric.negations})', ' ', 'g')"
-    whens = " ".join(f"when {_rule_sql(text, r)} then {r.class_id}" for r in rubric.hazards)
+    whens = " ".join(f"when {hit(r)} then {r.class_id}" for r in rules or rubric.hazards)
     return f"cast(case {whens} else 0 end as int)"
 
 
@@ -426,7 +430,7 @@ BENIGN_PHRASES = (
     ("Bad odor.", 9),
     ("Caught fire, stopped working.", 0),
 )
-_BENIGN_CLASS_SQL = _class_sql(Rubric(hazards=DEFAULT_RUBRIC.benign), "said")
+_BENIGN_CLASS_SQL = _class_sql(DEFAULT_RUBRIC, "said", DEFAULT_RUBRIC.benign)
 
 
 @query(
