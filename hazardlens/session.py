@@ -34,12 +34,13 @@ def work_dir(spark: SparkSession, label: str) -> str:
 
     Only a local master may run without that setting; it gets a temporary folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="hazardlens-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="hazardlens-"))
+        base = context.getCheckpointDir()
     return f"{base.rstrip('/')}/hazardlens/{label}-{uuid.uuid4().hex}"
 
 
