@@ -85,6 +85,12 @@ def current_labels(labels: DataFrame, key: str = "review_key") -> DataFrame:
     return keep_first(given, [key], ["labelled_at", "label"]).select(key, "label")
 
 
+def label_state(labels: DataFrame, key: str = "review_key") -> DataFrame:
+    """One row per review that was ever written: its label, NULL when it only has gaps."""
+    order = [F.col("label").isNull(), "labelled_at", "label"]
+    return keep_first(labels.select(key, "label", "labelled_at"), [key], order).select(key, "label")
+
+
 def unlabelled(reviews: DataFrame, labels: DataFrame, key: str = "review_key") -> DataFrame:
     """Reviews without a label, found by key, so that failed batches are tried again."""
     done = labels.where(F.col("label").isNotNull()).select(key).distinct()

@@ -14,14 +14,14 @@ def complete_groups(
     reviews: DataFrame,
     group: Sequence[str] = ("category",),
     label: str = "label",
-    mode: str = "coverage",
+    mode: str = "nulls",
     attempted: str = "attempted",
 ) -> DataFrame:
     """Groups that may go on.
 
-    ``coverage`` asks for a label on every review. ``nulls`` looks only at rows
-    that were written to the label table (``attempted``), so a group that was cut
-    short passes when none of its written rows lacks a label.
+    ``nulls`` looks only at rows that were written to the label table
+    (``attempted``), so a group that was cut short passes when none of its written
+    rows lacks a label. ``coverage`` asks for a label on every review.
     """
     if mode == "coverage":
         rows = reviews
@@ -38,7 +38,7 @@ def gated_hazards(
     group: Sequence[str] = ("category",),
     label: str = "label",
     key: str = "review_key",
-    mode: str = "coverage",
+    mode: str = "nulls",
 ) -> DataFrame:
     """Reviews with label 1 from complete groups."""
     complete = complete_groups(reviews, group, label, mode)

@@ -13,14 +13,16 @@ from hazardlens.operators.batching import (
     assign_batches,
     current_labels,
     gather_batches,
+    label_state,
     unlabelled,
     zip_labels,
 )
 from hazardlens.operators.gates import gated_hazards
-from hazardlens.operators.merging import final_hazards, merge_passes, merged_label
+from hazardlens.operators.merging import final_hazards, merged_label
 from hazardlens.operators.ordering import first_per_group
 from hazardlens.plans.rubric import DEFAULT_RUBRIC, Rubric, hazard_label
 from hazardlens.plans.scoring import FIRST_PASS, SECOND_PASS, Scorer, ScorerConfig, score_batches
+from hazardlens.session import materialize
 from hazardlens.sources.files import read_optional
 from hazardlens.sources.writers import append_labels
 
@@ -33,11 +35,12 @@ def run_pass(
     config: ScorerConfig,
     limit: int | None = None,
 ) -> DataFrame:
-    """Label what has no label yet, append it to ``labels_path`` and return all labels.
+    """Label what has no label yet, append it to ``labels_path`` and return that table.
 
-    Labels are written once and read back: a scorer need not repeat itself. What a
-    failed batch left open is found by key on the next run. ``limit`` labels only
-    the first reviews of each category, for trial runs.
+    Labels are written once and read back: a scorer need not repeat itself. A batch
+    without an answer writes nothing, an answer that is too short leaves NULLs; both
+    are found by key on the next run. ``limit`` labels only the first reviews of each
+    category, for trial runs.
     """
     done = read_optional(spark, labels_path, schemas.LABELS)
     todo = unlabelled(reviews, done)
@@ -46,12 +49,12 @@ def run_pass(
     batches = gather_batches(
         assign_batches(todo, config.batch_size), max_chars=config.max_chars
     )
-    scored = zip_labels(score_batches(batches, make_scorer, config))
-    rows = scored.select(
+    answered = score_batches(batches, make_scorer, config).where(F.size("labels") > 0)
+    rows = zip_labels(answered).select(
         F.col("key").alias("review_key"), "label", F.current_timestamp().alias("labelled_at")
     )
     append_labels(rows, labels_path)
-    return current_labels(spark.read.schema(schemas.LABELS).parquet(labels_path))
+    return spark.read.schema(schemas.LABELS).parquet(labels_path)
 
 
 def run_cascade(
@@ -63,20 +66,25 @@ def run_cascade(
     first: ScorerConfig = FIRST_PASS,
     second: ScorerConfig = SECOND_PASS,
     policy: str = "union",
-    mode: str = "coverage",
+    mode: str = "nulls",
 ) -> DataFrame:
     """First scorer on all reviews, second on its hazards in complete categories, merged.
 
     ``reviews`` hold ``category``, ``arrival``, ``review_key`` and ``review_text``
     and are free of duplicate keys.
     """
-    labels1 = run_pass(spark, reviews, f"{folder}/{first.name}", make_first, first)
-    labelled = reviews.join(labels1, "review_key", "left").withColumn(
-        "attempted", F.col("label").isNotNull()
+    table1 = run_pass(spark, reviews, f"{folder}/{first.name}", make_first, first)
+    state = label_state(table1).withColumn("attempted", F.lit(True))
+    labelled = reviews.join(state, "review_key", "left").withColumn(
+        "attempted", F.coalesce("attempted", F.lit(False))
     )
-    hazards = gated_hazards(labelled, mode=mode).drop("label", "attempted")
-    labels2 = run_pass(spark, hazards, f"{folder}/{second.name}", make_second, second)
-    return final_hazards(merge_passes(hazards, labels1, labels2, policy))
+    gated = gated_hazards(labelled, mode=mode).drop("attempted")
+    hazards = materialize(gated.withColumnRenamed("label", PASS1_LABEL), "hazards")
+    table2 = run_pass(spark, hazards, f"{folder}/{second.name}", make_second, second)
+    second_labels = current_labels(table2).withColumnRenamed("label", PASS2_LABEL)
+    both = hazards.join(second_labels, "review_key", "left")
+    final = merged_label(F.col(PASS1_LABEL), F.col(PASS2_LABEL), policy)
+    return final_hazards(both.withColumn("hazard_final", final))
 
 
 def rule_cascade(

@@ -16,12 +16,12 @@ _CSV = {k: v for k, v in CSV_OPTIONS.items() if k != "multiLine"}
 
 
 def append_labels(labels: DataFrame, path: str) -> None:
-    """Append labels to the checkpoint table; rows without a label are not written."""
-    labels.where(F.col("label").isNotNull()).write.mode("append").parquet(path)
+    """Append labels to the checkpoint table, NULL where an answer was too short."""
+    labels.write.mode("append").parquet(path)
 
 
 def compact_labels(spark: SparkSession, path: str, target: str, key: str = "review_key") -> None:
-    """Rewrite the label checkpoint to ``target`` with one label per review."""
+    """Rewrite the label checkpoint to ``target``: one label per review, no gaps."""
     current_labels(spark.read.parquet(path), key).write.mode("overwrite").parquet(target)
 
 

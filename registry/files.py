@@ -142,9 +142,8 @@ def land_category_tabs(spark, sf_dir):
 
 @query(
     "append_labels",
-    """select doc_id, label from (
-         select doc_id, quality as label from labels union all
-         select doc_id, toxic from labels where toxic = 1)""",
+    """select doc_id, quality as label from labels union all
+       select doc_id, case when toxic = 1 then 1 else -1 end from labels""",
 )
 def append_labels(spark, sf_dir):
     path = work_dir(spark, "labels")
@@ -152,7 +151,9 @@ def append_labels(spark, sf_dir):
     only_hits = second.withColumn("label", F.when(F.col("label") == 1, 1))
     for labels in (pass_labels(spark, sf_dir, "quality"), only_hits):
         writers.append_labels(labels, path)
-    return spark.read.parquet(path).select("doc_id", "label")
+    return spark.read.parquet(path).select(
+        "doc_id", F.coalesce("label", F.lit(-1)).alias("label")
+    )
 
 
 @query("compact_labels", "select doc_id, quality as label from labels")

@@ -233,7 +233,7 @@ c as (select pair from g group by pair having count(label) = count(*))"""
 
 @query("complete_groups", f"with {_GROUPS_SQL} select pair from c")
 def complete_groups(spark, sf_dir):
-    return gates.complete_groups(_grouped(spark, sf_dir), ["pair"])
+    return gates.complete_groups(_grouped(spark, sf_dir), ["pair"], mode="coverage")
 
 
 @query(
@@ -262,7 +262,9 @@ def complete_groups_nulls(spark, sf_dir):
     f"with {_GROUPS_SQL} select doc_id, pair from g where label = 1 and pair in (select pair from c)",
 )
 def gated_hazards(spark, sf_dir):
-    hazards = gates.gated_hazards(_grouped(spark, sf_dir), ["pair"], key="doc_id")
+    hazards = gates.gated_hazards(
+        _grouped(spark, sf_dir), ["pair"], key="doc_id", mode="coverage"
+    )
     return hazards.select("doc_id", "pair")
 
 
@@ -503,7 +505,8 @@ def label_pass_resume(spark, sf_dir):
     path = work_dir(spark, "labels")
     earlier = raw.join(pass_labels(spark, sf_dir, "quality"), "doc_id")
     append_labels(earlier.select("review_key", "label", "labelled_at"), path)
-    labels = run_pass(spark, raw, path, python_scorer(WORD_RUBRIC), WHOLE_TEXTS)
+    table_ = run_pass(spark, raw, path, python_scorer(WORD_RUBRIC), WHOLE_TEXTS)
+    labels = batching.current_labels(table_)
     return raw.join(labels, "review_key").select("doc_id", "label")
 
 

@@ -80,7 +80,7 @@ def test_compaction_keeps_the_earliest_label(spark, tmp_path):
         "review_key", "label", F.timestamp_seconds("s").alias("labelled_at")
     )
     writers.append_labels(df, str(tmp_path / "labels"))
-    assert spark.read.parquet(str(tmp_path / "labels")).count() == 3
+    assert spark.read.parquet(str(tmp_path / "labels")).count() == 5
     writers.compact_labels(spark, str(tmp_path / "labels"), str(tmp_path / "small"))
     assert rows(spark.read.parquet(str(tmp_path / "small"))) == [("k1", 0), ("k2", 1)]
 
@@ -100,14 +100,13 @@ def test_short_answers_are_found_again_by_key(spark, tmp_path):
         return lambda texts: [0] * len(texts)
 
     first = run_pass(spark, raw, path, short, config)
-    assert first.count() == 78
+    assert first.count() == 80 and first.where("label is null").count() == 2
     left = batching.unlabelled(raw, first)
     assert rows(left, "review_text") == [("review 38",), ("review 39",)]
-    second = run_pass(spark, raw, path, zeros, config)
-    assert second.count() == 80
+    second = batching.current_labels(run_pass(spark, raw, path, zeros, config))
     assert rows(second.groupBy("label").count()) == [(0, 2), (1, 78)]
     third = run_pass(spark, raw, path, lambda: lambda texts: 1 / 0, config)
-    assert third.count() == 80
+    assert third.count() == 82
 
 
 def test_failing_batches_converge(spark, tmp_path):
@@ -191,22 +190,28 @@ def test_cascades_agree_with_each_other(spark, tmp_path):
 
 
 def test_cascade_skips_incomplete_categories(spark, tmp_path):
-    raw = reviews(spark, [("c", "1", "s", "fire", 0), ("d", "1", "s", "fire too", 1), ("d", "1", "s", "odd", 2)])
+    """In d the answer is too short, in e a whole batch has none."""
+    raw = reviews(spark, [
+        ("c", "1", "s", "fire", 0),
+        ("d", "1", "s", "fire too", 1), ("d", "1", "s", "odd", 2),
+        ("e", "1", "s", "fire as well", 3), ("e", "1", "s", "x", 4), ("e", "1", "s", "silent", 5),
+    ])
 
     def make():
         def score(texts):
-            if "odd" in texts:
-                return [1]
-            return [1] * len(texts)
+            return [] if "silent" in texts else [1] * (len(texts) - ("odd" in texts))
 
         return score
 
-    final = run_cascade(spark, raw, str(tmp_path / "once"), make, python_scorer())
-    assert rows(final, "category", "hazard_label_classified", "hazard_label_validated") == [("c", 1, 1)]
-    by_nulls = run_cascade(
-        spark, raw, str(tmp_path / "again"), make, python_scorer(), mode="nulls"
-    )
-    assert rows(by_nulls, "category") == [("c",), ("d",)]
+    def run(mode):
+        first = ScorerConfig("first_pass", 2)
+        folder = str(tmp_path / mode)
+        final = run_cascade(spark, raw, folder, make, python_scorer(), first, mode=mode)
+        columns = ("category", "hazard_label_classified", "hazard_label_validated")
+        return rows(final, *columns)
+
+    assert run("coverage") == [("c", 1, 1)]
+    assert run("nulls") == [("c", 1, 1), ("e", 1, 0), ("e", 1, 1)]
 
 
 # --- streams -----------------------------------------------------------------------------

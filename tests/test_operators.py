@@ -402,13 +402,20 @@ def test_zip_labels(spark, response, want):
 def test_gate(spark):
     data = [("a", 1, 1, True), ("a", 2, 0, True), ("b", 3, 1, True), ("b", 4, None, True), ("c", 5, 1, True), ("c", 6, None, False)]
     df = spark.createDataFrame(data, "category string, review_key int, label int, attempted boolean")
-    assert rows(gates.complete_groups(df)) == [("a",)]
+    assert rows(gates.complete_groups(df, mode="coverage")) == [("a",)]
     assert rows(gates.complete_groups(df, mode="nulls")) == [("a",), ("c",)]
     assert rows(gates.gated_hazards(df, mode="nulls"), "review_key") == [(1,), (5,)]
     with pytest.raises(ValueError):
         gates.complete_groups(df, mode="other")
 
 
+def test_label_state_keeps_gaps(spark):
+    data = [("a", None, 1), ("a", 1, 3), ("a", 0, 2), ("b", None, 1), ("b", None, 2)]
+    labels = spark.createDataFrame(data, "review_key string, label int, labelled_at int")
+    assert rows(batching.label_state(labels)) == [("a", 0), ("b", None)]
+    assert rows(batching.current_labels(labels)) == [("a", 0)]
+
+
 def test_merged_label(spark):
     df = spark.createDataFrame([(1, 0), (0, 1), (0, 0), (1, None), (None, None), (1, 1)], "a int, b int")
 
