@@ -97,16 +97,19 @@ def unlabelled(reviews: DataFrame, labels: DataFrame, key: str = "review_key") -
     return reviews.join(done, key, "left_anti")
 
 
+def batches_needed(rows: Column, size: int) -> Column:
+    return F.ceil(rows / size)
+
+
 def batch_progress(
-    batched: DataFrame, label: str = "label", keys: Sequence[str] = ("category",)
+    batched: DataFrame,
+    size: int = PASS1_BATCH,
+    label: str = "label",
+    keys: Sequence[str] = ("category",),
 ) -> DataFrame:
     """Rows labelled per batch, with the batch number and the number of batches."""
     per_batch = batched.groupBy(*keys, "batch_id").agg(
         F.count("*").alias("n"), F.count(label).alias("done")
     )
-    totals = per_batch.groupBy(*keys).agg(F.count("*").alias("batches"))
+    totals = per_batch.groupBy(*keys).agg(batches_needed(F.sum("n"), size).alias("batches"))
     return per_batch.join(totals, list(keys)).withColumn("batch_number", F.col("batch_id") + 1)
-
-
-def batches_needed(rows: Column, size: int) -> Column:
-    return F.ceil(rows / size)

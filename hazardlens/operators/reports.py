@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,17 +29,11 @@ def tree_volume(tree: DataFrame) -> DataFrame:
     return tree.select("category", F.size("subcategories").alias("subcategories"))
 
 
-def stacked(reports: dict[str, DataFrame], group: str, count: str = "n") -> DataFrame:
-    """Several counts per group as rows of ``metric``, ``group_name``, ``count``."""
-    parts = [
-        report.select(
-            F.lit(metric).alias("metric"),
-            F.col(group).cast("string").alias("group_name"),
-            F.col(metric).cast("bigint").alias(count),
-        )
-        for metric, report in reports.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+def stacked(report: DataFrame, group: str, count: str = "n") -> DataFrame:
+    """The counts of a report as rows of ``metric``, ``group_name``, ``count``."""
+    metrics = [F.col(c).cast("bigint").alias(c) for c in report.columns if c != group]
+    named = report.select(F.col(group).cast("string").alias("group_name"), *metrics)
+    return named.unpivot("group_name", named.columns[1:], "metric", count)
 
 
 def run_elapsed(log: DataFrame, run: str, ts: str) -> DataFrame:

@@ -48,7 +48,11 @@ def stream_merge(
     reviews = prepare(rows) if prepare else rows
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        merge_batch(batch.sparkSession, batch, batch_id, target, key)
+        batch.persist()
+        try:
+            merge_batch(batch.sparkSession, batch, batch_id, target, key)
+        finally:
+            batch.unpersist()
 
     query = (
         reviews.writeStream.foreachBatch(merge)

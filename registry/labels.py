@@ -565,8 +565,7 @@ def volume_report(spark, sf_dir):
         F.col("l_returnflag").alias("category"), F.col("l_partkey").alias("id")
     )
     ids = reports.id_volume(parts.distinct(), ["category"])
-    counted = {"reviews": volume, "products": volume, "labelled": volume, "ids": ids}
-    return reports.stacked(counted, "category")
+    return reports.stacked(volume, "category").unionByName(reports.stacked(ids, "category"))
 
 
 @query(
