@@ -74,7 +74,7 @@ def pass_labels(spark: SparkSession, sf_dir: str, column: str) -> DataFrame:
 
 PAGES_SQL = """
 select cast(conv_id as varchar) as product_id, cast(1 + conv_id % 5 as varchar) as star,
-       turn + 1 as page, 3 + conv_id % 5 as total_pages, text, role,
+       cast(turn + 1 as int) as page, cast(3 + conv_id % 5 as int) as total_pages, text, role,
        length(text) % 7 = 0 as failed, length(text) % 5 = 0 as blank,
        length(text) % 11 = 0 as dirty, length(text) % 3 = 0 as retried
 from conversations"""
