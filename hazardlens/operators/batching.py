@@ -12,6 +12,7 @@ from hazardlens.functions.answers import parse_labels
 from hazardlens.functions.text import numbered_line, truncate
 from hazardlens.operators.dedup import keep_first
 from hazardlens.operators.ordering import ordinal
+from hazardlens.operators.skew import join_hot
 
 
 def assign_batches(
@@ -112,4 +113,5 @@ def batch_progress(
         F.count("*").alias("n"), F.count(label).alias("done")
     )
     totals = per_batch.groupBy(*keys).agg(batches_needed(F.sum("n"), size).alias("batches"))
-    return per_batch.join(totals, list(keys)).withColumn("batch_number", F.col("batch_id") + 1)
+    joined = join_hot(per_batch, totals, list(keys), "inner", ["batch_id"])
+    return joined.withColumn("batch_number", F.col("batch_id") + 1)

@@ -137,24 +137,21 @@ from lineitem"""
 def search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     part, supp = F.col("l_partkey"), F.col("l_suppkey")
     kind = supp % 13
-    ids = F.array(part, F.lit(0), supp + 1_000_000)
-    items = F.transform(ids, lambda i: F.struct(i.alias("productId")))
-    content = F.when(part % 10 == 0, F.slice(items, 2, 1)).otherwise(items)
-    stream = F.concat(F.lit("s"), part.cast("string"))
-    result = F.struct(
-        F.struct(F.struct(content.alias("content")).alias("itemList")).alias("mods"),
-        F.struct(F.when(part % 2 == 0, stream).alias("streamId")).alias("pageInfo"),
-        F.lit("fallback").alias("streamId"),
-    )
     code = (
         F.when(kind == 0, "FAIL::RGV587").when(kind == 2, "FAIL_AUTH::x").otherwise("whatever")
     )
-    body = F.to_json(
-        F.struct(
-            F.array(code).alias("ret"),
-            F.when(kind == 1, 1).alias("x5step"),
-            F.struct(result.alias("result")).alias("data"),
-        )
+    flag = F.when(kind == 1, '"x5step":1,').otherwise("")
+    items = F.concat(
+        F.lit('{"productId":'), part.cast("string"), F.lit('},{"productId":0},{"productId":"'),
+        (supp + 1_000_000).cast("string"), F.lit('"}'),
+    )
+    content = F.when(part % 10 == 0, '{"productId":0}').otherwise(items)
+    stream = F.when(part % 2 == 0, F.concat(F.lit("s"), part.cast("string"))).otherwise("")
+    body = F.concat(
+        F.lit('{"ret":["'), code, F.lit('"],'), flag,
+        F.lit('"data":{"result":{"mods":{"itemList":{"content":['), content,
+        F.lit(']}},"pageInfo":{"streamId":"'), stream,
+        F.lit('"},"streamId":"fallback"}}}'),
     )
     return table(spark, sf_dir, "lineitem").select(
         F.concat(F.lit("C"), (F.col("l_orderkey") % 3).cast("string")).alias("category"),
