@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,14 +39,23 @@ def parse_envelope(json: Column, schema: str) -> Column:
     return F.when(json.isNotNull() & ~blank, parsed)
 
 
-def settle(df: DataFrame, **columns: Column) -> DataFrame:
-    """Add columns that later filters take as they are.
+def settle(
+    df: DataFrame, value: Column, columns: Callable[[Column], dict[str, Column]]
+) -> DataFrame:
+    """Add ``columns(value)``, with ``value`` computed once, for later filters to use as they are.
 
     A filter on a projected column is moved below the projection and repeats its
     expression, here the parsing of a whole response. It cannot pass a generator.
     """
-    row = F.struct(*[value.alias(name) for name, value in columns.items()])
-    return df.select("*", F.inline(F.array(row)))
+
+    def row(bound: Column) -> Column:
+        return F.struct(*[column.alias(name) for name, column in columns(bound).items()])
+
+    return df.select("*", F.inline(F.transform(F.array(value), row)))
+
+
+def _no_texts() -> Column:
+    return F.array().cast("array<string>")
 
 
 def _is_missing(envelope: Column) -> Column:
@@ -79,23 +90,22 @@ def search_status(envelope: Column) -> Column:
 
 def read_review_envelopes(pages: DataFrame) -> DataFrame:
     """Landed review pages with ``status``, ``texts`` (valid only), ``n_valid``, ``total_pages``."""
-    envelope = F.col("_envelope")
-    data = envelope["data"]
-    reviews = first_list(*[data[field] for field in REVIEW_LIST_FIELDS])
-    stripped = F.transform(
-        reviews, lambda r: strip(first_text(*[r[field] for field in REVIEW_TEXT_FIELDS]))
-    )
-    texts = F.coalesce(F.filter(stripped, is_usable), F.array().cast("array<string>"))
-    parsed = pages.withColumn(
-        "_envelope", parse_envelope(unwrap_callback(F.col("body")), schemas.REVIEW_ENVELOPE)
-    )
-    settled = settle(
-        parsed,
-        status=call_status(envelope),
-        texts=texts,
-        total_pages=total_pages(*[data[field] for field in PAGE_TOTAL_FIELDS]),
-    )
-    return settled.withColumn("n_valid", F.size("texts")).drop("_envelope", "body")
+
+    def text(review: Column) -> Column:
+        return strip(first_text(*[review[field] for field in REVIEW_TEXT_FIELDS]))
+
+    def columns(envelope: Column) -> dict[str, Column]:
+        data = envelope["data"]
+        reviews = first_list(*[data[field] for field in REVIEW_LIST_FIELDS])
+        return {
+            "status": call_status(envelope),
+            "texts": F.coalesce(F.filter(F.transform(reviews, text), is_usable), _no_texts()),
+            "total_pages": total_pages(*[data[field] for field in PAGE_TOTAL_FIELDS]),
+        }
+
+    envelope = parse_envelope(unwrap_callback(F.col("body")), schemas.REVIEW_ENVELOPE)
+    settled = settle(pages, envelope, columns)
+    return settled.withColumn("n_valid", F.size("texts")).drop("body")
 
 
 def explode_reviews(pages: DataFrame) -> DataFrame:
@@ -106,22 +116,22 @@ def explode_reviews(pages: DataFrame) -> DataFrame:
 
 def read_search_envelopes(pages: DataFrame) -> DataFrame:
     """Landed search pages with ``status``, ``ids``, ``n_ids`` and ``next_stream``."""
-    envelope = F.col("_envelope")
-    result = envelope["data"]["result"]
-    ids = F.coalesce(
-        F.filter(result["mods"]["itemList"]["content"]["productId"], lambda i: ~F.coalesce(i, F.lit("")).isin("", "0")),
-        F.array().cast("array<string>"),
-    )
-    parsed = pages.withColumn(
-        "_envelope", parse_envelope(F.col("body"), schemas.SEARCH_ENVELOPE)
-    )
-    settled = settle(
-        parsed,
-        status=search_status(envelope),
-        ids=ids,
-        next_stream=first_text(result["pageInfo"]["streamId"], result["streamId"]),
-    )
-    return settled.withColumn("n_ids", F.size("ids")).drop("_envelope", "body")
+
+    def is_id(product_id: Column) -> Column:
+        return ~F.coalesce(product_id, F.lit("")).isin("", "0")
+
+    def columns(envelope: Column) -> dict[str, Column]:
+        result = envelope["data"]["result"]
+        listed = result["mods"]["itemList"]["content"]["productId"]
+        return {
+            "status": search_status(envelope),
+            "ids": F.coalesce(F.filter(listed, is_id), _no_texts()),
+            "next_stream": first_text(result["pageInfo"]["streamId"], result["streamId"]),
+        }
+
+    envelope = parse_envelope(F.col("body"), schemas.SEARCH_ENVELOPE)
+    settled = settle(pages, envelope, columns)
+    return settled.withColumn("n_ids", F.size("ids")).drop("body")
 
 
 def explode_ids(pages: DataFrame) -> DataFrame:
@@ -152,23 +162,21 @@ def read_tab_envelopes(tabs: DataFrame) -> DataFrame:
 
     The first module whose first item id carries the mark is used and none after it.
     """
-    envelope = F.col("_envelope")
-    marked = F.filter(
-        envelope["data"]["data"]["modules"],
-        lambda m: F.coalesce(
-            F.contains(F.get(m["data"]["items"], F.lit(0))["id"], F.lit(SUBCATEGORY_MARK)),
-            F.lit(False),
-        ),
-    )
-    titles = F.get(marked, F.lit(0))["data"]["items"]["title"]
-    parsed = tabs.withColumn(
-        "_envelope", parse_envelope(F.col("body"), schemas.CATEGORY_ENVELOPE)
-    )
-    return settle(
-        parsed,
-        status=call_status(envelope),
-        subcategories=F.filter(titles, lambda t: F.coalesce(t, F.lit("")) != ""),
-    ).drop("_envelope", "body")
+
+    def is_marked(module: Column) -> Column:
+        first_id = F.get(module["data"]["items"], F.lit(0))["id"]
+        return F.coalesce(F.contains(first_id, F.lit(SUBCATEGORY_MARK)), F.lit(False))
+
+    def columns(envelope: Column) -> dict[str, Column]:
+        marked = F.filter(envelope["data"]["data"]["modules"], is_marked)
+        titles = F.get(marked, F.lit(0))["data"]["items"]["title"]
+        return {
+            "status": call_status(envelope),
+            "subcategories": F.filter(titles, lambda t: F.coalesce(t, F.lit("")) != ""),
+        }
+
+    envelope = parse_envelope(F.col("body"), schemas.CATEGORY_ENVELOPE)
+    return settle(tabs, envelope, columns).drop("body")
 
 
 def category_tree(tabs: DataFrame) -> DataFrame:
