@@ -21,8 +21,12 @@ def assign_batches(
     keys: Sequence[str] = ("category",),
     order: Sequence[str] = ("arrival",),
 ) -> DataFrame:
-    """Add ``batch_id`` (from 0) and ``idx`` (from 1) in order within the keys."""
-    numbered = ordinal(reviews, list(keys), list(order), "_position")
+    """Add ``batch_id`` (from 0) and ``idx`` (from 1) in order within the keys.
+
+    The order columns are integers; together they are unique within the keys.
+    """
+    filled = reviews.fillna("", subset=list(keys))
+    numbered = ordinal(filled, list(keys), list(order), "_position")
     before = F.col("_position") - 1
     return (
         numbered.withColumn("batch_id", F.floor(before / size))

@@ -64,6 +64,9 @@ def ordinal(
 ) -> DataFrame:
     """Add ``out``: 1-based position within the keys in the order of integer columns.
 
+    Neither keys nor order columns hold NULLs; the last order column is unique within
+    the others.
+
     With several order columns the rows before a value of the first column are
     counted first, then the rows are numbered inside that value.
     """

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hazardlens.functions.text import category_of_file, slug
-from hazardlens.operators import dedup, envelopes, ordering, paging, worklist
+from hazardlens.operators import dedup, envelopes, ordering, paging, reports, worklist
 from hazardlens.plans.collect import (
     collect_ids,
     collect_reviews,
@@ -545,9 +545,8 @@ def category_tree(spark, sf_dir):
     "collect_tree",
     f"""with t as (select category, list_sort([c_name, c_mktsegment]) as subs
                    from ({_TABS_SQL}) where not failed and not empty and not unmarked)
-        select category, cast(max(len(subs)) as int) as n from t group by category""",
+        select category, cast(max(len(subs)) as int) as subcategories from t group by category""",
 )
 def collect_tree_query(spark, sf_dir):
     tabs = _tab_responses(spark, sf_dir)
-    tree = collect_tree(tabs, tabs)
-    return tree.select("category", F.size("subcategories").alias("n"))
+    return reports.tree_volume(collect_tree(tabs, tabs))
