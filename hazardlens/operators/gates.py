@@ -39,11 +39,12 @@ def gated_hazards(
     label: str = "label",
     key: str = "review_key",
     mode: str = "nulls",
+    count_in: DataFrame | None = None,
 ) -> DataFrame:
-    """Reviews with label 1 from complete groups."""
+    """Reviews with label 1 from complete groups; for ``count_in`` see ``join_hot``."""
     complete = complete_groups(reviews, group, label, mode)
     hazards = reviews.where(F.col(label) == 1)
-    return join_hot(hazards, complete, list(group), "left_semi", [key])
+    return join_hot(hazards, complete, list(group), "left_semi", [key], count_in=count_in)
 
 
 def hazard_counts(hazards: DataFrame, group: str = "category") -> DataFrame:

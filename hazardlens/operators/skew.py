@@ -39,6 +39,7 @@ def join_hot(
     spread_by: Sequence[str],
     min_rows: int = HOT_ROWS,
     spread: int = SPREAD,
+    count_in: DataFrame | None = None,
 ) -> DataFrame:
     """``facts.join(dim, keys, how)`` with the hot keys of ``facts`` split.
 
@@ -46,10 +47,13 @@ def join_hot(
     rows of ``dim`` with that key are repeated once per slot; every other key
     stays in slot 0. ``dim`` should hold few rows per key. ``how`` is a join type
     that never returns unmatched rows of ``dim``.
+
+    Which keys are split does not change the result, so ``count_in`` may name a table
+    in which the keys are cheaper to count than in ``facts``.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"join type {how!r} would repeat rows of the split side")
-    hot = F.broadcast(hot_keys(facts, keys, min_rows))
+    hot = F.broadcast(hot_keys(facts if count_in is None else count_in, keys, min_rows))
     slot = F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread_by), F.lit(spread))).otherwise(0)
     every_slot: Column = F.sequence(F.lit(0), F.lit(spread - 1))
     slots = F.when(F.col("_hot"), every_slot).otherwise(F.array(F.lit(0)))

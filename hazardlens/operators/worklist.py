@@ -59,16 +59,24 @@ def query_lookup(work: DataFrame, query_map: DataFrame, spread_by: Sequence[str]
     return join_hot(work, queries, ["category", "subcategory"], "inner", spread_by)
 
 
-def enrich_subcategory(reviews: DataFrame, ids: DataFrame, spread_by: Sequence[str]) -> DataFrame:
+def enrich_subcategory(
+    reviews: DataFrame,
+    ids: DataFrame,
+    spread_by: Sequence[str],
+    count_in: DataFrame | None = None,
+) -> DataFrame:
     """Reviews with the category and subcategory their product was listed under.
 
     A product listed twice in a category counts once, by its first entry: the
     second listing brings the same texts again, which de-duplication drops.
     """
     listed = keep_first(ids, ["category", "id"], ["ordinal"]).select(
-        "category", F.col("id").alias("product_id"), "subcategory", F.col("ordinal").alias("product_ordinal")
+        "category",
+        F.col("id").alias("product_id"),
+        "subcategory",
+        F.col("ordinal").alias("product_ordinal"),
     )
-    joined = join_hot(reviews, listed, ["product_id"], "left", spread_by)
+    joined = join_hot(reviews, listed, ["product_id"], "left", spread_by, count_in=count_in)
     empty = F.lit("")
     return joined.withColumn("subcategory", F.coalesce("subcategory", empty)).withColumn(
         "category", F.coalesce("category", empty)

@@ -48,7 +48,7 @@ def collect_reviews(pages: DataFrame, ids: DataFrame) -> DataFrame:
     moves pages and not reviews.
     """
     usable = usable_review_pages(negative_only(pages))
-    listed = enrich_subcategory(review_pages_read(usable), ids, ["star", "page"])
+    listed = enrich_subcategory(review_pages_read(usable), ids, ["star", "page"], usable)
     known = listed.where(F.col("product_ordinal").isNotNull())
     rows = explode_reviews(known).withColumn(
         "arrival",

@@ -78,7 +78,7 @@ def run_cascade(
     labelled = reviews.join(state, "review_key", "left").withColumn(
         "attempted", F.coalesce("attempted", F.lit(False))
     )
-    gated = gated_hazards(labelled, mode=mode).drop("attempted")
+    gated = gated_hazards(labelled, mode=mode, count_in=reviews).drop("attempted")
     hazards = materialize(gated.withColumnRenamed("label", PASS1_LABEL), "hazards")
     table2 = run_pass(spark, hazards, f"{folder}/{second.name}", make_second, second)
     second_labels = current_labels(table2).withColumnRenamed("label", PASS2_LABEL)

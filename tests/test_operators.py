@@ -298,6 +298,9 @@ def test_join_hot_equals_join(spark, how):
     plain = facts.join(dim, ["k"], how)
     split = join_hot(facts, dim, ["k"], how, ["i"], min_rows=20, spread=4)
     assert rows(split, *plain.columns) == rows(plain)
+    other = facts.where("i < 40").unionByName(spark.createDataFrame([("k0", 0)] * 30, facts.schema))
+    counted = join_hot(facts, dim, ["k"], how, ["i"], min_rows=20, spread=4, count_in=other)
+    assert rows(counted, *plain.columns) == rows(plain)
 
 
 def test_join_hot_refuses_joins_that_repeat_the_split_side(spark):
