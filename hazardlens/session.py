@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,14 +31,14 @@ def build_session(name: str = "hazardlens", **conf: str) -> SparkSession:
 def work_dir(spark: SparkSession, label: str) -> str:
     """A new folder name under the cluster's shared ``spark.checkpoint.dir``.
 
-    Only a local master may run without that setting; it gets a temporary folder.
+    Only a local master may run without that setting; it uses a folder beside its warehouse.
     """
     context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="hazardlens-"))
+        context.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work")
         base = context.getCheckpointDir()
     return f"{base.rstrip('/')}/hazardlens/{label}-{uuid.uuid4().hex}"
 
