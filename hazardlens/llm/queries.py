@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from hazardlens.llm import bpe, exact
+from hazardlens.llm import bpe, exact, simhash, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,11 +30,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op3_host_reputation", urls.SQL)
+def host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
 @query("op5_exact_dedup", exact.SQL)
 def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.groups(table(spark, sf_dir, "documents")).drop("n_chars")
 
 
+@query("op7_simhash_links")
+def simhash_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.groups(table(spark, sf_dir, "documents"))
+    fingerprint = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
+    return found.select("doc_id", fingerprint, "component_id")
+
+
 @query("op9_bpe_round_trip")
 def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
