@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardlens.llm import bpe, exact, simhash, urls
+from hazardlens.llm import bpe, exact, fingerprints, simhash, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +30,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def hex64(name: str) -> Column:
+    """A long as 16 lowercase hex digits."""
+    return F.lpad(F.lower(F.hex(name)), 16, "0")
+
+
 @query("op3_host_reputation", urls.SQL)
 def host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
@@ -43,11 +48,25 @@ def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_simhash_links")
 def simhash_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.groups(table(spark, sf_dir, "documents"))
-    fingerprint = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
-    return found.select("doc_id", fingerprint, "component_id")
+    return found.select("doc_id", hex64("fp").alias("fingerprint"), "component_id")
 
 
 @query("op9_bpe_round_trip")
 def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return bpe.digests(table(spark, sf_dir, "documents"), path)
+
+
+@query("op10_fingerprints")
+def document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprints.with_edits(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        hex64("fp").alias("fingerprint"),
+        hex64("edited_fp").alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+        "n_near",
+    )
