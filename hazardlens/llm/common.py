@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructField, StructType
 
 SPACES = " \t\n\x0b\x0c\r"
+#: Characters of input that are worked on at a time; bounds memory only.
+CHUNK = 2_000_000
 
 
 def without(df: DataFrame, names: list[str]) -> DataFrame:
@@ -29,40 +32,53 @@ def add_columns(
     fields: list[StructField],
     make: Callable[[], Callable[..., list]],
 ) -> DataFrame:
-    """``df`` with columns computed in Arrow batches, one row at a time in memory.
+    """``df`` with columns computed from one row at a time.
 
-    ``make`` runs once per task and returns a function from the ``inputs`` of one row to
-    the values of ``fields``. Columns of those names are replaced. Rows go out in small
-    batches, so a task holds one batch of input and a few megabytes of output.
+    ``make`` runs once per task and returns a function from the ``inputs`` of a row to the
+    values of ``fields``. Columns of those names are replaced.
+    """
+
+    def make_rows():
+        call = make()
+        return lambda *columns: zip(*[call(*row) for row in zip(*columns, strict=True)], strict=True)
+
+    return add_columns_by_chunk(df, inputs, fields, make_rows)
+
+
+def add_columns_by_chunk(
+    df: DataFrame,
+    inputs: list[str],
+    fields: list[StructField],
+    make: Callable[[], Callable[..., Iterable[list]]],
+    chunk: int = CHUNK,
+) -> DataFrame:
+    """Like ``add_columns``, with a function from lists of values to one list per field.
+
+    It gets rows of about ``chunk`` characters at a time, one row at least, so a task holds
+    one Arrow batch of input and what it makes of a few million characters.
     """
     names = [f.name for f in fields]
-    source = df.select(*inputs) if set(inputs) & set(names) else df
-    if source is not df:
+    if {n.lower() for n in inputs} & {n.lower() for n in names}:
         raise ValueError("inputs and results must not share names")
     kept = without(df, names)
     schema = StructType([*kept.schema.fields, *fields])
+    types = [to_arrow_type(f.dataType) for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         call = make()
-        types = None
         for batch in batches:
-            if types is None:
-                from pyspark.sql.pandas.types import to_arrow_type
-
-                types = [to_arrow_type(f.dataType) for f in fields]
             columns = [batch.column(batch.schema.get_field_index(n)) for n in inputs]
-            start, size, out = 0, 0, [[] for _ in fields]
+            start, size, rows = 0, 0, []
             for i in range(batch.num_rows):
-                values = call(*[c[i].as_py() for c in columns])
-                for slot, value in zip(out, values, strict=True):
-                    slot.append(value)
-                    size += len(value) if isinstance(value, (str, bytes)) else 8
-                if size > 4_000_000 or i + 1 == batch.num_rows:
+                rows.append([c[i].as_py() for c in columns])
+                size += sum(len(v) for v in rows[-1] if isinstance(v, (str, bytes)))
+                if size > chunk or i + 1 == batch.num_rows:
+                    values = call(*map(list, zip(*rows, strict=True)))
+                    made = [pa.array(list(v), t) for v, t in zip(values, types, strict=True)]
                     part = batch.slice(start, i + 1 - start)
-                    arrays = [pa.array(v, t) for v, t in zip(out, types, strict=True)]
                     yield pa.RecordBatch.from_arrays(
-                        [*part.columns, *arrays], names=[*batch.schema.names, *names]
+                        [*part.columns, *made], names=[*batch.schema.names, *names]
                     )
-                    start, size, out = i + 1, 0, [[] for _ in fields]
+                    start, size, rows = i + 1, 0, []
 
     return kept.mapInArrow(run, schema)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardlens.llm import bpe, exact, fingerprints, simhash, urls
+from hazardlens.llm import bpe, exact, fingerprints, language, simhash, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,6 +45,11 @@ def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.groups(table(spark, sf_dir, "documents")).drop("n_chars")
 
 
+@query("op6_language")
+def document_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predict(table(spark, sf_dir, "documents"))
+
+
 @query("op7_simhash_links")
 def simhash_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.groups(table(spark, sf_dir, "documents"))
