@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardlens.llm import bpe, exact, fingerprints, language, simhash, urls
+from hazardlens.llm import bpe, exact, fingerprints, language, mixing, privacy, simhash, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,11 +35,21 @@ def hex64(name: str) -> Column:
     return F.lpad(F.lower(F.hex(name)), 16, "0")
 
 
+@query("op2_source_mix", mixing.sql())
+def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(table(spark, sf_dir, "documents"))
+
+
 @query("op3_host_reputation", urls.SQL)
 def host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
 
 
+@query("op4_personal_data")
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return privacy.report(table(spark, sf_dir, "documents"))
+
+
 @query("op5_exact_dedup", exact.SQL)
 def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.groups(table(spark, sf_dir, "documents")).drop("n_chars")
