@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardlens.llm import bpe, exact, fingerprints, language, mixing, privacy, simhash, urls
+from hazardlens.llm import bpe, exact, fingerprints, language, mixing, privacy, simhash, templates, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,6 +66,12 @@ def simhash_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex64("fp").alias("fingerprint"), "component_id")
 
 
+@query("op8_main_text")
+def main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return templates.extract(pages).select("page_id", "url", "text", "n_chars")
+
+
 @query("op9_bpe_round_trip")
 def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
