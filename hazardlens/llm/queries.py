@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardlens.llm import bpe, exact, fingerprints, language, mixing, privacy, simhash, templates, urls
+from hazardlens.llm import bpe, exact, fingerprints, language, mixing, privacy, simhash, suffixes, templates, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +35,11 @@ def hex64(name: str) -> Column:
     return F.lpad(F.lower(F.hex(name)), 16, "0")
 
 
+@query("op1_repeated_strings")
+def repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.report(table(spark, sf_dir, "documents"))
+
+
 @query("op2_source_mix", mixing.sql())
 def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
