@@ -21,6 +21,12 @@ def without(df: DataFrame, names: list[str]) -> DataFrame:
     return df.select(*[df[f"`{c}`"] for c in df.columns if c.lower() not in taken])
 
 
+def packed(df: DataFrame, *needed: str | Column) -> DataFrame:
+    """All columns of ``df`` as the struct ``row``, beside the ``needed`` ones, so that no name of an
+    operator can clash with one of the table; ``select("row.*")`` gives the table back."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *needed)
+
+
 def whole_text(name: str = "text") -> Column:
     """The text as it is; null counts as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

@@ -13,7 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hazardlens.llm.common import SPACES, whole_text, without
+from hazardlens.llm.common import SPACES, packed, whole_text
 from hazardlens.session import materialize
 
 BLOCK_BYTES = 4096
@@ -155,25 +155,19 @@ def groups(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    keys = ["_d", "_text", "_chars"]
-    stay = groups(docs, block_bytes).where("kept").select(
-        F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("_d"),
-        F.col("text_sha256").alias("_text"),
-        F.col("n_chars").alias("_chars"),
-    )
+    """The rows of ``docs`` that stay, with all their columns. Of rows with the same doc_id and
+    text, the one whose further columns sort first as JSON stays."""
+    keys = ["id", "text_sha256", "n_chars"]
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("id")
+    stay = groups(docs, block_bytes).where("kept").select(name, "text_sha256", "n_chars")
     text = whole_text()
-    keyed = without(docs, keys).select(
-        "*",
-        F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("_d"),
-        F.sha2(normalised(text).cast("binary"), 256).alias("_text"),
-        F.length(text).cast("long").alias("_chars"),
-    )
+    digest = F.sha2(normalised(text).cast("binary"), 256).alias("text_sha256")
+    keyed = packed(docs, name, digest, F.length(text).cast("long").alias("n_chars"))
     found = keyed.join(stay, keys, "left_semi")
-    others = [c for c in docs.columns if c.lower() not in ("text", "doc_id")]
-    tie = F.to_json(F.struct(*[F.col(f"`{c}`") for c in others])) if others else F.lit(1)
-    first = F.row_number().over(Window.partitionBy(*keys).orderBy(tie, "text"))
-    return found.withColumn("_rn", first).where("_rn = 1").drop("_rn", *keys)
+    others = [F.col(f"row.`{c}`") for c in docs.columns if c.lower() != "text"]
+    order = [F.to_json(F.struct(*others)), F.col("row.text")]
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return found.withColumn("place", first).where("place = 1").select("row.*")
 
 
 SQL = r"""

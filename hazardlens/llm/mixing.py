@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hazardlens.llm.common import whole_text, without
+from hazardlens.llm.common import packed, whole_text, without
 from hazardlens.session import materialize
 
 DIMS = ["source", "lang", "topic"]
@@ -147,7 +147,8 @@ def report(docs: DataFrame, targets: Targets | None = None) -> DataFrame:
 
 def keep_sampled(docs: DataFrame, targets: Targets | None = None) -> DataFrame:
     """The rows of ``docs`` that are drawn, with their own columns."""
-    return mixed(docs, targets or Targets()).where("sampled").select(*docs.columns)
+    own = packed(docs, "doc_id", "text", "lang", "source")
+    return mixed(own, targets or Targets()).where("sampled").select("row.*")
 
 
 def sql(targets: Targets | None = None) -> str:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField
 
-from hazardlens.llm.common import add_columns, without
+from hazardlens.llm.common import add_columns, packed
 from hazardlens.llm.components import components
 from hazardlens.session import materialize
 
@@ -114,19 +114,20 @@ def groups(
 
 def keep_one(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
     """The rows of ``docs`` that stay, one per component, with all their columns: the one
-    with the smallest doc_id, nulls last, then the smallest text."""
-    keyed = fingerprints(without(docs, ["fp"]), words)
-    nodes = materialize(keyed.groupBy("fp").agg(F.min("doc_id").alias("least")), "fp")
+    with the smallest doc_id, nulls last, then the smallest fingerprint, text and further columns."""
+    keyed = fingerprints(packed(docs, "doc_id", "text"), words).drop("text")
+    nodes = keyed.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    nodes = materialize(nodes, "fp")
     roots = components(links(nodes, radius))
     rooted = nodes.join(roots, F.col("fp") == F.col("node"), "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("_root")
+        "fp", "least", F.coalesce("root", "fp").alias("root")
     )
     order = [F.col("least").asc_nulls_last(), "fp"]
-    first = F.row_number().over(Window.partitionBy("_root").orderBy(*order))
-    stay = rooted.withColumn("_rn", first).where("_rn = 1").select("fp", "least")
-    same = F.col("d.fp").eqNullSafe(F.col("s.fp")) & F.col("d.doc_id").eqNullSafe(F.col("s.least"))
+    first = F.row_number().over(Window.partitionBy("root").orderBy(*order))
+    stay = rooted.withColumn("place", first).where("place = 1").select("fp", "least")
+    same = (F.col("d.fp") == F.col("s.fp")) & F.col("d.doc_id").eqNullSafe(F.col("s.least"))
     found = keyed.alias("d").join(stay.alias("s"), same, "left_semi")
-    others = [c for c in docs.columns if c.lower() not in ("text", "doc_id")]
-    tie = F.to_json(F.struct(*[F.col(f"`{c}`") for c in others])) if others else F.lit(1)
-    only = F.row_number().over(Window.partitionBy("fp", "doc_id").orderBy("text", tie))
-    return found.withColumn("_rn", only).where("_rn = 1").drop("_rn", "fp").select(*docs.columns)
+    others = [F.col(f"row.`{c}`") for c in docs.columns if c.lower() != "text"]
+    order = [F.col("row.text"), F.to_json(F.struct(*others))]
+    only = F.row_number().over(Window.partitionBy("fp", "doc_id").orderBy(*order))
+    return found.withColumn("place", only).where("place = 1").select("row.*")
