@@ -118,9 +118,10 @@ def rates(docs: DataFrame, targets: Targets) -> DataFrame:
 def mixed(docs: DataFrame, targets: Targets) -> DataFrame:
     """``docs`` with ``topic``, ``n_tokens``, ``weight``, ``p`` and ``sampled``.
 
-    Null sources and languages count as ``unknown``, null texts as empty. Texts without a
-    token have no weight and are not drawn. Rows that repeat stay and are drawn alike; columns named
-    like the results are replaced. An empty table gives no rows.
+    Null sources and languages count as ``unknown``, null texts as empty. Texts without a token
+    are drawn like the others of their cell; a cell without any token has weight and p zero and
+    is not drawn. Rows that repeat stay and are drawn alike; columns named like the results are
+    replaced. An empty table gives no rows.
     """
     results = ["topic", "n_tokens", "weight", "p", "sampled"]
     own = described(without(docs, [*results, "_source", "_lang", "_topic", "_n"]))
