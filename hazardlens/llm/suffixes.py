@@ -223,7 +223,9 @@ def repeats(docs: DataFrame, length: int = LENGTH, block_bytes: int = BLOCK_BYTE
     ``docs`` has ``d``, which tells rows apart, ``doc_id`` and ``text``, not null. Spans may touch or overlap.
     """
     found = materialize(_segments(docs, length), "segments")
+    # Written, so that the join below deals out both sides anew and Spark can split hot anchors.
     again = found.groupBy("anchor").agg(F.count("*").alias("_n")).where("_n > 1").select("anchor")
+    again = materialize(again, "again")
     kept = materialize(found.join(again, "anchor", "left_semi"), "repeated")
     pairs = kept.groupBy("anchor", "seg").agg(
         F.count("*").alias("n"), F.min(F.struct("d", "pos")).alias("_at")
@@ -271,7 +273,8 @@ def strip(docs: DataFrame, length: int = LENGTH, block_bytes: int = BLOCK_BYTES,
     results = ["kept", "n_bytes", "n_removed", "n_spans"]
     base = without(docs, [*results, "d", "spans"])
     keyed = base.withColumn("d", row_key(base))
-    texts = keyed.select("d", "doc_id", whole_text().alias("text"))
+    # Both joins below ask for the same rows and columns by ``d``, so the texts travel once.
+    texts = keyed.select("d", "doc_id", whole_text().alias("text")).where("d is not null")
     spans = repeats(texts, length, block_bytes, hot)
     plain = base.columns == ["doc_id", "text"]
     joined = (texts if plain else keyed).join(spans, "d", "left")
