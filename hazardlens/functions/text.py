@@ -29,7 +29,7 @@ def first_text(*texts: Column) -> Column:
 
 
 def first_list(*lists: Column) -> Column:
-    """First list that has elements, else NULL."""
+    """First list that has elements, else NULL; for lists that are typed already."""
     return F.coalesce(*[F.when(F.size(c) > 0, c) for c in lists])
 
 
@@ -43,8 +43,8 @@ def is_usable(text: Column) -> Column:
 
 
 def total_pages(*totals: Column) -> Column:
-    """First total that is a number other than zero, else 1."""
-    numbers = [F.nullif(t.try_cast("int"), F.lit(0)) for t in totals]
+    """First total that is a number other than zero, else 1; a fraction is cut off."""
+    numbers = [F.nullif(F.floor(t.try_cast("double")).cast("int"), F.lit(0)) for t in totals]
     return F.coalesce(*numbers, F.lit(1))
 
 

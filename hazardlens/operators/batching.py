@@ -7,26 +7,28 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hazardlens.constants import MAX_REVIEW_CHARS, PASS1_BATCH
+from hazardlens.constants import PASS1_BATCH
 from hazardlens.functions.answers import parse_labels
 from hazardlens.functions.text import numbered_line, truncate
 from hazardlens.operators.dedup import keep_first
-from hazardlens.operators.ordering import ordinal
-from hazardlens.operators.skew import join_hot
+from hazardlens.operators.ordering import arrival_order, null_safe, ordinal
+from hazardlens.session import materialize
 
 
 def assign_batches(
     reviews: DataFrame,
     size: int = PASS1_BATCH,
     keys: Sequence[str] = ("category",),
-    order: Sequence[str] = ("arrival",),
+    order: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add ``batch_id`` (from 0) and ``idx`` (from 1) in order within the keys.
 
-    The order columns are integers; together they are unique within the keys.
+    The order is that of arrival (see ``arrival_order``) unless columns are given; they are
+    unique within the keys. NULL keys count as empty, NULL order values come last.
     """
     filled = reviews.fillna("", subset=list(keys))
-    numbered = ordinal(filled, list(keys), list(order), "_position")
+    by = arrival_order(reviews) if order is None else list(order)
+    numbered = ordinal(filled, list(keys), by, "_position")
     before = F.col("_position") - 1
     return (
         numbered.withColumn("batch_id", F.floor(before / size))
@@ -52,9 +54,9 @@ def batch_prompts(
     batched: DataFrame,
     keys: Sequence[str] = ("category",),
     text: str = "review_text",
-    max_chars: int | None = MAX_REVIEW_CHARS,
+    max_chars: int | None = None,
 ) -> DataFrame:
-    """One row per batch: its reviews as numbered lines."""
+    """One row per batch: its reviews as numbered lines, whole unless ``max_chars`` cuts them."""
     body = F.col(text) if max_chars is None else truncate(F.col(text), max_chars)
     lines = batched.select(*keys, "batch_id", "idx", numbered_line(F.col("idx"), body).alias("line"))
     prompt = F.expr("listagg(line, '\\n') within group (order by idx)")
@@ -116,6 +118,7 @@ def batch_progress(
     per_batch = batched.groupBy(*keys, "batch_id").agg(
         F.count("*").alias("n"), F.count(label).alias("done")
     )
+    per_batch = materialize(per_batch, "progress")
     totals = per_batch.groupBy(*keys).agg(batches_needed(F.sum("n"), size).alias("batches"))
-    joined = join_hot(per_batch, totals, list(keys), "inner", ["batch_id"])
-    return joined.withColumn("batch_number", F.col("batch_id") + 1)
+    joined = per_batch.alias("l").join(totals.alias("r"), null_safe("l", "r", keys))
+    return joined.select("l.*", "r.batches", (F.col("batch_id") + 1).alias("batch_number"))

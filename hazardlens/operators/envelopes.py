@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hazardlens import schemas
 from hazardlens.constants import (
     AUTH_CODES,
     BLOCK_CODE,
@@ -20,7 +19,6 @@ from hazardlens.constants import (
 )
 from hazardlens.functions.text import (
     any_contains,
-    first_list,
     first_text,
     is_usable,
     strip,
@@ -28,15 +26,31 @@ from hazardlens.functions.text import (
     unwrap_callback,
 )
 
-_KEEP_CORRUPT = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+# JSON texts of the values that count as missing.
+_FALSE = ("null", '""', "0", "0.0", "false", "[]", "{}")
 
 
-def parse_envelope(json: Column, schema: str) -> Column:
-    """Envelope as a struct; NULL for no text, text that is no JSON and an empty object."""
-    parsed = F.from_json(json, schema, _KEEP_CORRUPT)
-    short = F.octet_length(json) < 100
-    blank = short & F.rlike(json, F.lit(r"\A\s*(\{\s*\})?\s*\z"))
-    return F.when(json.isNotNull() & ~blank, parsed)
+def parse_envelope(json: Column) -> Column:
+    """Envelope as a VARIANT, so that one odd field leaves the others readable; NULL for no
+    text, text that is no JSON and values that count as missing, an empty object among them."""
+    given = F.transform(F.array(F.try_parse_json(json)), lambda v: F.when(is_given(v), v))
+    return F.get(given, F.lit(0))
+
+
+def is_given(value: Column) -> Column:
+    """Whether a JSON value is there and neither null, false, zero nor empty."""
+    return ~F.coalesce(F.to_json(value), F.lit("null")).isin(*_FALSE)
+
+
+def part(value: Column, path: str, kind: str = "variant") -> Column:
+    """What is at the path, NULL where it leads nowhere or the type does not fit."""
+    return F.try_variant_get(value, f"$.{path}", kind)
+
+
+def first_given(value: Column, *paths: str) -> Column:
+    """The first part that is given, NULL if none is."""
+    parts = [part(value, p) for p in paths]
+    return F.coalesce(*[F.when(is_given(p), p) for p in parts])
 
 
 def settle(
@@ -58,32 +72,28 @@ def _no_texts() -> Column:
     return F.array().cast("array<string>")
 
 
-def _is_missing(envelope: Column) -> Column:
-    return envelope.isNull() | envelope["_corrupt"].isNotNull()
-
-
-def _is_truthy(text: Column) -> Column:
-    return ~F.coalesce(text, F.lit("")).isin("", "0", "false", "[]", "{}")
+def _codes(envelope: Column) -> Column:
+    return part(envelope, "ret", "array<string>")
 
 
 def call_status(envelope: Column) -> Column:
     """Status of a review or category response; success is tested before the token codes."""
     return (
-        F.when(_is_missing(envelope), "NO_RESPONSE")
-        .when(any_contains(envelope["ret"], SUCCESS_CODE), "OK")
-        .when(any_contains(envelope["ret"], *TOKEN_CODES), "TOKEN_EXPIRED")
+        F.when(envelope.isNull(), "NO_RESPONSE")
+        .when(any_contains(_codes(envelope), SUCCESS_CODE), "OK")
+        .when(any_contains(_codes(envelope), *TOKEN_CODES), "TOKEN_EXPIRED")
         .otherwise("ERROR")
     )
 
 
 def search_status(envelope: Column) -> Column:
     """Status of a search response, which has no success code: what is not refused is data."""
-    refused = any_contains(envelope["ret"], BLOCK_CODE)
-    flagged = _is_truthy(envelope["x5step"]) | _is_truthy(envelope["rgv587_flag"])
+    refused = any_contains(_codes(envelope), BLOCK_CODE)
+    flagged = is_given(part(envelope, "x5step")) | is_given(part(envelope, "rgv587_flag"))
     return (
-        F.when(_is_missing(envelope), "NO_RESPONSE")
+        F.when(envelope.isNull(), "NO_RESPONSE")
         .when(refused | flagged, "BLOCKED")
-        .when(any_contains(envelope["ret"], *AUTH_CODES), "AUTH")
+        .when(any_contains(_codes(envelope), *AUTH_CODES), "AUTH")
         .otherwise("DATA")
     )
 
@@ -92,18 +102,21 @@ def read_review_envelopes(pages: DataFrame) -> DataFrame:
     """Landed review pages with ``status``, ``texts`` (valid only), ``n_valid``, ``total_pages``."""
 
     def text(review: Column) -> Column:
-        return strip(first_text(*[review[field] for field in REVIEW_TEXT_FIELDS]))
+        return strip(F.coalesce(first_given(review, *REVIEW_TEXT_FIELDS).cast("string"), F.lit("")))
 
     def columns(envelope: Column) -> dict[str, Column]:
-        data = envelope["data"]
-        reviews = first_list(*[data[field] for field in REVIEW_LIST_FIELDS])
+        data = part(envelope, "data")
+        listed = first_given(data, *REVIEW_LIST_FIELDS)
+        reviews = F.try_variant_get(listed, "$", "array<variant>")
         return {
             "status": call_status(envelope),
             "texts": F.coalesce(F.filter(F.transform(reviews, text), is_usable), _no_texts()),
-            "total_pages": total_pages(*[data[field] for field in PAGE_TOTAL_FIELDS]),
+            "total_pages": total_pages(
+                *[F.when(is_given(part(data, f)), part(data, f, "string")) for f in PAGE_TOTAL_FIELDS]
+            ),
         }
 
-    envelope = parse_envelope(unwrap_callback(F.col("body")), schemas.REVIEW_ENVELOPE)
+    envelope = parse_envelope(unwrap_callback(F.col("body")))
     settled = settle(pages, envelope, columns)
     return settled.withColumn("n_valid", F.size("texts")).drop("body")
 
@@ -121,15 +134,17 @@ def read_search_envelopes(pages: DataFrame) -> DataFrame:
         return ~F.coalesce(product_id, F.lit("")).isin("", "0")
 
     def columns(envelope: Column) -> dict[str, Column]:
-        result = envelope["data"]["result"]
-        listed = result["mods"]["itemList"]["content"]["productId"]
+        result = part(envelope, "data.result")
+        listed = part(result, "mods.itemList.content", "array<variant>")
+        ids = F.transform(listed, lambda item: part(item, "productId", "string"))
+        streams = [part(result, p, "string") for p in ("pageInfo.streamId", "streamId")]
         return {
             "status": search_status(envelope),
-            "ids": F.coalesce(F.filter(listed, is_id), _no_texts()),
-            "next_stream": first_text(result["pageInfo"]["streamId"], result["streamId"]),
+            "ids": F.coalesce(F.filter(ids, is_id), _no_texts()),
+            "next_stream": first_text(*streams),
         }
 
-    envelope = parse_envelope(F.col("body"), schemas.SEARCH_ENVELOPE)
+    envelope = parse_envelope(F.col("body"))
     settled = settle(pages, envelope, columns)
     return settled.withColumn("n_ids", F.size("ids")).drop("body")
 
@@ -140,17 +155,31 @@ def explode_ids(pages: DataFrame) -> DataFrame:
     return pages.select(*kept, F.posexplode("ids").alias("pos", "id"))
 
 
+def _items(value: Column, path: str) -> Column:
+    """Items with text id and title; what is no object has neither."""
+    listed = part(value, path, "array<variant>")
+    return F.transform(
+        listed,
+        lambda item: F.struct(
+            part(item, "id", "string").alias("id"), part(item, "title", "string").alias("title")
+        ),
+    )
+
+
 def tab_list(tabs: DataFrame) -> DataFrame:
-    """Tabs that any one response lists: ``tab_pos``, ``tab_id``, ``tab_title``.
+    """Tabs that a first response lists: ``tab_pos``, ``tab_id``, ``tab_title``.
 
-    A tab without an id is left out; a missing title falls back to the id, an
-    empty one stays.
+    A response that failed lists none. A tab without an id is left out; a missing title falls
+    back to the id, an empty one stays.
     """
-    envelope = F.col("_envelope")
-    items = envelope["data"]["data"]["categoryTabs"]["items"]
-    listed = tabs.select(
-        parse_envelope(F.col("body"), schemas.CATEGORY_ENVELOPE).alias("_envelope")
-    ).select(F.posexplode(items).alias("tab_pos", "item"))
+
+    def columns(envelope: Column) -> dict[str, Column]:
+        items = _items(envelope, "data.data.categoryTabs.items")
+        return {"_tabs": F.when(call_status(envelope) == "OK", items)}
+
+    listed = settle(tabs.select("body"), parse_envelope(F.col("body")), columns).select(
+        F.posexplode("_tabs").alias("tab_pos", "item")
+    )
     tab_id = F.col("item")["id"]
     return listed.where(F.coalesce(tab_id, F.lit("")) != "").select(
         "tab_pos", tab_id.alias("tab_id"), F.coalesce(F.col("item")["title"], tab_id).alias("tab_title")
@@ -163,19 +192,20 @@ def read_tab_envelopes(tabs: DataFrame) -> DataFrame:
     The first module whose first item id carries the mark is used and none after it.
     """
 
-    def is_marked(module: Column) -> Column:
-        first_id = F.get(module["data"]["items"], F.lit(0))["id"]
+    def is_marked(items: Column) -> Column:
+        first_id = F.get(items, F.lit(0))["id"]
         return F.coalesce(F.contains(first_id, F.lit(SUBCATEGORY_MARK)), F.lit(False))
 
     def columns(envelope: Column) -> dict[str, Column]:
-        marked = F.filter(envelope["data"]["data"]["modules"], is_marked)
-        titles = F.get(marked, F.lit(0))["data"]["items"]["title"]
+        modules = part(envelope, "data.data.modules", "array<variant>")
+        marked = F.filter(F.transform(modules, lambda m: _items(m, "data.items")), is_marked)
+        titles = F.get(marked, F.lit(0))["title"]
         return {
             "status": call_status(envelope),
             "subcategories": F.filter(titles, lambda t: F.coalesce(t, F.lit("")) != ""),
         }
 
-    envelope = parse_envelope(F.col("body"), schemas.CATEGORY_ENVELOPE)
+    envelope = parse_envelope(F.col("body"))
     return settle(tabs, envelope, columns).drop("body")
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazardlens.operators.skew import join_hot
+from hazardlens.operators.ordering import null_safe
 
 
 def complete_groups(
@@ -37,14 +37,12 @@ def gated_hazards(
     reviews: DataFrame,
     group: Sequence[str] = ("category",),
     label: str = "label",
-    key: str = "review_key",
     mode: str = "nulls",
-    count_in: DataFrame | None = None,
 ) -> DataFrame:
-    """Reviews with label 1 from complete groups; for ``count_in`` see ``join_hot``."""
+    """Reviews with label 1 from complete groups; NULL is a group like any other."""
     complete = complete_groups(reviews, group, label, mode)
     hazards = reviews.where(F.col(label) == 1)
-    return join_hot(hazards, complete, list(group), "left_semi", [key], count_in=count_in)
+    return hazards.alias("l").join(complete.alias("r"), null_safe("l", "r", group), "left_semi")
 
 
 def hazard_counts(hazards: DataFrame, group: str = "category") -> DataFrame:

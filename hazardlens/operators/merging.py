@@ -45,5 +45,5 @@ def merge_passes(
 
 
 def final_hazards(merged: DataFrame) -> DataFrame:
-    """Confirmed hazards, one row per text, the earliest arrival first."""
+    """Confirmed hazards, one row per text, the first in the order of the files."""
     return dedup_text(merged.where(F.col("hazard_final") == 1))

@@ -1,98 +1,95 @@
 """Ordinals, running totals, slices and sorts without one task per group.
 
-A category may hold a third of all rows, so a window over a whole category is
-not an option. Rows are numbered inside chunks of the order column; only the
-chunk sums are accumulated over the category, chunk by chunk of chunks. The order
-column is unique within its keys, so no window sees more than 2**16 rows: an int
-needs one level of chunks for that, a bigint three.
+A category may hold a third of all rows, so a window over a whole category is not an
+option. Rows are dealt out by ranges of keys and order and written once, whole; a range
+holds few categories, and a category lies in few ranges. What a range adds to a category is
+known after one pass over narrow columns, so that no window sees more than one row per range
+and category.
+
+Keys and order columns may be NULL: NULL keys are a group, NULL order values come last.
+Order columns can be of any type that sorts, structs included.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
 
-from hazardlens.constants import NEGATIVE_STARS
+from hazardlens.session import materialize
 
-CHUNK_BITS = 16
 
+def null_safe(left: str, right: str, keys: Sequence[str]) -> Column:
+    """Join condition between two aliases that lets NULL keys meet."""
+    same = [F.col(f"{left}.`{k}`").eqNullSafe(F.col(f"{right}.`{k}`")) for k in keys]
+    return reduce(lambda a, b: a & b, same, F.lit(True))
 
-def running_total(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: str,
-    value: str,
-    out: str,
-    bits: int = CHUNK_BITS,
-    levels: int | None = None,
+
+def in_order(columns: Sequence[str]) -> list[Column]:
+    return [F.col(c).asc_nulls_last() for c in columns]
+
+
+def arrival_order(reviews: DataFrame) -> list[str]:
+    """What tells earlier reviews of a category from later ones: ``arrival``, after the rank
+    or batch that merging added, within which alone it is unique."""
+    return [c for c in ("source_rank", "batch") if c in reviews.columns] + ["arrival"]
+
+
+def _ranged(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``df`` sorted in ranges of keys and order, with ``_place``: the range in the upper bits
+    and the row's place in it in the lower 33."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by = [*keys, *in_order(order)]
+    ranged = df.repartitionByRange(parts, *by).sortWithinPartitions(*by)
+    return materialize(ranged.withColumn("_place", F.monotonically_increasing_id()), "ranged")
+
+
+def _earlier_ranges(parts: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """``_base``: the sum of ``value`` over earlier ranges of the same keys."""
+    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    return parts.withColumn("_base", F.coalesce(F.sum(value).over(earlier), F.lit(0)))
+
+
+
+def ordinal(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "ordinal"
 ) -> DataFrame:
-    """Add ``out``: the sum of ``value`` over earlier rows of the same keys.
-
-    ``order`` is an integer column, unique within the keys; keys are not NULL.
-    """
-    if levels is None:
-        levels = 3 if isinstance(df.schema[order].dataType, LongType) else 1
-    chunk, base, within = f"_chunk{levels}", f"_base{levels}", f"_within{levels}"
-    groups = [*keys, chunk] if levels else list(keys)
-    window = (
-        Window.partitionBy(*groups).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    """Add ``out``: 1-based position within the keys, in the order of the columns."""
+    place = _ranged(df, keys, order)
+    of = F.shiftright("_place", 33)
+    parts = place.groupBy(*keys, of.alias("_range")).agg(
+        F.count("*").alias("_n"), F.min("_place").alias("_first")
     )
-    before = F.coalesce(F.sum(value).over(window), F.lit(0)).cast("bigint")
-    if not levels:
-        return df.withColumn(out, before)
-    chunked = df.withColumn(chunk, F.shiftright(F.col(order).cast("bigint"), bits))
-    sums = chunked.groupBy(*groups).agg(F.sum(value).alias("_sum"))
-    bases = running_total(sums, keys, chunk, "_sum", base, bits, levels - 1).drop("_sum")
-    return (
-        chunked.withColumn(within, before)
-        .join(bases, groups)
-        .withColumn(out, F.col(within) + F.col(base))
-        .drop(chunk, base, within)
+    bases = _earlier_ranges(parts, keys, "_n")
+    joined = place.withColumn("_range", of).alias("l").join(
+        bases.alias("r"), null_safe("l", "r", [*keys, "_range"])
     )
+    position = F.col("_place") - F.col("_first") + F.col("_base") + 1
+    return joined.select(*[f"l.`{c}`" for c in df.columns], position.alias(out))
 
 
-def ordinal(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    out: str = "ordinal",
-    bits: int = CHUNK_BITS,
-    levels: int | None = None,
+def running_total(
+    df: DataFrame, keys: Sequence[str], order: str, value: str, out: str
 ) -> DataFrame:
-    """Add ``out``: 1-based position within the keys in the order of integer columns.
-
-    Neither keys nor order columns hold NULLs; the last order column is unique within
-    the others.
-
-    With several order columns the rows before a value of the first column are
-    counted first, then the rows are numbered inside that value.
-    """
-    first, *rest = order
-    if not rest:
-        ones = df.withColumn("_one", F.lit(1))
-        numbered = running_total(ones, keys, first, "_one", "_before", bits, levels)
-        return numbered.withColumn(out, F.col("_before") + 1).drop("_one", "_before")
-    inner = f"_inside{len(rest)}"
-    counts = df.groupBy(*keys, first).agg(F.count("*").alias("_n"))
-    offsets = running_total(counts, keys, first, "_n", "_offset", bits, levels).drop("_n")
-    inside = ordinal(df, [*keys, first], rest, inner, bits, levels)
-    # The offsets hold one row per value of the first column, so a hot value
-    # meets a single row; its own rows are spread over the chunks of the next.
-    chunked = inside.withColumn("_part", F.shiftright(F.col(inner), bits))
-    parts = chunked.select(*keys, first, "_part").distinct().join(offsets, [*keys, first])
-    return (
-        chunked.join(parts, [*keys, first, "_part"])
-        .withColumn(out, F.col("_offset") + F.col(inner))
-        .drop("_part", "_offset", inner)
+    """Add ``out``: the sum of ``value`` over earlier rows of the same keys."""
+    place = _ranged(df, keys, [order]).withColumn("_range", F.shiftright("_place", 33))
+    earlier = (
+        Window.partitionBy(*keys, "_range").orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
     )
+    within = place.withColumn("_within", F.coalesce(F.sum(value).over(earlier), F.lit(0)))
+    sums = place.groupBy(*keys, "_range").agg(F.sum(value).alias("_sum"))
+    joined = within.alias("l").join(
+        _earlier_ranges(sums, keys, "_sum").alias("r"), null_safe("l", "r", [*keys, "_range"])
+    )
+    total = (F.col("_within") + F.col("_base")).cast("bigint")
+    return joined.select(*[f"l.`{c}`" for c in df.columns], total.alias(out))
 
 
 def first_per_group(df: DataFrame, keys: Sequence[str], order: str, n: int) -> DataFrame:
     """First ``n`` rows of each group; each task passes on at most ``n`` rows per group."""
-    window = Window.partitionBy(*keys).orderBy(order)
+    window = Window.partitionBy(*keys).orderBy(*in_order([order]))
     return df.withColumn("_rn", F.row_number().over(window)).where(F.col("_rn") <= n).drop("_rn")
 
 
@@ -101,25 +98,11 @@ def skip_per_group(df: DataFrame, keys: Sequence[str], order: str, n: int) -> Da
     return ordinal(df, keys, [order], "_position").where(F.col("_position") > n).drop("_position")
 
 
-def sort_by_numeric_id(df: DataFrame, id_column: str = "product_id", tie: str = "arrival"):
-    """Total order by the id as a number; ``tie`` also splits the rows of one id."""
-    return df.orderBy(F.col(id_column).try_cast("decimal(38,0)"), tie)
-
+def numeric_id(column: str = "product_id") -> Column:
+    """The id as a number that sorts, NULL where it is none."""
+    return F.col(column).try_cast("decimal(38,0)")
 
-def page_arrival(product: Column, star: Column, page: Column, pos: Column) -> Column:
-    """One long that orders reviews by product ordinal, star, page and position.
 
-    Holds 2**30 products, 2**20 pages and 2**12 reviews per page; more is an error.
-    """
-    fits = (
-        product.between(0, 2**30 - 1) & page.between(0, 2**20 - 1) & pos.between(0, 2**12 - 1)
-    )
-    second_star = F.when(star == NEGATIVE_STARS[0], 0).otherwise(1)
-    packed = (
-        product.cast("bigint") * 2**33
-        + second_star.cast("bigint") * 2**32
-        + page.cast("bigint") * 2**12
-        + pos.cast("bigint")
-    )
-    error = F.raise_error(F.lit("page_arrival: product, page or position out of range"))
-    return F.when(fits, packed).otherwise(error.cast("bigint"))
+def sort_by_numeric_id(df: DataFrame, id_column: str = "product_id", tie: Sequence[str] = ("arrival",)):
+    """Total order by the id as a number, ids that are none last; ``tie`` also splits the rows of one id."""
+    return df.orderBy(numeric_id(id_column).asc_nulls_last(), F.col(id_column).asc_nulls_last(), *in_order(tie))

@@ -14,10 +14,20 @@ PAGE_BITS = 10
 
 
 def first_usable_attempt(
-    attempts: DataFrame, keys: Sequence[str], order: Sequence[str], usable: Column
+    attempts: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    usable: Column,
+    retry: Column | None = None,
 ) -> DataFrame:
-    """First usable attempt per page; pages without one vanish."""
-    return keep_first(attempts.where(usable), keys, order)
+    """The attempt that settles each page, if it is usable; other pages vanish.
+
+    An attempt that ``retry`` marks is followed by another one, any other settles the page,
+    usable or not. Without ``retry`` all that are not usable are tried again.
+    """
+    settled = attempts.where(usable if retry is None else ~retry)
+    first = keep_first(settled, keys, order)
+    return first if retry is None else first.where(usable)
 
 
 def take_while(

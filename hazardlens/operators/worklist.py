@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from hazardlens.constants import NEGATIVE_STARS, PRODUCTS_PER_BATCH
 from hazardlens.operators.batching import assign_batches
 from hazardlens.operators.dedup import keep_first
-from hazardlens.operators.skew import join_hot
+from hazardlens.operators.ordering import null_safe
 
 
 def select_categories(
@@ -53,18 +53,13 @@ def product_batches(products: DataFrame, size: int = PRODUCTS_PER_BATCH) -> Data
     return assign_batches(products, size, ["category"], ["ordinal"])
 
 
-def query_lookup(work: DataFrame, query_map: DataFrame, spread_by: Sequence[str]) -> DataFrame:
+def query_lookup(work: DataFrame, query_map: DataFrame) -> DataFrame:
     """Work rows with the search query of their subcategory."""
     queries = query_map.select("category", "subcategory", "query")
-    return join_hot(work, queries, ["category", "subcategory"], "inner", spread_by)
+    return work.join(queries, ["category", "subcategory"])
 
 
-def enrich_subcategory(
-    reviews: DataFrame,
-    ids: DataFrame,
-    spread_by: Sequence[str],
-    count_in: DataFrame | None = None,
-) -> DataFrame:
+def enrich_subcategory(reviews: DataFrame, ids: DataFrame) -> DataFrame:
     """Reviews with the category and subcategory their product was listed under.
 
     A product listed twice in a category counts once, by its first entry: the
@@ -76,7 +71,7 @@ def enrich_subcategory(
         "subcategory",
         F.col("ordinal").alias("product_ordinal"),
     )
-    joined = join_hot(reviews, listed, ["product_id"], "left", spread_by, count_in=count_in)
+    joined = reviews.join(listed, "product_id", "left")
     empty = F.lit("")
     return joined.withColumn("subcategory", F.coalesce("subcategory", empty)).withColumn(
         "category", F.coalesce("category", empty)
@@ -96,5 +91,6 @@ def start_from(
         .groupBy(*group)
         .agg(F.min(order).alias("_start"))
     )
-    joined = join_hot(entries, starts, list(group), "left", [order])
-    return joined.where(F.col("_start").isNull() | (F.col(order) >= F.col("_start"))).drop("_start")
+    joined = entries.alias("l").join(starts.alias("r"), null_safe("l", "r", group), "left")
+    after = F.col("_start").isNull() | (F.col(f"l.`{order}`") >= F.col("_start"))
+    return joined.where(after).select("l.*")

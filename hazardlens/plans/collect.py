@@ -15,7 +15,6 @@ from hazardlens.operators.envelopes import (
     read_search_envelopes,
     tab_list,
 )
-from hazardlens.operators.ordering import page_arrival
 from hazardlens.operators.paging import (
     first_usable_attempt,
     review_pages_read,
@@ -26,10 +25,14 @@ from hazardlens.session import materialize
 
 
 def usable_review_pages(pages: DataFrame) -> DataFrame:
-    """First successful attempt of each landed review page, parsed and written once."""
+    """The attempt that settles each landed review page, if it succeeded, parsed and written once.
+
+    Only expired tokens and failed requests are tried again; any other error ends the page.
+    """
     parsed = read_review_envelopes(pages)
     key = ["product_id", "star", "page"]
-    first = first_usable_attempt(parsed, key, ["attempt"], F.col("status") == "OK")
+    again = F.col("status").isin("TOKEN_EXPIRED", "NO_RESPONSE")
+    first = first_usable_attempt(parsed, key, ["attempt"], F.col("status") == "OK", again)
     return materialize(first, "review_pages")
 
 
@@ -44,16 +47,16 @@ def usable_search_pages(pages: DataFrame) -> DataFrame:
 def collect_reviews(pages: DataFrame, ids: DataFrame) -> DataFrame:
     """Landed review pages of listed products as raw reviews with arrival and key.
 
-    Pages meet the id list before the reviews are taken out of them, so the join
+    ``arrival`` is the place of the product in its list, then star, page and position. Pages of other
+    products are not parsed. Pages meet the id list before the reviews are taken out of them, so the join
     moves pages and not reviews.
     """
-    usable = usable_review_pages(negative_only(pages))
-    listed = enrich_subcategory(review_pages_read(usable), ids, ["star", "page"], usable)
+    wanted = ids.select(F.col("id").alias("product_id")).distinct()
+    usable = usable_review_pages(negative_only(pages).join(wanted, "product_id", "left_semi"))
+    listed = enrich_subcategory(review_pages_read(usable), ids)
     known = listed.where(F.col("product_ordinal").isNotNull())
-    rows = explode_reviews(known).withColumn(
-        "arrival",
-        page_arrival(F.col("product_ordinal"), F.col("star"), F.col("page"), F.col("pos")),
-    )
+    arrival = F.struct(F.col("product_ordinal").alias("product"), "star", "page", "pos")
+    rows = explode_reviews(known).withColumn("arrival", arrival)
     raw = rows.select("category", "product_id", "subcategory", "review_text", "arrival")
     return dedup_reviews(raw).withColumn(
         "review_key", review_key(F.col("category"), F.col("product_id"), F.col("review_text"))

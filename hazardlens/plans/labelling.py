@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,6 +28,13 @@ from hazardlens.sources.files import read_optional
 from hazardlens.sources.writers import append_labels
 
 
+log = logging.getLogger(__name__)
+
+
+class IncompletePassError(RuntimeError):
+    """A pass has left reviews without a label; running it again asks for these only."""
+
+
 def run_pass(
     spark: SparkSession,
     reviews: DataFrame,
@@ -37,24 +45,39 @@ def run_pass(
 ) -> DataFrame:
     """Label what has no label yet, append it to ``labels_path`` and return that table.
 
-    Labels are written once and read back: a scorer need not repeat itself. A batch
-    without an answer writes nothing, an answer that is too short leaves NULLs; both
-    are found by key on the next run. ``limit`` labels only the first reviews of each
-    category, for trial runs.
+    Batches are scored in portions, and each portion's labels are saved before the next is
+    asked for, so a pass that stops half way keeps what it has and goes on there. Labels are
+    written once and read back: a scorer need not repeat itself. A batch without an answer
+    writes nothing, an answer that is too short leaves NULLs; both are found by key on the
+    next run, and logged. A portion in which every batch failed is an error. ``limit`` labels
+    only the first reviews of each category, for trial runs; the others stay unlabelled, so
+    no gate by coverage takes such a run for a whole one.
     """
     done = read_optional(spark, labels_path, schemas.LABELS)
     todo = unlabelled(reviews, done)
     if limit is not None:
         todo = first_per_group(todo, ["category"], "arrival", limit)
-    batches = gather_batches(
+    gathered = gather_batches(
         assign_batches(todo, config.batch_size), max_chars=config.max_chars
     )
-    answered = score_batches(batches, make_scorer, config).where(F.size("labels") > 0)
-    rows = zip_labels(answered).select(
-        F.col("key").alias("review_key"), "label", F.current_timestamp().alias("labelled_at")
-    )
-    append_labels(rows, labels_path)
-    return spark.read.schema(schemas.LABELS).parquet(labels_path)
+    batches = materialize(gathered, "batches")
+    portions = -(-batches.count() // config.batches_per_commit)
+    for portion in range(portions):
+        own = F.pmod(F.xxhash64("category", "batch_id"), F.lit(portions)) == portion
+        answered = score_batches(batches.where(own), make_scorer, config)
+        answered = materialize(answered.withColumn("labelled_at", F.current_timestamp()), "answers")
+        tried, failed, error = answered.agg(
+            F.count("*"), F.count("error"), F.max("error")
+        ).first()
+        if failed:
+            log.warning("%s: %d of %d batches failed, one with %s", config.name, failed, tried, error)
+        if tried and failed == tried:
+            raise RuntimeError(f"{config.name}: all {tried} batches failed, one with {error}")
+        rows = zip_labels(answered.where(F.size("labels") > 0).drop("error"))
+        append_labels(
+            rows.select(F.col("key").alias("review_key"), "label", "labelled_at"), labels_path
+        )
+    return read_optional(spark, labels_path, schemas.LABELS)
 
 
 def run_cascade(
@@ -66,23 +89,29 @@ def run_cascade(
     first: ScorerConfig = FIRST_PASS,
     second: ScorerConfig = SECOND_PASS,
     policy: str = "union",
-    mode: str = "nulls",
+    mode: str = "coverage",
+    allow_missing: bool = False,
 ) -> DataFrame:
     """First scorer on all reviews, second on its hazards in complete categories, merged.
 
-    ``reviews`` hold ``category``, ``arrival``, ``review_key`` and ``review_text``
-    and are free of duplicate keys.
+    ``reviews`` hold ``category``, ``product_id``, ``arrival``, ``review_key`` and
+    ``review_text`` and are free of duplicate keys. Categories in which a review has no first
+    label wait for the next run; ``mode="nulls"`` looks at written labels only. There is no
+    result while a hazard lacks its second label, unless ``allow_missing`` asks for one.
     """
     table1 = run_pass(spark, reviews, f"{folder}/{first.name}", make_first, first)
     state = label_state(table1).withColumn("attempted", F.lit(True))
     labelled = reviews.join(state, "review_key", "left").withColumn(
         "attempted", F.coalesce("attempted", F.lit(False))
     )
-    gated = gated_hazards(labelled, mode=mode, count_in=reviews).drop("attempted")
+    gated = gated_hazards(labelled, mode=mode).drop("attempted")
     hazards = materialize(gated.withColumnRenamed("label", PASS1_LABEL), "hazards")
     table2 = run_pass(spark, hazards, f"{folder}/{second.name}", make_second, second)
     second_labels = current_labels(table2).withColumnRenamed("label", PASS2_LABEL)
     both = hazards.join(second_labels, "review_key", "left")
+    missing = both.where(F.col(PASS2_LABEL).isNull()).count()
+    if missing and not allow_missing:
+        raise IncompletePassError(f"{second.name}: {missing} reviews have no label yet; run again")
     final = merged_label(F.col(PASS1_LABEL), F.col(PASS2_LABEL), policy)
     return final_hazards(both.withColumn("hazard_final", final))
 

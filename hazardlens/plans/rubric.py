@@ -15,7 +15,9 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-NOT_A_WORD = "[^a-z0-9]+"
+# Words are letters and digits of any script; the second form is for Python's expressions.
+NOT_A_WORD = r"[^\p{L}\p{N}]+"
+NOT_A_WORD_PYTHON = r"[\W_]+"
 
 
 def terms(text: str) -> tuple[str, ...]:
@@ -129,9 +131,16 @@ DEFAULT_RUBRIC = Rubric(
         Rule(8, "melted or warped without fire", (_MELT,)),
         Rule(9, "smell without symptoms", (_SMELL,)),
     ),
+    # What is denied, and sayings that name no hazard: products, chores, parts that gave out.
     negations=(
-        "(?:no|without|without any|not any) (?:fire|smoke|flames?|sparks?|burns?|explosion)"
-        "(?: (?:or|and|nor) (?:any )?(?:fire|smoke|flames?|sparks?|burns?|explosion))*"
+        "(?:no|not|never|without|without any|not any) (?:any )?"
+        "(?:fires?|smoke|smoking|flames?|sparks?|sparking|burns?|burning|burned|burnt|explosion)"
+        "(?: (?:or|and|nor) (?:any )?"
+        "(?:fires?|smoke|smoking|flames?|sparks?|sparking|burns?|burning|burned|burnt|explosion))*"
+        "|fire (?:tablets?|tv|stick|hd|kindle|phone)|kindle fire"
+        "|(?:a |real |such a )*pain (?:to|in the)"
+        "|(?:burn|burns|burned|burnt|burning) (?:out|through)"
+        "|sparks? joy|smoking deal|fire sale"
     ),
 )
 
@@ -214,7 +223,7 @@ def python_scorer(rubric: Rubric = DEFAULT_RUBRIC) -> Callable[[], Callable[[lis
     """The same hazard rules as a scorer for ``score_batches``, made once per task."""
     rules = [rule.all_of for rule in rubric.hazards]
     negation = rubric.negations and negation_pattern(rubric)
-    not_a_word = NOT_A_WORD
+    not_a_word = NOT_A_WORD_PYTHON
 
     def make() -> Callable[[list[str]], list[int]]:
         def label(text: str) -> int:

@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from hazardlens.constants import (
     MAX_ATTEMPTS,
-    MAX_REVIEW_CHARS,
     PASS1_BATCH,
     PASS2_BATCH,
 )
@@ -29,13 +28,19 @@ Model = Callable[[str], str | None]
 
 @dataclass(frozen=True)
 class ScorerConfig:
-    """How a pass is cut into calls; ``max_chars=None`` sends whole texts."""
+    """How a pass is cut into calls. Whole texts are sent unless ``max_chars`` cuts them.
+
+    ``tasks`` is the number of tasks that call the scorer, whatever the bytes of the texts;
+    labels are saved after about ``batches_per_commit`` batches each.
+    """
 
     name: str
     batch_size: int
-    max_chars: int | None = MAX_REVIEW_CHARS
+    max_chars: int | None = None
     attempts: int = MAX_ATTEMPTS
     wait_seconds: float = 0.0
+    tasks: int = 64
+    batches_per_commit: int = 100_000
 
 
 FIRST_PASS = ScorerConfig("first_pass", PASS1_BATCH)
@@ -43,24 +48,31 @@ SECOND_PASS = ScorerConfig("second_pass", PASS2_BATCH)
 
 
 def labels_of(texts: Column, make_scorer: Callable[[], Scorer], config: ScorerConfig) -> Column:
-    """Label list of each text list; NULL when every attempt failed."""
+    """``labels`` of each text list and the ``error`` of the last attempt, one of them NULL."""
     attempts, wait = config.attempts, config.wait_seconds
 
-    @F.pandas_udf("array<int>")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("labels array<int>, error string")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorer = make_scorer()
 
         def one(batch):
             for attempt in range(attempts):
                 try:
-                    return [None if v is None else int(v) for v in scorer(list(batch))]
-                except Exception:
+                    return [None if v is None else int(v) for v in scorer(list(batch))], None
+                except Exception as failure:
+                    error = f"{type(failure).__name__}: {failure}"
                     if attempt + 1 < attempts:
                         time.sleep(wait)
-            return None
+            return None, error
 
         for series in batches:
-            yield pd.Series([one(batch) for batch in series], dtype=object)
+            answers = [one(batch) for batch in series]
+            yield pd.DataFrame(
+                {
+                    "labels": pd.Series([a for a, _ in answers], dtype=object),
+                    "error": pd.Series([e for _, e in answers], dtype=object),
+                }
+            )
 
     return score.asNondeterministic()(texts)
 
@@ -68,15 +80,22 @@ def labels_of(texts: Column, make_scorer: Callable[[], Scorer], config: ScorerCo
 def score_batches(
     batches: DataFrame, make_scorer: Callable[[], Scorer], config: ScorerConfig = FIRST_PASS
 ) -> DataFrame:
-    """Gathered batches with ``labels``; ``zip_labels`` turns them into rows."""
+    """Gathered batches with ``labels`` and ``error``; ``zip_labels`` turns labels into rows.
+
+    Batches are spread over ``config.tasks`` tasks by their keys: calls are slow, however few
+    bytes their texts have.
+    """
+    keys = [c for c in batches.columns if c != "items"]
+    spread = batches.repartition(config.tasks, *keys)
     texts = F.transform("items", lambda item: item["text"])
-    return batches.withColumn("labels", labels_of(texts, make_scorer, config))
+    answer = labels_of(texts, make_scorer, config)
+    return spread.withColumn("_answer", answer).select("*", "_answer.*").drop("_answer")
 
 
 def ask_batches(
     prompts: DataFrame, make_model: Callable[[], Model], config: ScorerConfig = FIRST_PASS
 ) -> DataFrame:
-    """Batch prompts with the ``response`` of a text model.
+    """Batch prompts with the ``response`` of a text model and the ``error`` of the last attempt.
 
     A response that holds no JSON counts as a failed attempt; it is NULL when
     every attempt failed.
@@ -84,8 +103,8 @@ def ask_batches(
     attempts, wait = config.attempts, config.wait_seconds
     around = re.compile(r"\A\s*(`{3}(json)?)?|(`{3})?\s*\Z")
 
-    @F.pandas_udf("string")
-    def ask(series_list: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("response string, error string")
+    def ask(series_list: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = make_model()
 
         def one(prompt):
@@ -94,13 +113,23 @@ def ask_batches(
                     response = model(prompt)
                     if response is not None:
                         json.loads(around.sub("", response))
-                    return response
-                except Exception:
+                    return response, None if response is not None else "no response"
+                except Exception as failure:
+                    error = f"{type(failure).__name__}: {failure}"
                     if attempt + 1 < attempts:
                         time.sleep(wait)
-            return None
+            return None, error
 
         for series in series_list:
-            yield series.map(one).astype(object)
-
-    return prompts.withColumn("response", ask.asNondeterministic()("prompt"))
+            answers = [one(prompt) for prompt in series]
+            yield pd.DataFrame(
+                {
+                    "response": pd.Series([r for r, _ in answers], dtype=object),
+                    "error": pd.Series([e for _, e in answers], dtype=object),
+                }
+            )
+
+    keys = [c for c in prompts.columns if c != "prompt"]
+    spread = prompts.repartition(config.tasks, *keys)
+    answered = spread.withColumn("_answer", ask.asNondeterministic()("prompt"))
+    return answered.select("*", "_answer.*").drop("_answer")

@@ -18,26 +18,4 @@ CATEGORY_TABS = "tab_pos int, tab_id string, body string"
 
 IDS = "category string, ordinal bigint, id string, subcategory string"
 
-_REVIEW = "struct<reviewContent:string,content:string,buyerFeedback:string>"
-
-REVIEW_ENVELOPE = (
-    "ret array<string>, data struct<totalPage:string,maxPage:string,"
-    f"reviewList:array<{_REVIEW}>,reviews:array<{_REVIEW}>,evaViewList:array<{_REVIEW}>>, "
-    "_corrupt string"
-)
-
-SEARCH_ENVELOPE = (
-    "ret array<string>, x5step string, rgv587_flag string, data struct<result:struct<"
-    "mods:struct<itemList:struct<content:array<struct<productId:string>>>>,"
-    "pageInfo:struct<streamId:string>,streamId:string>>, _corrupt string"
-)
-
-_ITEMS = "items:array<struct<id:string,title:string>>"
-
-CATEGORY_ENVELOPE = (
-    "ret array<string>, data struct<data:struct<"
-    f"categoryTabs:struct<{_ITEMS}>,modules:array<struct<data:struct<{_ITEMS}>>>>>, "
-    "_corrupt string"
-)
-
 QUERY_MAP = "map<string,struct<subcategories:map<string,string>>>"

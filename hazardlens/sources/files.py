@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazardlens import schemas
+from hazardlens.functions.text import category_of_file, review_key
 
 # Text keeps its quotes, line ends and edge spaces. A file is read by one task,
 # as quoted line ends forbid splitting; land many files, and keep Parquet inside.
@@ -35,9 +37,13 @@ def read_reviews_csv(
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hadoop_path)
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
 
 
 def read_optional(spark: SparkSession, path: str, schema: str, fmt: str = "parquet") -> DataFrame:
@@ -49,9 +55,9 @@ def read_optional(spark: SparkSession, path: str, schema: str, fmt: str = "parqu
 
 
 def read_required(spark: SparkSession, path: str, pattern: str, fmt: str, **options) -> DataFrame:
-    """All files below ``path`` that match ``pattern``; none is an error."""
+    """All files below ``path`` that match ``pattern``; none, or none with a row, is an error."""
     df = spark.read.format(fmt).options(pathGlobFilter=pattern, **options).load(path)
-    if not df.inputFiles():
+    if df.isEmpty():
         raise FileNotFoundError(f"no file matching {pattern!r} in {path}")
     return df
 
@@ -74,8 +80,14 @@ def read_category_tabs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def id_entries(json: Column) -> Column:
-    """Entries of an id list that holds objects, bare ids or both."""
-    entries = F.from_json(json, "array<variant>")
+    """Entries of an id list that holds objects, bare ids or both.
+
+    The list is a JSON array, or JSON lines with one entry each. An entry may say its own
+    ``ordinal``; its place in the list counts else.
+    """
+    lines = F.concat(F.lit("["), F.regexp_replace(F.trim(json, F.lit(" \r\n\t")), r"\r?\n", ","), F.lit("]"))
+    array = F.when(F.rlike(json, F.lit(r"\A\s*\[")), json).otherwise(lines)
+    entries = F.from_json(array, "array<variant>")
 
     def typed(v: Column) -> Column:
         is_object = F.startswith(F.schema_of_variant(v), F.lit("OBJECT"))
@@ -85,6 +97,7 @@ def id_entries(json: Column) -> Column:
         return F.struct(
             F.when(is_object, from_object).otherwise(bare).alias("id"),
             F.when(is_object, subcategory).otherwise("").alias("subcategory"),
+            F.when(is_object, F.try_variant_get(v, "$.ordinal", "bigint")).alias("ordinal"),
         )
 
     return F.transform(entries, typed)
@@ -93,17 +106,46 @@ def id_entries(json: Column) -> Column:
 def explode_id_lists(lists: DataFrame, json: str = "value") -> DataFrame:
     """One row per id with its position in the list."""
     others = [c for c in lists.columns if c != json]
+    ordinal = F.coalesce("_entry.ordinal", F.col("_pos").cast("bigint")).alias("ordinal")
     return (
         lists.select(*others, id_entries(F.col(json)).alias("_entries"))
-        .select(*others, F.posexplode("_entries").alias("ordinal", "_entry"))
-        .select(*others, F.col("ordinal").cast("bigint"), "_entry.id", "_entry.subcategory")
+        .select(*others, F.posexplode("_entries").alias("_pos", "_entry"))
+        .select(*others, ordinal, "_entry.id", "_entry.subcategory")
     )
 
 
-def read_id_lists(spark: SparkSession, path: str, pattern: str = "*_ids.json") -> DataFrame:
-    """Id list files, one JSON array per file; at least one must match."""
+def read_id_lists(
+    spark: SparkSession, path: str, pattern: str = "*.json", prefix: str = "", suffix: str = "_ids"
+) -> DataFrame:
+    """Id list files: ``category``, ``ordinal``, ``id``, ``subcategory``, ``file_name``.
+
+    A file is a JSON array, or JSON lines as ``write_id_lists`` leaves them in one folder per
+    category. The category is that of the folder ``slug=...``, else what the file name holds
+    between ``prefix`` and ``suffix``. At least one file must match.
+    """
     files = read_required(spark, path, pattern, "text", wholetext="true")
-    return explode_id_lists(files.select("value", F.col("_metadata.file_name").alias("file_name")))
+    name = F.col("_metadata.file_name")
+    stem = F.regexp_replace(name, r"\.[^.]*$", "")
+    of_file = category_of_file(stem, prefix, suffix)
+    category = F.col("slug").cast("string") if "slug" in files.columns else of_file
+    return explode_id_lists(files.select("value", category.alias("category"), name.alias("file_name"))).select(
+        "category", "ordinal", "id", "subcategory", "file_name"
+    )
+
+
+def keyed_reviews(reviews: DataFrame, prefix: str = "", suffix: str = "_reviews_raw") -> DataFrame:
+    """Reviews read from files named after their category, with ``category``, ``arrival`` and
+    ``review_key``, as label passes need them.
+
+    ``arrival`` is the place of the row in its file: the block it was read from, then its byte
+    order there, both of which Spark knows without a sort.
+    """
+    stem = F.regexp_replace("file_name", r"\.[^.]*$", "")
+    placed = reviews.withColumn("category", category_of_file(stem, prefix, suffix)).withColumn(
+        "arrival", F.monotonically_increasing_id()
+    )
+    key = review_key(F.col("category"), F.col("product_id"), F.col("review_text"))
+    return placed.withColumn("review_key", key)
 
 
 def explode_query_map(maps: DataFrame, json: str = "value") -> DataFrame:
@@ -134,6 +176,7 @@ def read_with_file_name(spark: SparkSession, path: str, pattern: str, fmt: str,
     return df.select("*", F.col("_metadata.file_name").alias("file_name"))
 
 
-def list_files(df: DataFrame) -> DataFrame:
-    """Names of the files behind a scan, sorted."""
-    return df.select(F.col("_metadata.file_name").alias("file_name")).distinct().orderBy("file_name")
+def list_files(df: DataFrame, name: Column | None = None) -> DataFrame:
+    """Names of the files behind a scan, sorted; ``name`` may tell another one from the metadata."""
+    shown = F.col("_metadata.file_name") if name is None else name
+    return df.select(shown.alias("file_name")).distinct().orderBy("file_name")

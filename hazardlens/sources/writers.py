@@ -9,7 +9,7 @@ from hazardlens.constants import PASS1_LABEL
 from hazardlens.functions.text import slug
 from hazardlens.operators.batching import current_labels
 from hazardlens.operators.dedup import merge_reviews
-from hazardlens.operators.ordering import sort_by_numeric_id
+from hazardlens.operators.ordering import in_order, numeric_id, ordinal, sort_by_numeric_id
 from hazardlens.sources.files import CSV_OPTIONS
 
 _CSV = {k: v for k, v in CSV_OPTIONS.items() if k != "multiLine"}
@@ -25,17 +25,20 @@ def compact_labels(spark: SparkSession, path: str, target: str, key: str = "revi
     current_labels(spark.read.parquet(path), key).write.mode("overwrite").parquet(target)
 
 
-def write_merged_reviews(existing: DataFrame, batch: DataFrame, target: str) -> None:
-    """Merge a batch into existing reviews and write them sorted by numeric product id.
+def write_merged_reviews(existing: DataFrame, batch: DataFrame, target: str) -> int:
+    """Merge a batch into existing reviews, write them and return their number.
 
-    The numeric sort also uses the rank and arrival, so the rows of one product
-    may fill several files.
+    One folder per category, sorted by numeric product id, then rank and arrival, with the
+    three columns of a review file and ``ordinal``, the row's order. ``target`` is a new folder:
+    what is read is not overwritten.
     """
     merged = merge_reviews(existing, batch)
-    number = F.col("product_id").try_cast("decimal(38,0)")
-    merged.orderBy("category", number, "source_rank", "arrival").write.mode("overwrite").parquet(
-        target
+    by = [F.col("category").asc_nulls_last(), numeric_id().asc_nulls_last(), *in_order(["source_rank", "arrival"])]
+    ordered = merged.orderBy(*by).select(
+        "category", "product_id", "subcategory", "review_text", F.monotonically_increasing_id().alias("ordinal")
     )
+    ordered.write.mode("errorifexists").partitionBy("category").parquet(target)
+    return ordered.sparkSession.read.parquet(target).count()
 
 
 def write_reviews_csv(reviews: DataFrame, target: str) -> None:
@@ -48,10 +51,19 @@ def write_hazards_csv(hazards: DataFrame, target: str, label: str = PASS1_LABEL)
     write_reviews_csv(hazards.select(*columns), target)
 
 
-def write_id_lists(ids: DataFrame, target: str) -> None:
-    """Id lists as JSON lines, one folder per category slug."""
-    rows = ids.select("id", "subcategory", slug(F.col("category")).alias("slug"))
-    rows.write.mode("overwrite").partitionBy("slug").json(target)
+def write_id_lists(ids: DataFrame, target: str, rows_per_file: int = 1_000_000) -> None:
+    """Id lists as JSON lines with their ``ordinal``, one folder per category slug.
+
+    ``source_rank``, if there, comes before ``ordinal``: merged lists keep their order. Lists
+    without an ordinal are put in the order of their ids.
+    """
+    by = [c for c in ("source_rank", "ordinal") if c in ids.columns] + ["id"]
+    named = ids.withColumn("slug", slug(F.col("category")))
+    rows = ordinal(named, ["slug"], by, "_place")
+    out = rows.select("id", "subcategory", (F.col("_place") - 1).alias("ordinal"), "slug")
+    # Some rows of each category per task, not every category in every task.
+    spread = out.repartition("slug", F.floor(F.col("ordinal") / rows_per_file))
+    spread.write.mode("overwrite").partitionBy("slug").json(target)
 
 
 def write_category_tree(tree: DataFrame, target: str) -> None:
@@ -70,4 +82,5 @@ def write_final(hazards: DataFrame, target: str) -> None:
         "hazard_label_validated",
         "hazard_final",
     ]
-    write_reviews_csv(sort_by_numeric_id(hazards).select(*columns), target)
+    tie = [c for c in ("category", "arrival") if c in hazards.columns]
+    write_reviews_csv(sort_by_numeric_id(hazards, tie=tie).select(*columns), target)

@@ -29,13 +29,19 @@ def stream_distinct_ids(
     checkpoint: str,
     keys: Sequence[str] = ("category", "id"),
     max_files: int | None = None,
+    event_time: str | None = None,
+    delay: str | None = None,
 ) -> DataFrame:
-    """Append ids from the files in ``source`` to ``target``, each key once over all runs."""
+    """Append ids from the files in ``source`` to ``target``, each key once over all runs.
+
+    All columns of ``schema`` are kept. With ``event_time`` and ``delay`` the state is bounded: a
+    key is remembered for the delay only.
+    """
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     query = (
-        distinct_stream(reader.parquet(source).select(*keys), keys)
+        distinct_stream(reader.parquet(source), keys, event_time, delay)
         .writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)
         .option("path", target)

@@ -1,29 +1,47 @@
 """Incremental ingest: every micro-batch is merged into the review table.
 
-The table is append-only, one folder per micro-batch. A batch that is replayed
-after a failure overwrites its own folder and is compared with the earlier ones
-only, so it writes the same rows again.
+The table is append-only, one folder per stream and micro-batch. A stream is known by the id
+in its checkpoint, so a new checkpoint never writes into the folders of an earlier one. A
+batch that is replayed after a failure overwrites its own folder and is compared with all
+others, so it writes the same rows again. Of these only the keys are read; that is the one
+cost of a batch that grows with the table.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from hazardlens.operators.dedup import new_reviews
-from hazardlens.sources.files import read_optional
+from hazardlens.sources.files import path_exists, read_optional
+
+_FOLDERS = "stream string, batch bigint"
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the stream of this checkpoint."""
+    line = spark.read.text(f"{checkpoint}/metadata").select(F.get_json_object("value", "$.id"))
+    return line.first()[0]
+
+
+def _ddl(schema: StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
 
 
 def merge_batch(
-    spark: SparkSession, batch: DataFrame, batch_id: int, target: str, key: str = "review_key"
+    spark: SparkSession,
+    batch: DataFrame,
+    stream: str,
+    batch_id: int,
+    target: str,
+    key: str = "review_key",
 ) -> None:
-    """Append the reviews of one micro-batch that earlier batches did not bring."""
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in batch.schema)
-    earlier = read_optional(spark, target, f"{columns}, batch_id int").where(
-        F.col("batch_id") < batch_id
-    )
-    fresh = new_reviews(batch, earlier, key)
-    fresh.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+    """Append the reviews of one micro-batch that no other batch has brought."""
+    table = read_optional(spark, target, f"{_ddl(batch.schema)}, {_FOLDERS}")
+    others = table.where(~((F.col("stream") == stream) & (F.col("batch") == batch_id)))
+    fresh = new_reviews(batch, others, key)
+    fresh.write.mode("overwrite").parquet(f"{target}/stream={stream}/batch={batch_id}")
 
 
 def stream_merge(
@@ -35,12 +53,17 @@ def stream_merge(
     prepare=None,
     max_files: int | None = None,
     key: str = "review_key",
-):
-    """Merge all review files that have landed in ``source`` and stop.
+) -> DataFrame:
+    """Merge all review files that have landed in ``source``, stop and return the table.
 
-    ``prepare`` maps the landed rows to reviews with ``review_key`` and ``arrival``.
-    Running it again with the same checkpoint takes only files that are new.
+    ``prepare`` maps the landed rows to reviews with ``review_key`` and ``arrival``. Running it
+    again with the same checkpoint takes only files that are new. Rows keep the ``stream`` and
+    ``batch`` that brought them; within a batch ``arrival`` is the order. Nothing landed gives
+    an empty table.
     """
+    if not path_exists(spark, source):
+        columns = (prepare or (lambda df: df))(spark.createDataFrame([], schema)).schema
+        return read_optional(spark, target, f"{_ddl(columns)}, {_FOLDERS}")
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
@@ -50,7 +73,8 @@ def stream_merge(
     def merge(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            merge_batch(batch.sparkSession, batch, batch_id, target, key)
+            own = batch.sparkSession
+            merge_batch(own, batch, stream_id(own, checkpoint), batch_id, target, key)
         finally:
             batch.unpersist()
 
@@ -61,4 +85,4 @@ def stream_merge(
         .start()
     )
     query.awaitTermination()
-    return spark.read.parquet(target).drop("batch_id")
+    return read_optional(spark, target, f"{_ddl(reviews.schema)}, {_FOLDERS}")

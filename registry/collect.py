@@ -13,6 +13,7 @@ from hazardlens.plans.collect import (
     usable_review_pages,
     usable_search_pages,
 )
+from hazardlens.session import materialize
 from hazardlens.sources.files import explode_id_lists, explode_query_map
 from registry.base import (
     EXISTING_IDS_SQL,
@@ -67,11 +68,13 @@ def parse_reviews(spark, sf_dir):
 
 @query(
     "filter_star",
-    f"select product_id, page from ({PAGES_SQL}) where star in ('1', '2')",
+    f"""select product_id, page, cast(attempt as int) as attempt
+        from ({PAGES_SQL}), (values (1), (2)) a(attempt)
+        where star in ('1', '2') and (attempt = 1 or retried)""",
 )
 def filter_star(spark, sf_dir):
-    pages = review_pages(spark, sf_dir).where(F.col("attempt") == 1)
-    return worklist.negative_only(pages).select("product_id", "page")
+    pages = review_pages(spark, sf_dir)
+    return worklist.negative_only(pages).select("product_id", "page", "attempt")
 
 
 _READ_PAGES_SQL = f"""
@@ -129,7 +132,7 @@ def enrich_subcategory(spark, sf_dir):
     pages = table(spark, sf_dir, "conversations").select(
         F.col("conv_id").cast("string").alias("product_id"), (F.col("turn") + 1).alias("page")
     )
-    listed = worklist.enrich_subcategory(pages, product_list(spark, sf_dir), ["page"])
+    listed = worklist.enrich_subcategory(pages, product_list(spark, sf_dir))
     return listed.select("product_id", "page", "category", "subcategory")
 
 
@@ -223,9 +226,12 @@ def search_takewhile(spark, sf_dir):
                   from found f
                   where not exists (select 1 from existing e
                                     where e.category = f.category and e.id = f.id))
-        select category, id, subcategory, cast(0 as int) as source_rank from existing
+        select category, id, subcategory, cast(0 as int) as source_rank,
+               cast(-1 as bigint) as ordinal from existing
         union all
-        select category, id, subcategory, 1 from first where r = 1""",
+        select category, id, subcategory, 1,
+               row_number() over (partition by category order by sub_ord, page, pos, id) - 1
+        from first where r = 1""",
 )
 def collect_ids_query(spark, sf_dir):
     existing = table(spark, sf_dir, "part").select(
@@ -233,7 +239,8 @@ def collect_ids_query(spark, sf_dir):
         F.col("p_partkey").cast("string").alias("id"),
         F.col("p_type").alias("subcategory"),
     )
-    return collect_ids(search_pages(spark, sf_dir), existing)
+    merged = collect_ids(search_pages(spark, sf_dir), existing)
+    return merged.fillna(-1, ["ordinal"])
 
 
 # --- ids ----------------------------------------------------------------------------
@@ -267,13 +274,16 @@ def new_ids(spark, sf_dir):
 @query(
     "merge_ids",
     f"""with {_FIRST_SEEN_SQL}, existing as ({EXISTING_IDS_SQL})
-        select category, id, subcategory, cast(0 as int) as source_rank from existing
+        select category, id, subcategory, cast(0 as int) as source_rank,
+               cast(-1 as bigint) as ordinal from existing
         union all
-        select category, id, subcategory, 1 from first f
+        select category, id, subcategory, 1,
+               row_number() over (partition by category order by sub_ord, page, pos, id) - 1 from first f
         where not exists (select 1 from existing e where e.category = f.category and e.id = f.id)""",
 )
 def merge_ids(spark, sf_dir):
-    return dedup.merge_ids(sightings(spark, sf_dir), existing_ids(spark, sf_dir))
+    merged = dedup.merge_ids(sightings(spark, sf_dir), existing_ids(spark, sf_dir))
+    return merged.fillna(-1, ["ordinal"])
 
 
 @query(
@@ -354,7 +364,7 @@ def query_lookup(spark, sf_dir):
         "query", F.concat(F.lower("subcategory"), F.lit(" in "), F.lower("category"))
     )
     found = worklist.query_lookup(
-        work.select("s_suppkey", "category", "subcategory"), query_map, ["s_suppkey"]
+        work.select("s_suppkey", "category", "subcategory"), query_map
     )
     return found.select("s_suppkey", "category", "subcategory", "query")
 
@@ -518,9 +528,9 @@ def status_category(spark, sf_dir):
     "tab_list",
     f"""select tab_pos, tab_id, tab_title from (
           select 0 as tab_pos, cast(tab_pos as varchar) as tab_id, category as tab_title
-          from ({_TABS_SQL})
+          from ({_TABS_SQL}) where not failed
           union all
-          select 2, 'u' || tab_pos, 'u' || tab_pos from ({_TABS_SQL}))""",
+          select 2, 'u' || tab_pos, 'u' || tab_pos from ({_TABS_SQL}) where not failed)""",
 )
 def tab_list(spark, sf_dir):
     return envelopes.tab_list(_tab_responses(spark, sf_dir))
@@ -543,10 +553,24 @@ def category_tree(spark, sf_dir):
 
 @query(
     "collect_tree",
-    f"""with t as (select category, list_sort([c_name, c_mktsegment]) as subs
+    f"""with t as (select category, tab_pos, list_sort([c_name, c_mktsegment]) as subs
                    from ({_TABS_SQL}) where not failed and not empty and not unmarked)
-        select category, cast(max(len(subs)) as int) as subcategories from t group by category""",
+        select category, array_to_string(arg_max(subs, tab_pos), '|') as subcategories
+        from t group by category""",
 )
 def collect_tree_query(spark, sf_dir):
     tabs = _tab_responses(spark, sf_dir)
-    return reports.tree_volume(collect_tree(tabs, tabs))
+    tree = materialize(collect_tree(tabs, tabs), "tree")
+    return tree.select("category", F.array_join("subcategories", "|").alias("subcategories"))
+
+
+@query(
+    "tree_volume",
+    f"""with t as (select category, tab_pos, [c_name, c_mktsegment] as subs
+                   from ({_TABS_SQL}) where not failed and not empty and not unmarked)
+        select category, cast(len(arg_max(subs, tab_pos)) as int) as subcategories
+        from t group by category""",
+)
+def tree_volume(spark, sf_dir):
+    tabs = _tab_responses(spark, sf_dir)
+    return reports.tree_volume(materialize(collect_tree(tabs, tabs), "tree"))

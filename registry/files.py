@@ -8,6 +8,7 @@ from hazardlens import schemas
 from hazardlens.functions.text import review_key
 from hazardlens.operators import envelopes
 from hazardlens.operators.batching import unlabelled
+from hazardlens.operators.ordering import ordinal
 from hazardlens.session import work_dir
 from hazardlens.sources import files, writers
 from hazardlens.streaming.dedup import stream_distinct_ids
@@ -17,7 +18,6 @@ from registry.base import (
     PAGES_SQL,
     REVIEWS_SQL,
     existing_ids,
-    keyed_reviews,
     pass_labels,
     query,
     review_pages,
@@ -43,13 +43,21 @@ def scan_reviews_csv(spark, sf_dir):
 
 @query(
     "scan_optional",
-    f"""select doc_id, cast(0 as bigint) as missing_rows from ({REVIEWS_SQL})""",
+    """select 'absent' as what, doc_id from documents union all
+       select 'present', doc_id from documents where doc_id not in (select doc_id from labels)""",
 )
 def scan_optional(spark, sf_dir):
-    """Reviews left over by a label table that is not there yet: all of them."""
-    absent = files.read_optional(spark, work_dir(spark, "absent"), schemas.LABELS)
-    todo = unlabelled(keyed_reviews(spark, sf_dir), absent)
-    return todo.select("doc_id", F.lit(0).cast("bigint").alias("missing_rows"))
+    """Reviews left over by a label table that is not there yet, and by one that is."""
+    absent, present = work_dir(spark, "absent"), work_dir(spark, "present")
+    schema = "doc_id bigint, label int, labelled_at timestamp"
+    writers.append_labels(pass_labels(spark, sf_dir, "quality"), present)
+    rows = reviews(spark, sf_dir)
+
+    def left_over(what, path):
+        labels = files.read_optional(spark, path, schema)
+        return unlabelled(rows, labels, "doc_id").select(F.lit(what).alias("what"), "doc_id")
+
+    return left_over("absent", absent).unionByName(left_over("present", present))
 
 
 @query(
@@ -69,31 +77,34 @@ def scan_files_with_name(spark, sf_dir):
 
 @query(
     "list_files",
-    "select distinct lang as category, cast(1 as int) as listed from documents",
+    """select 'shop_' || lang || '.json' as file_name,
+              row_number() over (order by 'shop_' || lang || '.json') as place
+       from (select distinct lang from documents)""",
 )
 def list_files(spark, sf_dir):
+    """Names of files, sorted: what a folder of one file per category lists."""
     path = work_dir(spark, "listing")
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
-    docs.write.partitionBy("lang").parquet(path)
-    read = spark.read.parquet(path)
-    names = files.list_files(read)
-    per_file = read.select("lang", F.col("_metadata.file_name").alias("file_name")).distinct()
-    return (
-        per_file.join(names, "file_name")
-        .select(F.col("lang").alias("category"), F.lit(1).alias("listed"))
-        .distinct()
-    )
+    docs.repartition("lang").write.partitionBy("lang").json(path)
+    folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+    read = spark.read.schema("doc_id bigint").json(path)
+    named = F.concat(F.lit("shop_"), F.regexp_replace(folder, "^lang=", ""), F.lit(".json"))
+    listed = files.list_files(read, named)
+    return ordinal(listed.withColumn("folder", F.lit("")), ["folder"], ["file_name"], "place").drop("folder")
 
 
-@query("scan_id_files", f"select category, id, subcategory from ({EXISTING_IDS_SQL})")
+@query(
+    "scan_id_files",
+    f"""select category, id, subcategory,
+               row_number() over (partition by category order by id) - 1 as ordinal
+        from ({EXISTING_IDS_SQL})""",
+)
 def scan_id_files(spark, sf_dir):
-    """Id lists as text files, one JSON array per line of a category."""
-    ids = existing_ids(spark, sf_dir)
-    entry = F.to_json(F.array(F.struct("id", "subcategory")))
+    """Written lists read back with their order."""
     path = work_dir(spark, "id_files")
-    ids.select("category", entry.alias("value")).write.partitionBy("category").text(path)
-    lists = files.read_required(spark, path, "*.txt", "text").select("category", "value")
-    return files.explode_id_lists(lists).select("category", "id", "subcategory")
+    writers.write_id_lists(existing_ids(spark, sf_dir), path)
+    lists = files.read_id_lists(spark, path)
+    return lists.select(F.upper("category").alias("category"), "id", "subcategory", "ordinal")
 
 
 @query(
@@ -114,14 +125,17 @@ def land_review_pages(spark, sf_dir):
 @query(
     "land_search_pages",
     """select cast(l_orderkey as varchar) as subcategory, l_linenumber as page,
-              cast(case when l_partkey % 10 = 0 then 0 else 2 end as int) as n_ids
+              case when l_partkey % 10 = 0 then ''
+                   else l_partkey || ',' || (l_suppkey + 1000000) end as ids
        from lineitem where l_suppkey % 13 > 2""",
 )
 def land_search_pages(spark, sf_dir):
     path = work_dir(spark, "search_pages")
     search_pages(spark, sf_dir).write.json(path)
     parsed = envelopes.read_search_envelopes(files.read_search_pages(spark, path))
-    return parsed.where(F.col("status") == "DATA").select("subcategory", "page", "n_ids")
+    return parsed.where(F.col("status") == "DATA").select(
+        "subcategory", "page", F.array_join("ids", ",").alias("ids")
+    )
 
 
 @query(
@@ -174,9 +188,11 @@ def compact_labels(spark, sf_dir):
     f"""with r as (
           select *, case when doc_id % 3 = 0 then 1 else 0 end as source_rank
           from ({REVIEWS_SQL}))
-        select doc_id, category, product_id from (
-          select *, row_number() over (partition by category, product_id, review_text
-                                       order by source_rank, arrival) as n from r)
+        select category, product_id, subcategory, review_text,
+               row_number() over (partition by category order by cast(product_id as bigint),
+                                  source_rank, arrival) as place, count(*) over () as written
+        from (select *, row_number() over (partition by category, product_id, review_text
+                                           order by source_rank, arrival) as n from r)
         where n = 1""",
 )
 def write_merged_reviews(spark, sf_dir):
@@ -184,8 +200,9 @@ def write_merged_reviews(spark, sf_dir):
     rows = reviews(spark, sf_dir)
     rows.where(F.col("doc_id") % 3 != 0).write.parquet(existing)
     batch = rows.where(F.col("doc_id") % 3 == 0)
-    writers.write_merged_reviews(spark.read.parquet(existing), batch, target)
-    return spark.read.parquet(target).select("doc_id", "category", "product_id")
+    written = writers.write_merged_reviews(spark.read.parquet(existing), batch, target)
+    placed = ordinal(spark.read.parquet(target), ["category"], ["ordinal"], "place")
+    return placed.drop("ordinal").withColumn("written", F.lit(written).cast("bigint"))
 
 
 @query(
@@ -207,18 +224,22 @@ def write_hazards_csv(spark, sf_dir):
 
 @query(
     "export_ids",
-    f"""select lower(category) as slug, id, subcategory from ({EXISTING_IDS_SQL})""",
+    f"""select lower(category) as slug, id, subcategory,
+               row_number() over (partition by category order by id) - 1 as ordinal
+        from ({EXISTING_IDS_SQL})""",
 )
 def export_ids(spark, sf_dir):
     path = work_dir(spark, "ids")
     writers.write_id_lists(existing_ids(spark, sf_dir), path)
-    read = spark.read.schema("id string, subcategory string, slug string").json(path)
-    return read.select("slug", "id", "subcategory")
+    schema = "id string, subcategory string, ordinal bigint, slug string"
+    return spark.read.schema(schema).json(path).select("slug", "id", "subcategory", "ordinal")
 
 
 @query(
     "export_category_tree",
-    """select 'T' || c_nationkey as category, cast(2 as int) as n from customer
+    """select 'T' || c_nationkey as category,
+              array_to_string(arg_max(list_sort([c_name, c_mktsegment]), c_custkey), '|') as names
+       from customer
        where c_custkey % 9 <> 0 and c_custkey % 4 <> 0 and c_custkey % 5 <> 0
        group by all""",
 )
@@ -230,7 +251,7 @@ def export_category_tree(spark, sf_dir):
     tree = spark.read.text(path).select(
         F.explode(F.from_json("value", "map<string,array<string>>")).alias("category", "names")
     )
-    return tree.select("category", F.size("names").alias("n"))
+    return tree.select("category", F.array_join("names", "|").alias("names"))
 
 
 @query(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from hazardlens.constants import MAX_REVIEW_CHARS
 from hazardlens.functions.text import has_control_chars, strip
 from hazardlens.operators import batching, dedup, gates, merging, reports
 from hazardlens.plans.labelling import rule_cascade, run_cascade, run_pass
@@ -18,7 +19,7 @@ from hazardlens.plans.rubric import (
     python_scorer,
     terms,
 )
-from hazardlens.plans.scoring import ScorerConfig, ask_batches, score_batches
+from hazardlens.plans.scoring import FIRST_PASS, ask_batches, score_batches
 from hazardlens.session import materialize, work_dir
 from hazardlens.sources.writers import append_labels
 from registry.base import (
@@ -30,6 +31,8 @@ from registry.base import (
     table,
 )
 
+FILE_ORDER_SQL = "category, try_cast(product_id as bigint) nulls last, product_id, arrival"
+
 # --- filters and de-duplication ------------------------------------------------
 
 
@@ -75,7 +78,7 @@ def dedup_reviews(spark, sf_dir):
 @query(
     "dedup_text",
     f"""select doc_id, product_id from (
-          select *, row_number() over (partition by review_text order by arrival) as n
+          select *, row_number() over (partition by review_text order by {FILE_ORDER_SQL}) as n
           from ({REVIEWS_SQL})) where n = 1""",
 )
 def dedup_text(spark, sf_dir):
@@ -125,7 +128,8 @@ def assign_batches(spark, sf_dir):
         from b group by all""",
 )
 def batch_prompt(spark, sf_dir):
-    return batching.batch_prompts(batching.assign_batches(reviews(spark, sf_dir)))
+    batched = batching.assign_batches(reviews(spark, sf_dir))
+    return batching.batch_prompts(batched, max_chars=MAX_REVIEW_CHARS)
 
 
 @query(
@@ -137,7 +141,7 @@ def batch_prompt(spark, sf_dir):
 )
 def batch_prompt_whole_texts(spark, sf_dir):
     batched = batching.assign_batches(reviews(spark, sf_dir))
-    return batching.batch_prompts(batched, max_chars=None)
+    return batching.batch_prompts(batched)
 
 
 @query(
@@ -262,9 +266,7 @@ def complete_groups_nulls(spark, sf_dir):
     f"with {_GROUPS_SQL} select doc_id, pair from g where label = 1 and pair in (select pair from c)",
 )
 def gated_hazards(spark, sf_dir):
-    hazards = gates.gated_hazards(
-        _grouped(spark, sf_dir), ["pair"], key="doc_id", mode="coverage"
-    )
+    hazards = gates.gated_hazards(_grouped(spark, sf_dir), ["pair"], mode="coverage")
     return hazards.select("doc_id", "pair")
 
 
@@ -307,7 +309,7 @@ def _merged(spark, sf_dir, policy):
 def _merged_sql(condition):
     return f"""
         with {_DEDUP_SQL},
-        m as (select *, row_number() over (partition by review_text order by arrival) as n
+        m as (select *, row_number() over (partition by review_text order by {FILE_ORDER_SQL}) as n
               from d join labels using (doc_id) where {condition})
         select doc_id, category, product_id, subcategory, review_text,
                quality as hazard_label_classified, toxic as hazard_label_validated,
@@ -446,10 +448,6 @@ def benign_rules(spark, sf_dir):
     return said.select("doc_id", benign_class(F.col("said"), DEFAULT_RUBRIC).alias("benign_class"))
 
 
-WHOLE_TEXTS = ScorerConfig("pass1", 40, max_chars=None)
-WHOLE_TEXTS_2 = ScorerConfig("pass2", 20, max_chars=None)
-
-
 @query(
     "score_pandas",
     f"select doc_id, cast({_WORD_CLASS_SQL} > 0 as int) as label from ({REVIEWS_SQL})",
@@ -457,7 +455,7 @@ WHOLE_TEXTS_2 = ScorerConfig("pass2", 20, max_chars=None)
 def score_pandas(spark, sf_dir):
     batched = batching.assign_batches(reviews(spark, sf_dir))
     batches = batching.gather_batches(batched, key="doc_id")
-    scored = score_batches(batches, python_scorer(WORD_RUBRIC), WHOLE_TEXTS)
+    scored = score_batches(batches, python_scorer(WORD_RUBRIC), FIRST_PASS)
     return batching.zip_labels(scored).select(F.col("key").alias("doc_id"), "label")
 
 
@@ -488,7 +486,7 @@ def ask_model(spark, sf_dir):
         return model
 
     batched = materialize(batching.assign_batches(reviews(spark, sf_dir)), "batched")
-    answered = ask_batches(batching.batch_prompts(batched, max_chars=None), make_model)
+    answered = ask_batches(batching.batch_prompts(batched), make_model)
     rows = batching.join_answers(batching.gather_batches(batched, key="doc_id"), answered)
     return rows.select(F.col("key").alias("doc_id"), F.coalesce("label", F.lit(-1)).alias("label"))
 
@@ -505,7 +503,7 @@ def label_pass_resume(spark, sf_dir):
     path = work_dir(spark, "labels")
     earlier = raw.join(pass_labels(spark, sf_dir, "quality"), "doc_id")
     append_labels(earlier.select("review_key", "label", "labelled_at"), path)
-    table_ = run_pass(spark, raw, path, python_scorer(WORD_RUBRIC), WHOLE_TEXTS)
+    table_ = run_pass(spark, raw, path, python_scorer(WORD_RUBRIC), FIRST_PASS)
     labels = batching.current_labels(table_)
     return raw.join(labels, "review_key").select("doc_id", "label")
 
@@ -514,7 +512,7 @@ _STRICT_CLASS_SQL = _class_sql(STRICT_RUBRIC)
 _CASCADE_SQL = f"""
 with {_DEDUP_SQL},
 s as (select *, {_WORD_CLASS_SQL} as c1, {_STRICT_CLASS_SQL} as c2 from d),
-h as (select *, row_number() over (partition by review_text order by arrival) as n
+h as (select *, row_number() over (partition by review_text order by {FILE_ORDER_SQL}) as n
       from s where c1 > 0)
 select doc_id, cast(1 as int) as hazard_label_classified,
        cast(c2 > 0 as int) as hazard_label_validated
@@ -537,8 +535,6 @@ def cascade_with_checkpoints(spark, sf_dir):
         work_dir(spark, "cascade"),
         python_scorer(WORD_RUBRIC),
         python_scorer(STRICT_RUBRIC),
-        WHOLE_TEXTS,
-        WHOLE_TEXTS_2,
     )
     return final.select("doc_id", "hazard_label_classified", "hazard_label_validated")
 

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hazardlens.functions import answers, text
-from hazardlens.operators.envelopes import parse_envelope
-from hazardlens.schemas import REVIEW_ENVELOPE
+from hazardlens.operators.envelopes import parse_envelope, part
 from registry.base import REVIEW_KEY_SQL, REVIEWS_SQL, query, reviews, table
 
 FENCE = "`" * 3
@@ -111,14 +110,18 @@ def fn_parse_json(spark, sf_dir):
     )
     json = F.when(F.col("doc_id") % 6 == 0, F.concat(F.lit("{"), whole)).otherwise(whole)
     docs = table(spark, sf_dir, "documents").select("doc_id", json.alias("json"))
-    parsed = docs.select("doc_id", parse_envelope(F.col("json"), REVIEW_ENVELOPE).alias("e"))
-    broken = F.col("e._corrupt").isNotNull()
-    empty = F.lit("")
+    parsed = docs.select("doc_id", parse_envelope(F.col("json")).alias("e"))
+    envelope, empty = F.col("e"), F.lit("")
+    broken = envelope.isNull()
+
+    def text_at(path):
+        return F.when(broken, empty).otherwise(part(envelope, path, "string"))
+
     return parsed.select(
         "doc_id",
-        F.when(broken, empty).otherwise(F.col("e.ret")[0]).alias("code"),
-        F.when(broken, empty).otherwise(F.col("e.data.totalPage")).alias("total"),
-        F.when(broken, empty).otherwise(F.col("e.data.reviews")[0]["content"]).alias("review"),
+        text_at("ret[0]").alias("code"),
+        text_at("data.totalPage").alias("total"),
+        text_at("data.reviews[0].content").alias("review"),
         broken.alias("broken"),
     )
 

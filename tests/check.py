@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 import time
 import traceback
 from pathlib import Path
@@ -52,7 +53,7 @@ def main() -> int:
 
     sf_dir = sys.argv[1]
     only = sys.argv[2:]
-    spark, db = make_session(), database(sf_dir)
+    spark, db = make_session(tempfile.mkdtemp(prefix="check-")), database(sf_dir)
     sqls, bad = entry.oracle_sql(), 0
     for name, fn in entry.queries().items():
         if only and not any(name.startswith(o) for o in only):

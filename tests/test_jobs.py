@@ -1,18 +1,22 @@
 """Sources, sinks, label passes and streams, end to end in temporary folders."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
 from hazardlens import schemas
 from hazardlens.functions.text import review_key
 from hazardlens.operators import batching, dedup
-from hazardlens.plans.labelling import rule_cascade, run_cascade, run_pass
-from hazardlens.plans.rubric import DEFAULT_RUBRIC, Rubric, Rule, python_scorer, terms
+from hazardlens.operators.envelopes import read_review_envelopes
+from hazardlens.plans.collect import collect_reviews, usable_review_pages
+from hazardlens.plans.labelling import IncompletePassError, rule_cascade, run_cascade, run_pass
+from hazardlens.plans.rubric import DEFAULT_RUBRIC, Rubric, Rule, hazard_label, python_scorer, terms
 from hazardlens.plans.scoring import ScorerConfig, ask_batches, score_batches
-from hazardlens.session import work_dir
+from hazardlens.session import materialize, work_dir
 from hazardlens.sources import files, writers
 from hazardlens.streaming.dedup import distinct_stream, stream_distinct_ids
-from hazardlens.streaming.ingest import merge_batch, stream_merge
+from hazardlens.streaming.ingest import merge_batch, stream_id, stream_merge
 
 
 def rows(df, *columns):
@@ -46,7 +50,8 @@ def test_optional_and_required(spark, tmp_path):
     assert files.read_optional(spark, str(tmp_path / "no"), schemas.LABELS).count() == 0
     (tmp_path / "toys_ids.json").write_text('["1",\n {"id": "2", "subcategory": "s"}]')
     got = files.read_id_lists(spark, str(tmp_path))
-    assert rows(got) == [("toys_ids.json", 0, "1", ""), ("toys_ids.json", 1, "2", "s")]
+    name = "toys_ids.json"
+    assert rows(got) == [("toys", 0, "1", "", name), ("toys", 1, "2", "s", name)]
     with pytest.raises(FileNotFoundError):
         files.read_id_lists(spark, str(tmp_path), "nothing_*.json")
 
@@ -159,7 +164,7 @@ def test_a_model_sees_the_prompt_and_is_asked_again_without_json(spark):
             if len(prompts) == 1:
                 return "let me think"
             first, second = prompt.split("\n")
-            return f"[{int(len(first) == 303)}, {int(second == '2. short')}]"
+            return f"[{int(len(first) == 403)}, {int(second == '2. short')}]"
 
         return model
 
@@ -230,7 +235,7 @@ def test_stream_equals_batch_and_a_replayed_batch_changes_nothing(spark, tmp_pat
     want = dedup.dedup_reviews(reviews(spark, data))
     assert rows(got, "arrival") == rows(want, "arrival")
     last = reviews(spark, data[40:])
-    merge_batch(spark, last, 2, target)
+    merge_batch(spark, last, stream_id(spark, checkpoint), 2, target)
     again = spark.read.parquet(target)
     assert rows(again, "arrival") == rows(want, "arrival")
 
@@ -265,8 +270,8 @@ class FakeSession:
 
     class conf:
         @staticmethod
-        def get(key, default):
-            return default
+        def get(key, default=None):
+            return "file:/warehouse" if key == "spark.sql.warehouse.dir" else default
 
     class sparkContext:
         folder = None
@@ -294,3 +299,161 @@ def test_a_cluster_needs_a_shared_folder(monkeypatch):
     monkeypatch.setattr(FakeSession.sparkContext, "master", "spark://host:7077")
     with pytest.raises(ValueError):
         work_dir(FakeSession, "x")
+
+
+def test_a_new_checkpoint_keeps_what_an_earlier_stream_wrote(spark, tmp_path):
+    target = str(tmp_path / "out")
+    for name, texts in (("a", ["one", "two"]), ("b", ["two", "three"])):
+        source = str(tmp_path / f"in_{name}")
+        data = [("c", "1", "s", t, i) for i, t in enumerate(texts)]
+        reviews(spark, data).write.parquet(source)
+        got = stream_merge(spark, source, STREAM_SCHEMA, target, str(tmp_path / f"cp_{name}"))
+    assert rows(got, "review_text") == [("one",), ("three",), ("two",)]
+    assert got.select("stream").distinct().count() == 2
+
+
+def test_nothing_has_landed_yet(spark, tmp_path):
+    got = stream_merge(spark, str(tmp_path / "no"), STREAM_SCHEMA, str(tmp_path / "out"), str(tmp_path / "cp"))
+    assert got.count() == 0 and "review_key" in got.columns
+
+
+def test_a_pass_that_stops_half_way_keeps_its_labels(spark, tmp_path):
+    raw, path = numbered(spark, 40), str(tmp_path / "l")
+    config = ScorerConfig("p", 4, attempts=1, batches_per_commit=2)
+    asked = spark.sparkContext.accumulator(0)
+
+    def failing():
+        def score(texts):
+            if any(t.endswith("7") for t in texts):
+                raise RuntimeError("model is down")
+            return [1] * len(texts)
+
+        return score
+
+    try:
+        run_pass(spark, raw, path, failing, config)
+    except RuntimeError as error:
+        assert "model is down" in str(error)
+    first = files.read_optional(spark, path, schemas.LABELS)
+    done = first.count()
+    assert 0 < done < 40
+
+    def counting():
+        def score(texts):
+            asked.add(len(texts))
+            return [1] * len(texts)
+
+        return score
+
+    assert run_pass(spark, raw, path, counting, config).count() == 40
+    assert asked.value == 40 - done
+
+
+def test_scorer_tasks_are_as_many_as_configured(spark):
+    batched = batching.gather_batches(batching.assign_batches(numbered(spark, 400), 4))
+    scored = score_batches(batched, lambda: lambda t: [0] * len(t), ScorerConfig("p", 4, tasks=13))
+    assert scored.rdd.getNumPartitions() == 13
+
+
+def test_errors_are_told(spark):
+    def down():
+        raise_it = RuntimeError("no such model")
+
+        def score(texts):
+            raise raise_it
+
+        return score
+
+    batched = batching.gather_batches(batching.assign_batches(numbered(spark, 8), 4))
+    scored = score_batches(batched, down, ScorerConfig("p", 4, attempts=1))
+    assert {(r.labels, r.error) for r in scored.collect()} == {(None, "RuntimeError: no such model")}
+
+
+@pytest.mark.parametrize("policy", ["union", "intersection", "second_pass"])
+def test_no_result_while_second_labels_are_missing(spark, tmp_path, policy):
+    raw = reviews(spark, [("c", "1", "s", "it caught fire", 0), ("c", "2", "s", "fire again", 1)])
+
+    def first():
+        return lambda texts: [1] * len(texts)
+
+    def short():
+        return lambda texts: [1] * (len(texts) - 1)
+
+    def run(**more):
+        return run_cascade(spark, raw, str(tmp_path / "c"), first, short, policy=policy, **more)
+
+    with pytest.raises(IncompletePassError):
+        run()
+    second = run_cascade(spark, raw, str(tmp_path / "c"), first, first, policy=policy)
+    assert second.count() == 2
+
+
+def test_hazards_beyond_the_first_300_characters_are_found(spark, tmp_path):
+    far = "fine " * 100 + "then it caught fire"
+    raw = reviews(spark, [("c", "1", "s", "it caught fire", 0), ("c", "2", "s", far, 1)])
+    scorer = python_scorer(DEFAULT_RUBRIC)
+    assert run_cascade(spark, raw, str(tmp_path / "c"), scorer, scorer).count() == 2
+
+
+def test_steps_connect_through_files(spark, tmp_path):
+    """Ids to written lists, to reviews, to labels, to the final sheet."""
+    found = spark.createDataFrame(
+        [("Toys & Co", "7", 0, "s", 1, 0), ("Toys & Co", "12", 0, "s", 1, 1), ("Toys & Co", "9", 1, "t", 1, 0)],
+        "category string, id string, sub_ord int, subcategory string, page int, pos int",
+    )
+    existing = spark.createDataFrame([("Toys & Co", "12", "old", 0)], "category string, id string, subcategory string, ordinal long")
+    writers.write_id_lists(dedup.merge_ids(found, existing), str(tmp_path / "ids"))
+    ids = files.read_id_lists(spark, str(tmp_path / "ids"))
+    assert rows(ids, "category", "ordinal", "id", "subcategory") == [
+        ("toys_co", 0, "12", "old"), ("toys_co", 1, "7", "s"), ("toys_co", 2, "9", "t"),
+    ]
+    bodies = [(p, "1", 1, 1, page_body([f"product {p} caught fire", "same words, smoke"])) for p in ("7", "9", "12")]
+    pages = spark.createDataFrame(bodies, "product_id string, star string, page int, attempt int, body string")
+    raw = collect_reviews(pages, ids)
+    raw = materialize(raw, "raw")
+    scorer = python_scorer(DEFAULT_RUBRIC)
+    final = run_cascade(spark, raw, str(tmp_path / "labels"), scorer, scorer)
+    # the text that all share stays with the smallest numeric id
+    assert rows(final, "product_id", "review_text") == [
+        ("12", "product 12 caught fire"), ("7", "product 7 caught fire"), ("7", "same words, smoke"), ("9", "product 9 caught fire"),
+    ]
+    writers.write_final(final, str(tmp_path / "final"))
+    sheet = files.read_reviews_csv(spark, str(tmp_path / "final"), schemas.LABELLED_REVIEWS + ", hazard_final int")
+    assert sheet.count() == 4
+
+
+def page_body(texts):
+    return "mtopjsonp1(" + json.dumps({"ret": ["SUCCESS"], "data": {"reviewList": [{"content": t} for t in texts]}}) + ")"
+
+
+@pytest.mark.parametrize("value", ["", 0, {}, [], None, False])
+def test_missing_values_fall_through_one_by_one(spark, value):
+    def wrap(data):
+        return "mtopjsonp1(" + json.dumps({"ret": ["SUCCESS"], "data": data}) + ")"
+
+    full = [{"reviewContent": value, "content": "read this"}]
+    bodies = [wrap({"reviewList": value, "reviews": full, "totalPage": value, "maxPage": "3"}), wrap(value)]
+    parsed = read_review_envelopes(spark.createDataFrame([(b,) for b in bodies], "body string"))
+    assert rows(parsed, "status", "texts", "total_pages") == [("OK", [], 1), ("OK", ["read this"], 3)]
+
+
+def test_an_error_settles_a_page_and_an_expired_token_does_not(spark):
+    good = page_body(["text"])
+    error = "mtopjsonp1(" + json.dumps({"ret": ["X"]}) + ")"
+    expired = "mtopjsonp1(" + json.dumps({"ret": ["TOKEN_EXOIRED"]}) + ")"
+    data = [("a", 1, error), ("a", 2, good), ("b", 1, expired), ("b", 2, "<html>"), ("b", 3, good)]
+    pages = spark.createDataFrame([(p, "1", 1, n, b) for p, n, b in data], "product_id string, star string, page int, attempt int, body string")
+    assert rows(usable_review_pages(pages), "product_id") == [("b",)]
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "My Fire tablet stopped working, want a refund", "A pain to assemble, uncomfortable",
+        "Phone overheated and shut down, no burning", "It burned out after a week, poor quality",
+    ],
+)
+def test_sayings_are_no_hazards(spark, text):
+    df = spark.createDataFrame([(text,), ("It caught fire, Überhitzung größer",)], "t string")
+    assert [r[0] for r in df.select(hazard_label(F.col("t"), DEFAULT_RUBRIC)).collect()] == [0, 1]
+    assert python_scorer(DEFAULT_RUBRIC)()([text]) == [0]

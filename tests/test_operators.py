@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from hazardlens.functions.text import review_key
 from hazardlens.operators import batching, dedup, envelopes, gates, merging, ordering, paging, worklist
-from hazardlens.operators.skew import join_hot
 from hazardlens.plans.collect import collect_ids, collect_reviews, collect_tree
 from hazardlens.sources.files import explode_id_lists, explode_query_map
 
@@ -242,71 +241,61 @@ def test_running_new_ids(spark):
 # --- order -----------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("bits, levels", [(16, 0), (1, 1), (2, 3), (16, None)])
-def test_ordinal_equals_brute_force(spark, bits, levels):
+def test_ordinal_equals_brute_force(spark):
     rng = random.Random(7)
-    data = [(c, n) for c in "abc" for n in rng.sample(range(10**6), 50)]
+    data = [(c, n) for c in ("a", "b", None) for n in rng.sample(range(10**6), 50)]
     df = spark.createDataFrame(data, "c string, n bigint")
-    got = ordering.ordinal(df, ["c"], ["n"], "o", bits, levels)
-    want = [(c, n, 1 + sum(d == c and m < n for d, m in data)) for c, n in data]
-    assert rows(got, "c", "n", "o") == sorted(want)
+    got = {(r.c, r.n): r.o for r in ordering.ordinal(df, ["c"], ["n"], "o").collect()}
+    assert got == {(c, n): 1 + sum(d == c and m < n for d, m in data) for c, n in data}
 
 
-def test_ordinal_with_two_and_three_columns(spark):
+def test_ordinal_of_one_group_over_many_ranges(spark):
+    df = spark.range(5000).withColumn("c", F.lit("hot"))
+    got = ordering.ordinal(df, ["c"], ["id"], "o")
+    assert got.where("o <> id + 1").count() == 0 and got.count() == 5000
+
+
+def test_ordinal_with_three_columns_and_nulls(spark):
     rng = random.Random(8)
-    data = [(c, a, b, n) for c in "xy" for a in range(3) for b in range(-2, 3) for n in rng.sample(range(99), 4)]
+    data = [(c, a, b, n) for c in "xy" for a in (0, 1, None) for b in range(-2, 3) for n in rng.sample(range(99), 4)]
     df = spark.createDataFrame(data, "c string, a bigint, b int, n int")
-    three = ordering.ordinal(df, ["c"], ["a", "b", "n"], "o", bits=1, levels=2)
-    want = sorted(
-        (c, a, b, n, i + 1)
-        for g in "xy"
-        for i, (c, a, b, n) in enumerate(sorted(r for r in data if r[0] == g))
-    )
-    assert rows(three, "c", "a", "b", "n", "o") == want
+    three = ordering.ordinal(df, ["c"], ["a", "b", "n"], "o")
+    got = {(r.c, r.a, r.b, r.n): r.o for r in three.collect()}
+    for g in "xy":
+        line = sorted((r for r in data if r[0] == g), key=lambda r: (r[1] is None, r[1] or 0, r[2], r[3]))
+        assert [got[r] for r in line] == list(range(1, len(line) + 1))
+
+
+def test_structs_are_orders_too(spark):
+    keys = [(p, s, g, i) for p in (0, 1) for s in "12" for g in (1, 2**40) for i in (0, 2**12)]
+    df = spark.createDataFrame(keys[::-1], "p bigint, s string, g bigint, i int")
+    one = df.select(F.lit("c").alias("c"), F.struct("p", "s", "g", "i").alias("arrival"))
+    got = sorted((r.o, tuple(r.arrival)) for r in ordering.ordinal(one, ["c"], ["arrival"], "o").collect())
+    assert [k for _, k in got] == sorted(keys)
 
 
 def test_running_total(spark):
-    df = spark.createDataFrame([("a", n, n * n) for n in range(20)], "c string, n int, v int")
-    got = ordering.running_total(df, ["c"], "n", "v", "t", bits=2, levels=2)
-    assert rows(got, "n", "t") == [(n, sum(i * i for i in range(n))) for n in range(20)]
+    df = spark.createDataFrame([("a", n, n * n) for n in range(20)] + [(None, 3, 5), (None, 4, 6)], "c string, n int, v int")
+    got = ordering.running_total(df, ["c"], "n", "v", "t")
+    assert rows(got.where("c = 'a'"), "n", "t") == [(n, sum(i * i for i in range(n))) for n in range(20)]
+    assert rows(got.where("c is null"), "n", "t") == [(3, 0), (4, 5)]
 
 
 def test_numeric_sort(spark):
-    df = spark.createDataFrame([("10", 1), ("9", 2), ("9", 0)], "product_id string, arrival int")
+    df = spark.createDataFrame([("10", 1), ("x", 3), ("9", 2), ("9", 0)], "product_id string, arrival int")
     got = [tuple(r) for r in ordering.sort_by_numeric_id(df).collect()]
-    assert got == [("9", 0), ("9", 2), ("10", 1)]
-
+    assert got == [("9", 0), ("9", 2), ("10", 1), ("x", 3)]
 
-def test_page_arrival_keeps_the_order_and_refuses_what_does_not_fit(spark):
-    keys = [(p, s, g, i) for p in (0, 1) for s in "12" for g in (1, 2**20 - 1) for i in (0, 2**12 - 1)]
-    schema = "p bigint, s string, g int, i int"
-    df = spark.createDataFrame(keys, schema)
-    packed = df.select("*", ordering.page_arrival(*map(F.col, "psgi")).alias("a")).orderBy("a")
-    assert [tuple(r)[:4] for r in packed.collect()] == sorted(keys)
-    too_many = spark.createDataFrame([(0, "1", 1, 2**12)], schema)
-    with pytest.raises(Exception, match="out of range"):
-        too_many.select(ordering.page_arrival(*map(F.col, "psgi"))).collect()
 
+def test_null_groups_stay(spark):
+    df = spark.createDataFrame([(None, 1, 1), (None, 2, 1), (None, 3, 0), ("a", 4, 1), ("b", 5, None)], "category string, n int, label int")
+    assert rows(ordering.skip_per_group(df, ["category"], "n", 1), "n") == [(2,), (3,)]
+    assert rows(gates.gated_hazards(df, mode="coverage"), "n") == [(1,), (2,), (4,)]
+    listed = df.withColumn("subcategory", F.lit("s")).withColumnRenamed("n", "ordinal")
+    assert worklist.start_from(listed, "s").count() == 5
+    late = spark.createDataFrame([("c", None, "x"), ("c", 1, "y")], "category string, ordinal bigint, id string")
+    assert rows(worklist.product_batches(late), "id", "idx") == [("x", 2), ("y", 1)]
 
-# --- skew ---------------------------------------------------------------------------------
-
-
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_join_hot_equals_join(spark, how):
-    facts = spark.createDataFrame([("hot" if i % 3 else f"k{i % 7}", i) for i in range(90)], "k string, i int")
-    dim = spark.createDataFrame([("hot", 1), ("hot", 2), ("k0", 3), ("k9", 4)], "k string, d int")
-    plain = facts.join(dim, ["k"], how)
-    split = join_hot(facts, dim, ["k"], how, ["i"], min_rows=20, spread=4)
-    assert rows(split, *plain.columns) == rows(plain)
-    other = facts.where("i < 40").unionByName(spark.createDataFrame([("k0", 0)] * 30, facts.schema))
-    counted = join_hot(facts, dim, ["k"], how, ["i"], min_rows=20, spread=4, count_in=other)
-    assert rows(counted, *plain.columns) == rows(plain)
-
-
-def test_join_hot_refuses_joins_that_repeat_the_split_side(spark):
-    df = spark.range(3)
-    with pytest.raises(ValueError):
-        join_hot(df, df, ["id"], "outer", ["id"])
 
 
 # --- ids, work lists -----------------------------------------------------------------------

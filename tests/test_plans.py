@@ -22,17 +22,23 @@ def test_first_rows_are_limited_before_the_shuffle(spark, name):
 
 @pytest.mark.parametrize(
     "name, columns",
-    [("assign_batches", "doc_id:bigint,lang:string"), ("first_seen_ids", "l_orderkey:bigint,l_partkey:bigint,"
+    [("first_seen_ids", "l_orderkey:bigint,l_partkey:bigint,"
      "l_suppkey:bigint,l_linenumber:int,l_returnflag:string")],
 )
 def test_only_needed_columns_are_read(spark, name, columns):
     assert f"ReadSchema: struct<{columns}>" in plan(spark, name)
 
 
+@pytest.mark.parametrize("name, scans, shuffles", [("assign_batches", 2, 4), ("sort_numeric_id", 2, 8)])
+def test_numbering_reads_rows_once_and_sums_once(spark, name, scans, shuffles):
+    text = plan(spark, name)
+    assert text.count("FileScan") <= scans and text.count("Exchange ") <= shuffles, text
+
+
 def test_filters_reach_the_scan(spark):
     assert "In(lang, [de,fr])" in plan(spark, "select_categories").replace("fr,de", "de,fr")
 
 
 @pytest.mark.parametrize("name", ["extract_ids", "parse_reviews", "status_search"])
 def test_envelopes_are_parsed_once(spark, name):
-    assert plan(spark, name).count("from_json(") == 1
+    assert plan(spark, name).count("parseJson") == 1
