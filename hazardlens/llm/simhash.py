@@ -15,6 +15,8 @@ from hazardlens.llm.components import components
 from hazardlens.session import materialize
 
 WORDS, RADIUS, SEGMENTS, SEED = 3, 3, 2, 42
+#: Segments that more fingerprints share are looked up by a part of the other bits as well.
+CROWD = 512
 _CHUNK = 65_536
 
 
@@ -66,14 +68,36 @@ def ball(width: int, radius: int) -> list[int]:
     return [sum(1 << b for b in bits) for r in range(radius + 1) for bits in combinations(range(width), r)]
 
 
+def _finer(rows: DataFrame, fp: str, radius: int, count: int) -> DataFrame:
+    """``rows`` once for each of ``radius + 1`` parts of the bits outside their segment, with
+    the part's number ``c`` and value ``v``. Near fingerprints agree in one of the parts."""
+    parts = []
+    for c in range(radius + 1):
+        value = F.lit(0).cast("long")
+        for number, (start, width) in enumerate(segments(count)):
+            end, rest = start + width, 64 - width
+            low, high = rest * c // (radius + 1), rest * (c + 1) // (radius + 1)
+            turned = F.shiftrightunsigned(fp, end) if end < 64 else F.lit(0).cast("long")
+            turned = turned.bitwiseOR(F.shiftleft(fp, 64 - end))
+            own = F.shiftrightunsigned(turned, low).bitwiseAND(F.lit((1 << (high - low)) - 1))
+            value = F.when(F.col("t") == number, own).otherwise(value)
+        parts.append(F.struct(F.lit(c).alias("c"), value.alias("v")))
+    return rows.select("*", F.inline(F.array(*parts)))
+
+
 def links(
-    distinct: DataFrame, radius: int = RADIUS, count: int = SEGMENTS, fp: str = "fp"
+    distinct: DataFrame,
+    radius: int = RADIUS,
+    count: int = SEGMENTS,
+    fp: str = "fp",
+    crowd: int = CROWD,
 ) -> DataFrame:
     """Pairs ``a`` < ``b`` of different fingerprints that differ in 1 to ``radius`` bits.
 
     Of fingerprints within ``radius``, one of ``count`` segments differs in at most
     ``radius // count`` bits. Every fingerprint is looked up under all such changes of each
-    segment in a table of the segments as they are; whole distances are verified.
+    segment in a table of the segments as they are; whole distances are verified. Where more
+    than ``crowd`` fingerprints share a segment, they must agree in a part of the others too.
     """
     near = radius // count
     stored, probes = [], []
@@ -86,7 +110,16 @@ def links(
             probes.append(F.struct(F.lit(number).alias("t"), changed.alias("s")))
     table = base.select(F.col("fp").alias("b"), F.inline(F.array(*stored)))
     probe = base.select(F.col("fp").alias("a"), F.inline(F.array(*probes)))
-    found = probe.join(table, ["t", "s"]).where("a < b")
+    full = table.groupBy("t", "s").agg(F.count("*").alias("n")).where(F.col("n") > crowd)
+    full = materialize(full.select("t", "s"), "crowds")
+    if full.isEmpty():
+        found = probe.join(table, ["t", "s"]).where("a < b")
+    else:
+        sparse = probe.join(full, ["t", "s"], "left_anti").join(table, ["t", "s"])
+        asked = _finer(probe.join(full, ["t", "s"], "left_semi"), "a", radius, count)
+        held = _finer(table.join(full, ["t", "s"], "left_semi"), "b", radius, count)
+        dense = asked.join(held, ["t", "s", "c", "v"])
+        found = sparse.select("a", "b").unionAll(dense.select("a", "b")).where("a < b")
     distance = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
     return found.where(distance <= radius).select("a", "b").distinct()
 

@@ -97,8 +97,8 @@ def test_near_groups(spark):
     assert simhash.groups(empty(spark)).count() == 0
 
 
-@pytest.mark.parametrize("radius", [1, 3, 5])
-def test_links_lose_no_pair(spark, radius):
+@pytest.mark.parametrize("radius, crowd", [(1, 512), (3, 512), (3, 1), (5, 2)])
+def test_links_lose_no_pair(spark, radius, crowd):
     rng = np.random.default_rng(radius)
     base = rng.integers(-(1 << 63), 1 << 63, 12, np.int64)
     prints = set(base.tolist()) | {-1, 0, -(1 << 63)}
@@ -112,7 +112,7 @@ def test_links_lose_no_pair(spark, radius):
         (a, b) for a in prints for b in prints
         if a < b and ((a ^ b) & ((1 << 64) - 1)).bit_count() <= radius
     }
-    assert {tuple(r) for r in simhash.links(df, radius).collect()} == want
+    assert {tuple(r) for r in simhash.links(df, radius, crowd=crowd).collect()} == want
 
 
 def test_components_of_paths_stars_and_loops(spark):
