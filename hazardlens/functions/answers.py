@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from hazardlens.functions.text import remove_prefix, remove_suffix, strip
+from hazardlens.functions.text import strip
 
 FENCE = "`" * 3
 
 
 def strip_fence(answer: Column) -> Column:
     """Answer without the code fence around it."""
-    opened = remove_prefix(remove_prefix(strip(answer), FENCE + "json"), FENCE)
-    return strip(remove_suffix(opened, FENCE))
+    opened = F.regexp_replace(strip(answer), rf"\A(?:{FENCE}json)?(?:{FENCE})?", "")
+    return strip(F.regexp_replace(opened, rf"{FENCE}\z", ""))
 
 
 def parse_labels(answer: Column) -> Column:

@@ -10,7 +10,10 @@ RECOMMENDED = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # A category or product may hold a third of all rows: joins split them at run time, also
+    # where that takes another shuffle afterwards.
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # One Arrow row carries a whole batch of review texts, so keep few per transfer.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
     # Streaming de-duplication keeps every key it has seen; hold it off-heap.
