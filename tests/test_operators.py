@@ -223,10 +223,13 @@ def test_collect_ids(spark):
     existing = spark.createDataFrame(
         [("c", "9", "old"), ("c", "9", "old"), ("d", "1", "")], "category string, id string, subcategory string"
     )
-    assert rows(collect_ids(pages, existing)) == [
+    merged = collect_ids(pages, existing)
+    assert rows(merged, "category", "id", "subcategory", "source_rank") == [
         ("c", "11", "t", 1), ("c", "5", "s", 1), ("c", "7", "s", 1), ("c", "9", "old", 0),
         ("c", "9", "old", 0), ("d", "1", "", 0), ("d", "5", "s", 1),
     ]
+    listed = dedup.listed_ids(merged).where("category = 'c'")
+    assert rows(listed, "ordinal", "id") == [(0, "9"), (1, "9"), (2, "5"), (3, "7"), (4, "11")]
 
 
 def test_running_new_ids(spark):
