@@ -12,7 +12,7 @@ from pyspark.sql.types import StructField, StructType
 
 SPACES = " \t\n\x0b\x0c\r"
 #: Characters of input that are worked on at a time; bounds memory only.
-CHUNK = 2_000_000
+CHUNK = 500_000
 
 
 def without(df: DataFrame, names: list[str]) -> DataFrame:
