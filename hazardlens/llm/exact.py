@@ -130,6 +130,8 @@ def groups(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     best = rows.groupBy("n_blocks", "name").agg(
         F.sum("copies").alias("group_size"), F.min(rank).alias("_best")
     )
+    # Written, so that the join deals out both sides anew and Spark can split hot groups.
+    best = materialize(best, "best")
     is_best = rank == F.col("_best")
     is_best = is_best | (
         F.col("doc_id").isNull() & F.col("_best.none") & (-F.col("_chars") == F.col("_best.longest"))
