@@ -265,15 +265,23 @@ def learn(docs: DataFrame, per_language: int = SAMPLE_DOCS, chars: int = SAMPLE_
     known = docs.where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()
     )
+    # Only ids whose hash is small enough compete, a few times as many as are taken, so no
+    # task gathers a language, however many tasks read it.
+    sizes = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(SAMPLE_LANGUAGES)
+    hashed = F.md5(F.col("doc_id").cast("string"))
+    share = F.conv(F.substring(hashed, 1, 12), 16, 10).cast("double") / float(1 << 48)
+    competes = F.lit(False)
+    for row in sizes.collect():
+        competes = competes | ((F.col("lang") == row["lang"]) & (share <= 4 * per_language / row["count"]))
+    known = known.where(competes)
     room = F.greatest(F.length("text") - chars, F.lit(0)) + 1
     start = F.pmod(F.xxhash64("doc_id"), room.cast("long")).cast("int") + 1
     sample = known.select(
-        "lang", F.md5(F.col("doc_id").cast("string")).alias("h"), F.substring("text", start, F.lit(chars)).alias("text")
+        "lang", hashed.alias("h"), F.substring("text", start, F.lit(chars)).alias("text")
     )
     order = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
     sample = sample.withColumn("_rn", order).where(F.col("_rn") <= per_language)
-    rows = sample.select("lang", "h", "text").orderBy("_rn", "lang", "h").limit(per_language * SAMPLE_LANGUAGES).collect()
-    rows = sorted((r.lang, r.h, r.text) for r in rows)
+    rows = sorted((r.lang, r.h, r.text) for r in sample.select("lang", "h", "text").collect())
     return train([r[2] for r in rows], [r[0] for r in rows])
 
 
