@@ -21,10 +21,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField
 
-from hazardlens.llm.common import add_columns, whole_text, without
+from hazardlens.llm.common import add_columns, whole_text
 
 #: Fragments whose ids one task remembers before it starts afresh; bounds memory only.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 
 # Fixed value: the pieces of byte-level tokenizers of this kind.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -215,11 +215,32 @@ def decode(tokens: DataFrame, path: str, ids: str = "ids", out: str = "decoded")
     return add_columns(tokens, [ids], [StructField(out, StringType(), False)], make)
 
 
+def round_trip(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """``encode`` and then ``decode`` in one pass: ``docs`` with ``ids``, ``n_tokens`` and
+    ``decoded``. One Python worker per task does both."""
+    load = _loader(docs, path)
+
+    def make():
+        codec = load()
+
+        def row(value: str | None):
+            ids = codec.encode(value or "")
+            return ids, len(ids) // 4, codec.decode(ids)
+
+        return row
+
+    fields = [
+        StructField("ids", BinaryType(), False),
+        StructField("n_tokens", LongType(), False),
+        StructField("decoded", StringType(), False),
+    ]
+    return add_columns(docs, [text], fields, make)
+
+
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """Token count and digests of the ids and of the decoded text, one row per row of ``docs``."""
     plain = docs.select("doc_id", whole_text().alias("text"))
-    tokens = without(encode(plain, path), ["text"])
-    return decode(tokens, path).select(
+    return round_trip(plain, path).select(
         "doc_id",
         "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),

@@ -41,6 +41,8 @@ def test_bpe_is_the_librarys(spark):
 
 def test_bpe_replaces_columns_of_its_names_and_keeps_others(spark):
     df = docs(spark, ROWS[:4]).withColumn("IDS", F.lit(1)).withColumn("extra", F.lit("x"))
+    again = bpe.decode(bpe.encode(docs(spark, ROWS[:9]), VOCABULARY), VOCABULARY)
+    assert all(r.decoded == (r.text or "") for r in again.collect())
     found = bpe.encode(df, VOCABULARY)
     assert found.columns == ["doc_id", "text", "lang", "source", "n_chars", "extra", "ids", "n_tokens"]
     assert {r.extra for r in found.collect()} == {"x"}
