@@ -1,9 +1,9 @@
 """Personal data: patterns for what has a form, co-occurrence for what gives it away.
 
-Addresses and numbers are found by patterns. A word near such an entity gives it away as
-far as seeing the word predicts the entity: its pointwise mutual information with the entity,
-as a share of the entity's whole information content. Words above a threshold are spans too;
-spans are generalised to their kind, or removed.
+Addresses and numbers are found by patterns. A word in a text with such an entity gives it away
+as far as seeing the word predicts the entity: its pointwise mutual information with the entity,
+as a share of the entity's whole information content. Words above a threshold are spans too,
+wherever they stand; spans are generalised to their kind, or removed.
 """
 
 from __future__ import annotations
@@ -27,11 +27,11 @@ KINDS = list(PATTERNS)
 #: What a text must hold for a kind to be looked for at all.
 _SIGNS = {"email": "@", "ip": ".", "card": r"[0-9](?:[\x20-]?[0-9]){12}", "phone": "+"}
 TERM = "term"
-#: Code points on either side of an entity in which words count as near it.
+#: Code points on either side of an entity that tell passages apart.
 NEAR = 80
 #: Words are spans if they give away this share of an entity, in so many different passages.
 SHARE, SUPPORT = 0.8, 2
-_WORD = r"(?<![\p{L}\p{N}@._%+-])\p{L}{3,}(?![\p{L}\p{N}@_%+-])"
+_WORD = r"[\p{L}\p{M}\p{N}]++"
 
 
 def _digits(match: Column) -> Column:
@@ -98,80 +98,81 @@ _MATCH = (
 
 
 def entities(docs: DataFrame) -> DataFrame:
-    """The valid base matches: ``row``, ``doc_id``, ``k``, ``kind``, ``start``, ``end``,
-    ``value``, ``left``, ``right``. A row without any has one line with a null kind. Places
+    """The valid base matches: ``row``, ``doc_id``, ``digest`` of the text, ``k``, ``kind``,
+    ``start``, ``end``, ``value``, ``left``, ``right``. A row without any has one line with a null kind. Places
     are code points from 0. ``row`` tells rows of one doc_id apart."""
     base = docs.select(
-        F.monotonically_increasing_id().alias("row"), "doc_id", _matches(whole_text()).alias("m")
+        F.monotonically_increasing_id().alias("row"), "doc_id", _digest(), _matches(whole_text()).alias("m")
     )
-    lines = base.select("row", "doc_id", F.inline_outer("m"))
+    lines = base.select("row", "doc_id", "digest", F.inline_outer("m"))
     spread = lines.repartition("row")
     so_far = Window.partitionBy("row", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     end = F.sum(F.col("gap") + F.length("value")).over(so_far)
     placed = spread.withColumn("end", end).withColumn("start", F.col("end") - F.length("value"))
     bad = F.col("kind").isNotNull() & ~F.coalesce(_valid(F.col("kind"), F.col("value")), F.lit(True))
     empty = [F.when(~bad, F.col(c)).alias(c) for c in ("kind", "start", "end", "value", "left", "right")]
-    return placed.select("row", "doc_id", "k", *empty)
+    return placed.select("row", "doc_id", "digest", "k", *empty)
 
 
-def _words(context: Column) -> Column:
-    """Words of a short passage with their offsets."""
-    hits, gaps = F.regexp_extract_all(context, F.lit(_WORD), F.lit(0)), F.split(context, _WORD, -1)
+def _digest() -> Column:
+    return F.md5(whole_text().cast("binary")).alias("digest")
 
-    def length(parts: Column, count: Column) -> Column:
-        return F.aggregate(F.slice(parts, F.lit(1), count), F.lit(0), lambda t, p: t + F.length(p))
 
-    return F.transform(
-        hits,
-        lambda hit, i: F.struct(
-            F.lower(hit).alias("term"),
-            (length(gaps, i + 1) + length(hits, i)).cast("long").alias("at"),
-            F.length(hit).cast("long").alias("size"),
-        ),
-    )
+def _blanked(text: Column, found: Column) -> Column:
+    """The text with spaces in place of its spans, so that places stay."""
 
+    def add(done: Column, s: Column) -> Column:
+        fresh = s["end"] > done["at"]
+        start = F.greatest(s["start"], done["at"])
+        between = F.substring(text, (done["at"] + 1).cast("int"), (start - done["at"]).cast("int"))
+        blank = F.repeat(F.lit(" "), (s["end"] - start).cast("int"))
+        return F.struct(
+            F.when(fresh, F.concat(done["out"], between, blank)).otherwise(done["out"]).alias("out"),
+            F.greatest(done["at"], s["end"]).alias("at"),
+        )
 
-def near_words(found: DataFrame) -> DataFrame:
-    """The words near each entity of ``found``: ``row``, ``kind``, ``value``, ``context``,
-    ``term``, ``start``, ``end``. Words that the edge of the passage cuts are left out."""
-    some = found.where(F.col("kind").isNotNull())
-    full = NEAR + 1
-    left = F.when(F.length("left") == full, F.regexp_replace("left", r"^\S*", "")).otherwise(F.col("left"))
-    right = F.when(F.length("right") == full, F.regexp_replace("right", r"\S*$", "")).otherwise(F.col("right"))
-    sides = some.select(
-        "row", "kind", "start", "end", F.lower("value").alias("value"),
-        F.xxhash64("left", "right").alias("context"), left.alias("left"), right.alias("right"),
-    )
-    before = sides.select(
-        "row", "kind", "value", "context", (F.col("start") - F.length("left")).alias("from"),
-        F.inline(_words(F.col("left"))),
-    )
-    after = sides.select(
-        "row", "kind", "value", "context", F.col("end").alias("from"), F.inline(_words(F.col("right")))
-    )
-    start = F.col("from") + F.col("at")
-    return before.unionAll(after).select(
-        "row", "kind", "value", "context", "term", start.alias("start"), (start + F.col("size")).alias("end")
-    )
+    start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
+    done = F.aggregate(found, start, add)
+    blanked = F.concat(done["out"], F.substring(text, (done["at"] + 1).cast("int"), F.length(text)))
+    return F.when(found.isNull(), text).otherwise(blanked)
 
 
-def revealing(words: DataFrame, docs: DataFrame, share: float = SHARE, support: int = SUPPORT) -> DataFrame:
+def different_texts(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """Each text of ``docs`` once: its ``digest`` and ``text`` with its base matches blanked."""
+    once = docs.select(_digest(), whole_text().alias("text")).groupBy("digest").agg(F.first("text").alias("text"))
+    own = found.where(F.col("kind").isNotNull()).select("digest", F.struct("start", "end").alias("place"))
+    places = own.groupBy("digest").agg(F.sort_array(F.collect_set("place")).alias("places"))
+    return once.join(places, "digest", "left").select("digest", _blanked(F.col("text"), F.col("places")).alias("text"))
+
+
+def _spoken() -> Column:
+    """The different words of a text: runs of letters and digits of any length."""
+    return F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_WORD), F.lit(0)))
+
+
+def revealing(found: DataFrame, texts: DataFrame, share: float = SHARE, support: int = SUPPORT) -> DataFrame:
     """``kind``, ``value``, ``term`` and ``given``: what share of the entity the term gives away.
 
-    Probabilities are of documents, counted over all of ``docs``. A document counts once for
-    an entity, and so do passages that are copies of each other: copying gives nothing away.
+    Probabilities are of different ``texts``, all of them, so a text that is copied counts once
+    on every side. A term must stand by the entity in ``support`` different passages as well:
+    copying a passage into different texts gives nothing away.
     """
-    by_text = words.groupBy("kind", "value", "term", "row").agg(F.min("context").alias("context"))
-    once = by_text.select("kind", "value", "context", "term").distinct()
-    pairs = once.groupBy("kind", "value", "term").agg(F.count("*").alias("both"))
-    pairs = materialize(pairs.where(F.col("both") >= support), "pairs")
-    own = words.select("kind", "value", "context").distinct().groupBy("kind", "value").agg(
-        F.count("*").alias("of_value")
+    some = found.where(F.col("kind").isNotNull())
+    own = some.groupBy("digest", "kind", F.lower("value").alias("value")).agg(
+        F.min(F.xxhash64("left", "right")).alias("context")
     )
-    spoken = F.array_distinct(F.regexp_extract_all(F.lower(whole_text()), F.lit(r"\p{L}{3,}"), F.lit(0)))
-    every = docs.select(F.explode(spoken).alias("term")).groupBy("term").agg(F.count("*").alias("of_term"))
-    total = docs.count()
-    joined = pairs.join(own, ["kind", "value"]).join(every, "term")
+    counts = own.groupBy("kind", "value", "context").agg(F.count("*").alias("n"))
+    counts = counts.groupBy("kind", "value").agg(F.sum("n").alias("of_value"), F.count("*").alias("passages"))
+    often = materialize(own.join(counts.where(F.col("passages") >= support), ["kind", "value"]), "often")
+    words = texts.join(often.select("digest").distinct(), "digest", "left_semi")
+    words = words.select("digest", F.explode(_spoken()).alias("term"))
+    both = often.join(words, "digest").groupBy("kind", "value", "of_value", "term", "context")
+    pairs = both.agg(F.count("*").alias("n")).groupBy("kind", "value", "of_value", "term")
+    pairs = pairs.agg(F.sum("n").alias("both"), F.count("*").alias("passages"))
+    pairs = materialize(pairs.where(F.col("passages") >= support), "pairs")
+    every = texts.select(F.explode(_spoken()).alias("term")).groupBy("term").agg(F.count("*").alias("of_term"))
+    total = texts.count()
+    joined = pairs.join(every, "term")
     mutual = F.log2(F.col("both") * float(total) / (F.col("of_term") * F.col("of_value")))
     content = F.log2(float(total) / F.col("of_value"))
     return joined.select("kind", "value", "term", F.least(F.lit(1.0), mutual / content).alias("given")).where(
@@ -179,27 +180,45 @@ def revealing(words: DataFrame, docs: DataFrame, share: float = SHARE, support:
     )
 
 
+def term_places(texts: DataFrame, given: DataFrame) -> DataFrame:
+    """``digest``, ``start`` and ``end`` of every occurrence of a given term in all ``texts``."""
+    terms = materialize(given.select("term").distinct(), "terms")
+    said = texts.select("digest", F.explode(_spoken()).alias("term")).join(terms, "term")
+    hit = said.groupBy("digest").agg(F.collect_set("term").alias("terms"))
+    gaps, words = F.split("text", _WORD, -1), F.regexp_extract_all("text", F.lit(_WORD), F.lit(0))
+    listed = F.transform(words, lambda w, i: F.struct(w.alias("word"), F.length(F.get(gaps, i)).alias("gap")))
+    lowered = F.regexp_extract_all(F.lower("text"), F.lit(_WORD), F.lit(0))
+    lines = texts.join(hit, "digest").select(
+        "digest", "terms", lowered.alias("lowered"), F.posexplode(listed).alias("i", "m")
+    ).select(
+        "digest", "i", (F.length("m.word") + F.col("m.gap")).cast("long").alias("step"),
+        F.length("m.word").cast("long").alias("size"),
+        F.array_contains("terms", F.get("lowered", F.col("i"))).alias("told"),
+    )
+    so_far = Window.partitionBy("digest").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    placed = lines.withColumn("end", F.sum("step").over(so_far)).where("told")
+    return placed.select("digest", (F.col("end") - F.col("size")).alias("start"), "end")
+
+
 def spans(docs: DataFrame, share: float = SHARE, support: int = SUPPORT) -> DataFrame:
     """One row per row of ``docs`` with ``spans``: an array of kind, start and end.
 
     Base kinds come first, in their order, then the words that give entities away, each by
-    start. Null texts count as empty and have none; rows that repeat stay; an empty table
-    gives no rows. Further columns are not read. Columns ``row``, ``doc_id``, ``spans``.
+    start; those are marked in every text, with the entity or without. Null texts count as
+    empty and have none; rows that repeat stay; an empty table gives no rows. Further columns
+    are not read. Columns ``row``, ``doc_id``, ``spans``.
     """
     found = materialize(entities(docs.select("doc_id", "text")), "entities")
-    words = materialize(near_words(found), "near")
-    given = revealing(words, docs.select("text"), share, support)
-    terms = words.join(given, ["kind", "value", "term"]).select("row", "start", "end").distinct()
-    lines = found.select("row", "doc_id", "k", "kind", "start", "end").unionAll(
-        terms.select(
-            "row", F.lit(None).cast("bigint").alias("doc_id"), F.lit(len(KINDS)).alias("k"),
-            F.lit(TERM).alias("kind"), "start", "end",
-        )
-    )
+    texts = materialize(different_texts(docs.select("text"), found), "texts")
+    terms = term_places(texts, revealing(found, texts, share, support))
+    line = F.struct(F.lit(len(KINDS)).alias("k"), "start", "end", F.lit(TERM).alias("kind"))
+    terms = terms.groupBy("digest").agg(F.sort_array(F.collect_list(line)).alias("told"))
     line = F.when(F.col("kind").isNotNull(), F.struct("k", "start", "end", "kind"))
-    return lines.groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"), F.sort_array(F.collect_list(line)).alias("spans")
+    base = found.groupBy("row", "digest").agg(
+        F.max("doc_id").alias("doc_id"), F.sort_array(F.collect_list(line)).alias("base")
     )
+    every = F.when(F.col("told").isNull(), F.col("base")).otherwise(F.concat("base", "told"))
+    return base.join(terms, "digest", "left").select("row", "doc_id", every.alias("spans"))
 
 
 def _joined(found: Column) -> Column:
