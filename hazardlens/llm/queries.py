@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardlens.llm import bpe, exact, fingerprints, language, mixing, privacy, simhash, suffixes, templates, urls, zones
+from hazardlens.llm import bpe, exact, fingerprints, language, mixing, periods, privacy, simhash, suffixes, templates, urls, zones
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -101,3 +101,8 @@ def document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_zone_clusters", zones.sql())
 def zone_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zones.report(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_word_runs")
+def word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.report(table(spark, sf_dir, "documents"))
