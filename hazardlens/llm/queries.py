@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardlens.llm import bpe, exact, fingerprints, language, mixing, periods, privacy, simhash, suffixes, templates, urls, zones
+from hazardlens.llm import (
+    bpe, exact, fingerprints, language, mixing, passages, periods, privacy, simhash, suffixes, templates, urls, zones,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -98,6 +100,11 @@ def document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op11_passage_dedup", passages.SQL)
+def passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.report(table(spark, sf_dir, "documents"))
+
+
 @query("op12_zone_clusters", zones.sql())
 def zone_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zones.report(table(spark, sf_dir, "embeddings"))
