@@ -55,3 +55,18 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = work_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``materialize`` that nothing will read again.
+
+    Only for tables whose results have been written themselves: a lost executor must not need
+    them any more.
+    """
+    for table in tables:
+        for folder in {name.rsplit("/", 1)[0] for name in table.inputFiles()}:
+            if "/hazardlens/" not in folder:
+                raise ValueError(f"not a working table: {folder}")
+            jvm = table.sparkSession._jvm
+            path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+            path.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)

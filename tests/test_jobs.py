@@ -13,7 +13,7 @@ from hazardlens.plans.collect import collect_reviews, usable_review_pages
 from hazardlens.plans.labelling import IncompletePassError, rule_cascade, run_cascade, run_pass
 from hazardlens.plans.rubric import DEFAULT_RUBRIC, Rubric, Rule, hazard_label, python_scorer, terms
 from hazardlens.plans.scoring import ScorerConfig, ask_batches, score_batches
-from hazardlens.session import materialize, work_dir
+from hazardlens.session import discard, materialize, work_dir
 from hazardlens.sources import files, writers
 from hazardlens.streaming.dedup import distinct_stream, stream_distinct_ids
 from hazardlens.streaming.ingest import merge_batch, stream_id, stream_merge
@@ -457,3 +457,21 @@ def test_sayings_are_no_hazards(spark, text):
     df = spark.createDataFrame([(text,), ("It caught fire, Überhitzung größer",)], "t string")
     assert [r[0] for r in df.select(hazard_label(F.col("t"), DEFAULT_RUBRIC)).collect()] == [0, 1]
     assert python_scorer(DEFAULT_RUBRIC)()([text]) == [0]
+
+
+def test_working_tables_can_be_deleted(spark, tmp_path):
+    table = materialize(spark.range(5), "short lived")
+    folder = table.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
+    assert folder_exists(folder)
+    discard(table.where("id > 2").unionAll(table))
+    assert not folder_exists(folder)
+    spark.range(3).write.parquet(str(tmp_path / "own"))
+    with pytest.raises(ValueError):
+        discard(spark.read.parquet(str(tmp_path / "own")))
+
+
+def folder_exists(folder):
+    from pathlib import Path
+    from urllib.parse import unquote
+
+    return Path(unquote(folder)).is_dir()
