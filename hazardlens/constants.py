@@ -40,6 +40,30 @@ MAX_REVIEW_CHARS = 300
 MAX_ATTEMPTS = 3
 PRODUCTS_PER_BATCH = 3000
 
+# What a review must clearly describe to be a hazard, and what alone makes it none; if unclear, 0.
+HAZARD_CRITERIA = (
+    "personal injury: pain, bleeding, rash, allergy, swelling, poisoning",
+    "choking hazard (small parts for children)",
+    "electric shock, short circuit, sparks, smoke, fire, explosion, or burning",
+    "device or charger dangerously hot to the touch",
+    "product melting or deforming in a way that causes smoke, fire, or burn risk — not just product failure",
+    "chemical/toxic smell causing physical symptoms (headache, nausea, throat pain, eye irritation)",
+    "product unsafe for food contact",
+    "wrong voltage causing component failure or fire",
+    "product bursting or rupturing during normal use",
+)
+HARMLESS_CRITERIA = (
+    "broken, poor quality, wrong or fake product, stopped working",
+    "property damage (printer, phone, car) without personal injury",
+    "leaking, refund issue, seller problem",
+    "discomfort from poor fit or normal use",
+    "fraud, scam, misleading listing, or malware/software issues",
+    "product getting warm during normal use",
+    "phone or device overheating without fire, burn, or smoke",
+    "product melted or warped by heat without fire or smoke",
+    "bad or unpleasant odor without toxic concern",
+)
+
 # Label columns.
 PASS1_LABEL = "hazard_label_classified"
 PASS2_LABEL = "hazard_label_validated"

@@ -10,14 +10,16 @@ from hazardlens.operators import batching, dedup, gates, merging, reports
 from hazardlens.plans.labelling import rule_cascade, run_cascade, run_pass
 from hazardlens.plans.rubric import (
     DEFAULT_RUBRIC,
-    NOT_A_WORD,
+    MARK,
+    NO_WORD_OR_COMMA,
     Rubric,
     Rule,
     benign_class,
     hazard_class,
-    negation_pattern,
     python_scorer,
+    rewrites,
     terms,
+    trie,
 )
 from hazardlens.plans.scoring import FIRST_PASS, ask_batches, score_batches
 from hazardlens.session import materialize, work_dir
@@ -342,23 +344,31 @@ WORD_RUBRIC = Rubric(
         Rule(2, "hands", (terms("hand, hands"),)),
         Rule(3, "thin and short", (terms("thin"), terms("is, the"))),
     ),
-    negations="(?:the|no) (?:hand|hands)",
+    harmless=terms("the hand, the hands, no hand, no hands"),
 )
 STRICT_RUBRIC = Rubric(hazards=(Rule(1, "licence talk", (terms("license"),)),))
 
 
 def _class_sql(rubric, column="review_text", rules=None):
-    """The classes by regular expressions on the words with single spaces between them."""
-    text = f"' ' || regexp_replace(lower({column}), '{NOT_A_WORD}', ' ', 'g') || ' '"
-    if rubric.negations:
-        text = f"regexp_replace({text}, '{negation_pattern(rubric)}', ' ', 'g')"
+    """The classes by regular expressions on lists of sentences."""
+    spaced = f"regexp_replace(regexp_replace(s, '{NO_WORD_OR_COMMA}', ' ', 'g'), ' *, *', ' , ', 'g')"
+    step = f"regexp_replace(' ' || {spaced} || ' ', ' +', ' ', 'g')"
+    split = f"string_split_regex(lower({column}), '[.!?;' || chr(10) || chr(13) || ']+')"
+    sentences = f"list_transform({split}, lambda s: {step})"
+    for needs, pattern in rewrites(rubric):
+        replaced = f"regexp_replace(s, '{pattern}', '{MARK}', 'g')"
+        if needs is not None:
+            replaced = f"case when regexp_matches(s, '{needs}') then {replaced} else s end"
+        sentences = f"list_transform({sentences}, lambda s: {replaced})"
+    pairs = "list_transform(z, lambda s, i: s || coalesce(z[i + 1], ''))"
 
     def hit(rule):
-        groups = [f"regexp_matches({text}, ' ({'|'.join(g)}) ')" for g in rule.all_of]
-        return " and ".join(groups)
+        groups = " and ".join(f"regexp_matches(s, ' {trie(g)} ')" for g in rule.all_of)
+        where = "z" if len(rule.all_of) == 1 else pairs
+        return f"len(list_filter({where}, lambda s: {groups})) > 0"
 
     whens = " ".join(f"when {hit(r)} then {r.class_id}" for r in rules or rubric.hazards)
-    return f"cast(case {whens} else 0 end as int)"
+    return f"(select cast(case {whens} else 0 end as int) from (select {sentences} as z))"
 
 
 _WORD_CLASS_SQL = _class_sql(WORD_RUBRIC)
@@ -392,6 +402,19 @@ PHRASES = (
     ("Phone gets warm.", 0),
     ("It melted without any smoke or fire.", 0),
     ("Bad smell.", 0),
+    ("The blood pressure monitor is inaccurate, want a refund.", 0),
+    ("Fire pit cover too small, returned it.", 0),
+    ("Spark plug does not fit my mower.", 0),
+    ("The smoke colored vase arrived broken.", 0),
+    ("The toy fire truck broke, cheap quality.", 0),
+    ("Overheated and shut down, nothing burned", 0),
+    ("Painful price for a cheap fake.", 0),
+    ("The pen melted a bit, color of fire red", 0),
+    ("Too tight, painful after an hour.", 0),
+    ("Got burned by this scam.", 0),
+    ("No smoke, flames or sparks, but it shocked me.", 3),
+    ("My blood pressure cuff left blisters.", 1),
+    ("The smell is awful. Gave me a headache.", 6),
 )
 
 

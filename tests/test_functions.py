@@ -148,6 +148,29 @@ REVIEWS = [
     ("paints well, a crash course", 0),
     ("electric-shock!", 1),
     ("", 0),
+    ("The blood pressure monitor is inaccurate, want a refund.", 0),
+    ("Fire pit cover too small, returned it.", 0),
+    ("Spark plug does not fit my mower.", 0),
+    ("The smoke colored vase arrived broken.", 0),
+    ("The toy fire truck broke, cheap quality.", 0),
+    ("Overheated and shut down, nothing burned", 0),
+    ("Painful price for a cheap fake.", 0),
+    ("The pen melted a bit, color of fire red", 0),
+    ("The fire truck caught fire", 1),
+    ("Spark plug sparked and burned my hand", 1),
+    ("It was not only smoking, it burned the table", 1),
+    ("no fire, smoke or sparks", 0),
+    ("no smoke; then a fire", 1),
+    ("Never had any rash or swelling", 0),
+    ("Too tight and painful to wear", 0),
+    ("Too tight. Left painful blisters.", 1),
+    ("It didn't burn me but my son got a rash", 1),
+    ("The smell is strong. I have a headache", 1),
+    ("The smell is strong. Nice. I had a headache before", 0),
+    ("I got burned, a scam", 0),
+    ("rusty and not for food", 1),
+    ("This is not food safe, it is toxic", 1),
+    ("Wrong voltage, no smoke but it died", 1),
 ]
 
 
