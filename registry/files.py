@@ -13,6 +13,7 @@ from hazardlens.session import work_dir
 from hazardlens.sources import files, writers
 from hazardlens.streaming.dedup import stream_distinct_ids
 from hazardlens.streaming.ingest import stream_merge
+from hazardlens.streaming.paging import stream_review_pages
 from registry.base import (
     EXISTING_IDS_SQL,
     PAGES_SQL,
@@ -26,7 +27,7 @@ from registry.base import (
     sightings,
     table,
 )
-from registry.collect import _PAGE_REVIEWS_SQL, _tab_responses
+from registry.collect import _PAGE_REVIEWS_SQL, _READ_PAGES_SQL, _tab_responses
 from registry.labels import _merged, _merged_sql
 
 # --- sources -----------------------------------------------------------------------
@@ -313,3 +314,60 @@ def stream_dedup(spark, sf_dir):
         portion.write.mode("append").parquet(source)
         ids = stream_distinct_ids(spark, source, "category string, id string", target, checkpoint)
     return ids.select("category", "id")
+
+
+# Hour and users of each portion: some come again within the delay of twelve hours, some long after it.
+_PORTIONS = ((0, "user_id % 3 = 0"), (6, "user_id % 3 < 2"), (40, "user_id % 3 = 2"), (60, "user_id % 5 = 0"), (80, "true"))
+
+
+@query(
+    "stream_dedup_bounded",
+    """with u as (select distinct user_id from events),
+            s as (select user_id as id, 0 as hour from u where user_id % 3 = 0
+                  union all select user_id, 6 from u where user_id % 3 = 1
+                  union all select user_id, 40 from u where user_id % 3 = 2
+                  union all select user_id, 80 from u where user_id % 3 < 2
+                  union all select -1 - user_id, 60 from u where user_id % 5 = 0)
+       select cast(id as varchar) as id, cast(hour as int) as hour from s""",
+)
+def stream_dedup_bounded(spark, sf_dir):
+    """A stream that restarts for each portion and remembers a user for twelve hours.
+
+    Rows that come later than the delay, in the last portion, are left out.
+    """
+    source, target = work_dir(spark, "sightings"), work_dir(spark, "distinct")
+    checkpoint = work_dir(spark, "checkpoint")
+    events, start = table(spark, sf_dir, "events"), F.lit("2024-01-01").cast("timestamp")
+
+    def at(hour):
+        seconds = F.lit(hour * 3600) + F.col("event_id") % 3600
+        return F.timestamp_add("SECOND", seconds, start).alias("seen")
+
+    for hour, users in _PORTIONS:
+        user = F.col("user_id") if hour != 60 else -1 - F.col("user_id")
+        portion = events.where(users).select(user.cast("string").alias("id"), at(hour))
+        if hour == 80:
+            late = F.concat(F.lit("late "), F.col("user_id").cast("string")).alias("id")
+            portion = portion.unionAll(events.select(late, at(1)))
+        portion.write.mode("append").parquet(source)
+        found = stream_distinct_ids(
+            spark, source, "id string, seen timestamp", target, checkpoint, ["id"], event_time="seen", delay="12 hours"
+        )
+    return found.select("id", F.floor(F.timestamp_diff("SECOND", start, F.col("seen")) / 3600).cast("int").alias("hour"))
+
+
+@query(
+    "stream_pagination",
+    f"""with {_READ_PAGES_SQL}
+        select product_id, star, page, cast(case when blank then 0 when dirty then 1 else 2 end as int) as n_valid
+        from kept""",
+)
+def stream_pagination(spark, sf_dir):
+    """Landed pages come in three portions in no order; each run reads as far as it can."""
+    source, target = work_dir(spark, "landed_pages"), work_dir(spark, "pages_read")
+    checkpoint = work_dir(spark, "checkpoint")
+    pages = review_pages(spark, sf_dir).withColumn("part", F.crc32(F.concat_ws(",", "product_id", "page", "attempt")) % 3)
+    for part in range(3):
+        pages.where(F.col("part") == part).drop("part").write.mode("append").json(source)
+        kept = stream_review_pages(spark, source, target, checkpoint)
+    return kept.select("product_id", "star", "page", "n_valid")
