@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazardlens.operators.ordering import arrival_order, numeric_id, ordinal
+from hazardlens.session import materialize
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
@@ -68,7 +69,8 @@ def merge_ids(
     they have none), new ones are numbered from 0 in each category, as they were found.
     """
     columns = ["category", "id", "subcategory"]
-    fresh = new_ids(found, existing, order)
+    # Written, because numbering looks at it twice; ids are narrow.
+    fresh = materialize(new_ids(found, existing, order), "new_ids")
     numbered = ordinal(fresh, ["category"], [*order, "id"], "_number").select(
         *columns, F.lit(1).alias("source_rank"), (F.col("_number") - 1).alias("ordinal")
     )

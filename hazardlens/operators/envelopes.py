@@ -26,20 +26,30 @@ from hazardlens.functions.text import (
     unwrap_callback,
 )
 
-# JSON texts of the values that count as missing.
-_FALSE = ("null", '""', "0", "0.0", "false", "[]", "{}")
+# JSON texts of the scalars that count as missing.
+_FALSE = ("null", '""', "0", "0.0", "false")
 
 
 def parse_envelope(json: Column) -> Column:
     """Envelope as a VARIANT, so that one odd field leaves the others readable; NULL for no
     text, text that is no JSON and values that count as missing, an empty object among them."""
-    given = F.transform(F.array(F.try_parse_json(json)), lambda v: F.when(is_given(v), v))
-    return F.get(given, F.lit(0))
+    return bound(F.try_parse_json(json), lambda v: F.when(is_given(v), v))
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def is_given(value: Column) -> Column:
-    """Whether a JSON value is there and neither null, false, zero nor empty."""
-    return ~F.coalesce(F.to_json(value), F.lit("null")).isin(*_FALSE)
+    """Whether a JSON value is there and neither null, false, zero nor empty.
+
+    Lists and objects are opened one level deep; only scalars are written as text.
+    """
+    listed = F.try_variant_get(value, "$", "array<variant>")
+    fields = F.try_variant_get(value, "$", "map<string,variant>")
+    scalar = ~F.coalesce(F.to_json(value), F.lit("null")).isin(*_FALSE)
+    return F.when(listed.isNotNull(), F.size(listed) > 0).when(fields.isNotNull(), F.size(fields) > 0).otherwise(scalar)
 
 
 def part(value: Column, path: str, kind: str = "variant") -> Column:
@@ -47,10 +57,14 @@ def part(value: Column, path: str, kind: str = "variant") -> Column:
     return F.try_variant_get(value, f"$.{path}", kind)
 
 
+def given_part(value: Column, path: str) -> Column:
+    """The part at the path if it is given."""
+    return bound(part(value, path), lambda v: F.when(is_given(v), v))
+
+
 def first_given(value: Column, *paths: str) -> Column:
     """The first part that is given, NULL if none is."""
-    parts = [part(value, p) for p in paths]
-    return F.coalesce(*[F.when(is_given(p), p) for p in parts])
+    return F.coalesce(*[given_part(value, p) for p in paths])
 
 
 def settle(
@@ -72,30 +86,36 @@ def _no_texts() -> Column:
     return F.array().cast("array<string>")
 
 
-def _codes(envelope: Column) -> Column:
-    return part(envelope, "ret", "array<string>")
+def _by_codes(envelope: Column, status: Callable[[Column], Column]) -> Column:
+    codes = part(envelope, "ret", "array<string>")
+    return F.when(envelope.isNull(), "NO_RESPONSE").otherwise(bound(codes, status))
 
 
 def call_status(envelope: Column) -> Column:
     """Status of a review or category response; success is tested before the token codes."""
-    return (
-        F.when(envelope.isNull(), "NO_RESPONSE")
-        .when(any_contains(_codes(envelope), SUCCESS_CODE), "OK")
-        .when(any_contains(_codes(envelope), *TOKEN_CODES), "TOKEN_EXPIRED")
-        .otherwise("ERROR")
-    )
+
+    def status(codes: Column) -> Column:
+        return (
+            F.when(any_contains(codes, SUCCESS_CODE), "OK")
+            .when(any_contains(codes, *TOKEN_CODES), "TOKEN_EXPIRED")
+            .otherwise("ERROR")
+        )
+
+    return _by_codes(envelope, status)
 
 
 def search_status(envelope: Column) -> Column:
     """Status of a search response, which has no success code: what is not refused is data."""
-    refused = any_contains(_codes(envelope), BLOCK_CODE)
     flagged = is_given(part(envelope, "x5step")) | is_given(part(envelope, "rgv587_flag"))
-    return (
-        F.when(envelope.isNull(), "NO_RESPONSE")
-        .when(refused | flagged, "BLOCKED")
-        .when(any_contains(_codes(envelope), *AUTH_CODES), "AUTH")
-        .otherwise("DATA")
-    )
+
+    def status(codes: Column) -> Column:
+        return (
+            F.when(any_contains(codes, BLOCK_CODE) | flagged, "BLOCKED")
+            .when(any_contains(codes, *AUTH_CODES), "AUTH")
+            .otherwise("DATA")
+        )
+
+    return _by_codes(envelope, status)
 
 
 def read_review_envelopes(pages: DataFrame) -> DataFrame:
@@ -104,21 +124,20 @@ def read_review_envelopes(pages: DataFrame) -> DataFrame:
     def text(review: Column) -> Column:
         return strip(F.coalesce(first_given(review, *REVIEW_TEXT_FIELDS).cast("string"), F.lit("")))
 
+    def content(data: Column) -> Column:
+        reviews = F.try_variant_get(first_given(data, *REVIEW_LIST_FIELDS), "$", "array<variant>")
+        totals = [F.try_variant_get(given_part(data, f), "$", "string") for f in PAGE_TOTAL_FIELDS]
+        return F.struct(
+            F.coalesce(F.filter(F.transform(reviews, text), is_usable), _no_texts()).alias("texts"),
+            total_pages(*totals).alias("total_pages"),
+        )
+
     def columns(envelope: Column) -> dict[str, Column]:
-        data = part(envelope, "data")
-        listed = first_given(data, *REVIEW_LIST_FIELDS)
-        reviews = F.try_variant_get(listed, "$", "array<variant>")
-        return {
-            "status": call_status(envelope),
-            "texts": F.coalesce(F.filter(F.transform(reviews, text), is_usable), _no_texts()),
-            "total_pages": total_pages(
-                *[F.when(is_given(part(data, f)), part(data, f, "string")) for f in PAGE_TOTAL_FIELDS]
-            ),
-        }
+        return {"status": call_status(envelope), "_content": bound(part(envelope, "data"), content)}
 
     envelope = parse_envelope(unwrap_callback(F.col("body")))
-    settled = settle(pages, envelope, columns)
-    return settled.withColumn("n_valid", F.size("texts")).drop("body")
+    settled = settle(pages, envelope, columns).select("*", "_content.*")
+    return settled.withColumn("n_valid", F.size("texts")).drop("body", "_content")
 
 
 def explode_reviews(pages: DataFrame) -> DataFrame:
@@ -133,20 +152,20 @@ def read_search_envelopes(pages: DataFrame) -> DataFrame:
     def is_id(product_id: Column) -> Column:
         return ~F.coalesce(product_id, F.lit("")).isin("", "0")
 
-    def columns(envelope: Column) -> dict[str, Column]:
-        result = part(envelope, "data.result")
+    def content(result: Column) -> Column:
         listed = part(result, "mods.itemList.content", "array<variant>")
         ids = F.transform(listed, lambda item: part(item, "productId", "string"))
         streams = [part(result, p, "string") for p in ("pageInfo.streamId", "streamId")]
-        return {
-            "status": search_status(envelope),
-            "ids": F.coalesce(F.filter(ids, is_id), _no_texts()),
-            "next_stream": first_text(*streams),
-        }
+        return F.struct(
+            F.coalesce(F.filter(ids, is_id), _no_texts()).alias("ids"), first_text(*streams).alias("next_stream")
+        )
+
+    def columns(envelope: Column) -> dict[str, Column]:
+        return {"status": search_status(envelope), "_content": bound(part(envelope, "data.result"), content)}
 
     envelope = parse_envelope(F.col("body"))
-    settled = settle(pages, envelope, columns)
-    return settled.withColumn("n_ids", F.size("ids")).drop("body")
+    settled = settle(pages, envelope, columns).select("*", "_content.*")
+    return settled.withColumn("n_ids", F.size("ids")).drop("body", "_content")
 
 
 def explode_ids(pages: DataFrame) -> DataFrame:

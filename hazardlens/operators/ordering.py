@@ -1,10 +1,10 @@
 """Ordinals, running totals, slices and sorts without one task per group.
 
-A category may hold a third of all rows, so a window over a whole category is not an
-option. Rows are dealt out by ranges of keys and order and written once, whole; a range
-holds few categories, and a category lies in few ranges. What a range adds to a category is
-known after one pass over narrow columns, so that no window sees more than one row per range
-and category.
+A group of rows that one task can sort is numbered by a window. A category may hold a third of
+all rows, though; groups beyond a fixed number of rows are dealt out by ranges of keys and
+order and written once, whole. A range holds few of them, and a group lies in few ranges. What a
+range adds to a group is known after one pass over narrow columns, so that no window sees more
+than one row per range and group. Which groups are large is counted on the keys alone.
 
 Keys and order columns may be NULL: NULL keys are a group, NULL order values come last.
 Order columns can be of any type that sorts, structs included.
@@ -12,7 +12,7 @@ Order columns can be of any type that sorts, structs included.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -21,6 +21,10 @@ from pyspark.sql import functions as F
 from hazardlens.session import materialize
 
 
+#: Rows of a group that one task may sort; larger groups are numbered by ranges.
+WINDOW_ROWS = 1_000_000
+
+
 def null_safe(left: str, right: str, keys: Sequence[str]) -> Column:
     """Join condition between two aliases that lets NULL keys meet."""
     same = [F.col(f"{left}.`{k}`").eqNullSafe(F.col(f"{right}.`{k}`")) for k in keys]
@@ -53,38 +57,74 @@ def _earlier_ranges(parts: DataFrame, keys: Sequence[str], value: str) -> DataFr
 
 
 
+def _by_size(
+    df: DataFrame,
+    keys: Sequence[str],
+    most: int,
+    small: Callable[[DataFrame], DataFrame],
+    large: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """``small`` of the rows in groups of up to ``most`` rows and ``large`` of the others."""
+    crowded = df.groupBy(*keys).count().where(F.col("count") > most).select(*keys)
+    if crowded.isEmpty():
+        return small(df)
+    crowded = materialize(crowded, "crowded")
+    meet = null_safe("l", "r", keys)
+    parts = [df.alias("l").join(crowded.alias("r"), meet, how) for how in ("left_anti", "left_semi")]
+    return small(parts[0]).unionByName(large(parts[1]))
+
+
 def ordinal(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "ordinal"
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "ordinal", most: int = WINDOW_ROWS
 ) -> DataFrame:
     """Add ``out``: 1-based position within the keys, in the order of the columns."""
-    place = _ranged(df, keys, order)
-    of = F.shiftright("_place", 33)
-    parts = place.groupBy(*keys, of.alias("_range")).agg(
-        F.count("*").alias("_n"), F.min("_place").alias("_first")
-    )
-    bases = _earlier_ranges(parts, keys, "_n")
-    joined = place.withColumn("_range", of).alias("l").join(
-        bases.alias("r"), null_safe("l", "r", [*keys, "_range"])
-    )
-    position = F.col("_place") - F.col("_first") + F.col("_base") + 1
-    return joined.select(*[f"l.`{c}`" for c in df.columns], position.alias(out))
+    columns = list(df.columns)
+
+    def windowed(rows: DataFrame) -> DataFrame:
+        number = F.row_number().over(Window.partitionBy(*keys).orderBy(*in_order(order)))
+        return rows.select(*[f"`{c}`" for c in columns], number.cast("bigint").alias(out))
+
+    def ranged(rows: DataFrame) -> DataFrame:
+        place = _ranged(rows, keys, order)
+        of = F.shiftright("_place", 33)
+        parts = place.groupBy(*keys, of.alias("_range")).agg(
+            F.count("*").alias("_n"), F.min("_place").alias("_first")
+        )
+        bases = _earlier_ranges(parts, keys, "_n")
+        joined = place.withColumn("_range", of).alias("l").join(
+            bases.alias("r"), null_safe("l", "r", [*keys, "_range"])
+        )
+        position = F.col("_place") - F.col("_first") + F.col("_base") + 1
+        return joined.select(*[f"l.`{c}`" for c in columns], position.alias(out))
+
+    return _by_size(df, keys, most, windowed, ranged)
 
 
 def running_total(
-    df: DataFrame, keys: Sequence[str], order: str, value: str, out: str
+    df: DataFrame, keys: Sequence[str], order: str, value: str, out: str, most: int = WINDOW_ROWS
 ) -> DataFrame:
     """Add ``out``: the sum of ``value`` over earlier rows of the same keys."""
-    place = _ranged(df, keys, [order]).withColumn("_range", F.shiftright("_place", 33))
-    earlier = (
-        Window.partitionBy(*keys, "_range").orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    within = place.withColumn("_within", F.coalesce(F.sum(value).over(earlier), F.lit(0)))
-    sums = place.groupBy(*keys, "_range").agg(F.sum(value).alias("_sum"))
-    joined = within.alias("l").join(
-        _earlier_ranges(sums, keys, "_sum").alias("r"), null_safe("l", "r", [*keys, "_range"])
-    )
-    total = (F.col("_within") + F.col("_base")).cast("bigint")
-    return joined.select(*[f"l.`{c}`" for c in df.columns], total.alias(out))
+    columns = list(df.columns)
+
+    def windowed(rows: DataFrame) -> DataFrame:
+        before = Window.partitionBy(*keys).orderBy(*in_order([order])).rowsBetween(Window.unboundedPreceding, -1)
+        total = F.coalesce(F.sum(value).over(before), F.lit(0)).cast("bigint")
+        return rows.select(*[f"`{c}`" for c in columns], total.alias(out))
+
+    def ranged(rows: DataFrame) -> DataFrame:
+        place = _ranged(rows, keys, [order]).withColumn("_range", F.shiftright("_place", 33))
+        earlier = (
+            Window.partitionBy(*keys, "_range").orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
+        )
+        within = place.withColumn("_within", F.coalesce(F.sum(value).over(earlier), F.lit(0)))
+        sums = place.groupBy(*keys, "_range").agg(F.sum(value).alias("_sum"))
+        joined = within.alias("l").join(
+            _earlier_ranges(sums, keys, "_sum").alias("r"), null_safe("l", "r", [*keys, "_range"])
+        )
+        total = (F.col("_within") + F.col("_base")).cast("bigint")
+        return joined.select(*[f"l.`{c}`" for c in columns], total.alias(out))
+
+    return _by_size(df, keys, most, windowed, ranged)
 
 
 def first_per_group(df: DataFrame, keys: Sequence[str], order: str, n: int) -> DataFrame:

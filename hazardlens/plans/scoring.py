@@ -30,8 +30,10 @@ Model = Callable[[str], str | None]
 class ScorerConfig:
     """How a pass is cut into calls. Whole texts are sent unless ``max_chars`` cuts them.
 
-    ``tasks`` is the number of tasks that call the scorer, whatever the bytes of the texts;
-    labels are saved after about ``batches_per_commit`` batches each.
+    A task calls the scorer for about ``batches_per_task`` batches, whatever the bytes of their
+    texts, so tasks follow the data; ``tasks`` is how many may call it at most, where the model has
+    a limit. Labels are saved after about ``batches_per_commit`` batches each. ``version`` names the
+    scorer in a cache of scores.
     """
 
     name: str
@@ -39,8 +41,14 @@ class ScorerConfig:
     max_chars: int | None = None
     attempts: int = MAX_ATTEMPTS
     wait_seconds: float = 0.0
-    tasks: int = 64
-    batches_per_commit: int = 100_000
+    tasks: int | None = None
+    batches_per_task: int = 16
+    batches_per_commit: int = 10_000
+    version: str = "1"
+
+    def tasks_for(self, batches: int) -> int:
+        needed = max(1, -(-batches // self.batches_per_task))
+        return needed if self.tasks is None else min(needed, self.tasks)
 
 
 FIRST_PASS = ScorerConfig("first_pass", PASS1_BATCH)
@@ -78,15 +86,18 @@ def labels_of(texts: Column, make_scorer: Callable[[], Scorer], config: ScorerCo
 
 
 def score_batches(
-    batches: DataFrame, make_scorer: Callable[[], Scorer], config: ScorerConfig = FIRST_PASS
+    batches: DataFrame,
+    make_scorer: Callable[[], Scorer],
+    config: ScorerConfig = FIRST_PASS,
+    count: int | None = None,
 ) -> DataFrame:
     """Gathered batches with ``labels`` and ``error``; ``zip_labels`` turns labels into rows.
 
-    Batches are spread over ``config.tasks`` tasks by their keys: calls are slow, however few
-    bytes their texts have.
+    Batches are spread by their keys over as many tasks as ``config`` says for their ``count``,
+    which is found out if it is not given: calls are slow, however few bytes their texts have.
     """
     keys = [c for c in batches.columns if c != "items"]
-    spread = batches.repartition(config.tasks, *keys)
+    spread = batches.repartition(config.tasks_for(batches.count() if count is None else count), *keys)
     texts = F.transform("items", lambda item: item["text"])
     answer = labels_of(texts, make_scorer, config)
     return spread.withColumn("_answer", answer).select("*", "_answer.*").drop("_answer")
@@ -130,6 +141,6 @@ def ask_batches(
             )
 
     keys = [c for c in prompts.columns if c != "prompt"]
-    spread = prompts.repartition(config.tasks, *keys)
+    spread = prompts.repartition(config.tasks_for(prompts.count()), *keys)
     answered = spread.withColumn("_answer", ask.asNondeterministic()("prompt"))
     return answered.select("*", "_answer.*").drop("_answer")

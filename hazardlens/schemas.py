@@ -6,6 +6,8 @@ LABELLED_REVIEWS = RAW_REVIEWS + ", hazard_label_classified int, hazard_label_va
 
 LABELS = "review_key string, label int, labelled_at timestamp"
 
+SCORES = "text_hash string, scorer string, label int, labelled_at timestamp"
+
 REVIEW_PAGES = (
     "product_id string, star string, page int, attempt int, ingest_ts timestamp, body string"
 )

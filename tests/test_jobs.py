@@ -345,10 +345,54 @@ def test_a_pass_that_stops_half_way_keeps_its_labels(spark, tmp_path):
     assert asked.value == 40 - done
 
 
-def test_scorer_tasks_are_as_many_as_configured(spark):
+def test_scorer_tasks_follow_the_batches_up_to_a_limit(spark):
     batched = batching.gather_batches(batching.assign_batches(numbered(spark, 400), 4))
-    scored = score_batches(batched, lambda: lambda t: [0] * len(t), ScorerConfig("p", 4, tasks=13))
-    assert scored.rdd.getNumPartitions() == 13
+
+    def tasks(**config):
+        return score_batches(batched, lambda: lambda t: [0] * len(t), ScorerConfig("p", 4, **config)).rdd.getNumPartitions()
+
+    assert tasks(batches_per_task=10) == 10
+    assert tasks(batches_per_task=10, tasks=3) == 3
+    assert tasks(batches_per_task=1000) == 1
+
+
+def counted(asked):
+    def make():
+        def score(texts):
+            asked.add(len(texts))
+            return [int("fire" in t) for t in texts]
+
+        return score
+
+    return make
+
+
+def test_equal_texts_are_scored_once(spark, tmp_path):
+    texts = [f"text {i % 17}" + (" fire" if i % 3 else "") for i in range(120)]
+    raw = reviews(spark, [(f"c{i % 4}", str(i), "s", t, i) for i, t in enumerate(texts)])
+    config, cache = ScorerConfig("p", 4, batches_per_commit=3), str(tmp_path / "cache")
+    asked = spark.sparkContext.accumulator(0)
+    for run in ("a", "b"):
+        table = run_pass(spark, raw, str(tmp_path / run), counted(asked), config, cache=cache)
+        got = table.join(raw, "review_key").select("review_text", "label").collect()
+        assert len(got) == 120 and all(r.label == ("fire" in r.review_text) for r in got)
+        assert asked.value == len(set(texts))
+    more = reviews(spark, [("d", "1", "s", "text 1 fire", 0), ("d", "2", "s", "new fire", 1), ("d", "3", "s", None, 2)])
+    more = more.withColumn("review_key", F.col("product_id"))
+    run_pass(spark, more.fillna(""), str(tmp_path / "c"), counted(asked), config, cache=cache)
+    assert asked.value == len(set(texts)) + 2
+    # another version of the scorer has scores of its own
+    run_pass(spark, raw, str(tmp_path / "d"), counted(asked), ScorerConfig("p", 4, version="2"), cache=cache)
+    assert asked.value == 2 * len(set(texts)) + 2
+
+
+def test_a_cascade_with_a_cache_gives_the_same_result(spark, tmp_path):
+    raw = reviews(spark, [(f"c{i % 3}", str(i), "s", f"it caught fire {i % 5}" if i % 2 else f"fine {i}", i) for i in range(60)])
+    scorer = python_scorer(DEFAULT_RUBRIC)
+    plain = run_cascade(spark, raw, str(tmp_path / "a"), scorer, scorer)
+    cached = run_cascade(spark, raw, str(tmp_path / "b"), scorer, scorer, cache=str(tmp_path / "cache"))
+    columns = ("category", "product_id", "review_text", "hazard_final")
+    assert rows(cached, *columns) == rows(plain, *columns) and plain.count() > 0
 
 
 def test_errors_are_told(spark):

@@ -244,42 +244,46 @@ def test_running_new_ids(spark):
 # --- order -----------------------------------------------------------------------------
 
 
-def test_ordinal_equals_brute_force(spark):
+@pytest.mark.parametrize("most", [0, 1_000_000])
+def test_ordinal_equals_brute_force(spark, most):
     rng = random.Random(7)
     data = [(c, n) for c in ("a", "b", None) for n in rng.sample(range(10**6), 50)]
     df = spark.createDataFrame(data, "c string, n bigint")
-    got = {(r.c, r.n): r.o for r in ordering.ordinal(df, ["c"], ["n"], "o").collect()}
+    got = {(r.c, r.n): r.o for r in ordering.ordinal(df, ["c"], ["n"], "o", most).collect()}
     assert got == {(c, n): 1 + sum(d == c and m < n for d, m in data) for c, n in data}
 
 
 def test_ordinal_of_one_group_over_many_ranges(spark):
     df = spark.range(5000).withColumn("c", F.lit("hot"))
-    got = ordering.ordinal(df, ["c"], ["id"], "o")
+    got = ordering.ordinal(df, ["c"], ["id"], "o", 0)
     assert got.where("o <> id + 1").count() == 0 and got.count() == 5000
 
 
-def test_ordinal_with_three_columns_and_nulls(spark):
+@pytest.mark.parametrize("most", [0, 1_000_000])
+def test_ordinal_with_three_columns_and_nulls(spark, most):
     rng = random.Random(8)
     data = [(c, a, b, n) for c in "xy" for a in (0, 1, None) for b in range(-2, 3) for n in rng.sample(range(99), 4)]
     df = spark.createDataFrame(data, "c string, a bigint, b int, n int")
-    three = ordering.ordinal(df, ["c"], ["a", "b", "n"], "o")
+    three = ordering.ordinal(df, ["c"], ["a", "b", "n"], "o", most)
     got = {(r.c, r.a, r.b, r.n): r.o for r in three.collect()}
     for g in "xy":
         line = sorted((r for r in data if r[0] == g), key=lambda r: (r[1] is None, r[1] or 0, r[2], r[3]))
         assert [got[r] for r in line] == list(range(1, len(line) + 1))
 
 
-def test_structs_are_orders_too(spark):
+@pytest.mark.parametrize("most", [0, 1_000_000])
+def test_structs_are_orders_too(spark, most):
     keys = [(p, s, g, i) for p in (0, 1) for s in "12" for g in (1, 2**40) for i in (0, 2**12)]
     df = spark.createDataFrame(keys[::-1], "p bigint, s string, g bigint, i int")
     one = df.select(F.lit("c").alias("c"), F.struct("p", "s", "g", "i").alias("arrival"))
-    got = sorted((r.o, tuple(r.arrival)) for r in ordering.ordinal(one, ["c"], ["arrival"], "o").collect())
+    got = sorted((r.o, tuple(r.arrival)) for r in ordering.ordinal(one, ["c"], ["arrival"], "o", most).collect())
     assert [k for _, k in got] == sorted(keys)
 
 
-def test_running_total(spark):
+@pytest.mark.parametrize("most", [0, 5, 1_000_000])
+def test_running_total(spark, most):
     df = spark.createDataFrame([("a", n, n * n) for n in range(20)] + [(None, 3, 5), (None, 4, 6)], "c string, n int, v int")
-    got = ordering.running_total(df, ["c"], "n", "v", "t")
+    got = ordering.running_total(df, ["c"], "n", "v", "t", most)
     assert rows(got.where("c = 'a'"), "n", "t") == [(n, sum(i * i for i in range(n))) for n in range(20)]
     assert rows(got.where("c is null"), "n", "t") == [(3, 0), (4, 5)]
 
