@@ -11,6 +11,7 @@ from hazardlens.operators.batching import current_labels
 from hazardlens.operators.dedup import merge_reviews
 from hazardlens.operators.ordering import in_order, numeric_id, ordinal, sort_by_numeric_id
 from hazardlens.sources.files import CSV_OPTIONS
+from hazardlens.sources.versions import Version, commit, current, read_table
 
 _CSV = {k: v for k, v in CSV_OPTIONS.items() if k != "multiLine"}
 
@@ -41,6 +42,25 @@ def write_merged_reviews(existing: DataFrame, batch: DataFrame, target: str) ->
     return ordered.sparkSession.read.parquet(target).count()
 
 
+_MERGED = "product_id string, subcategory string, review_text string, ordinal bigint, category string"
+
+
+def read_merged(spark: SparkSession, table: str) -> DataFrame:
+    """The reviews of ``merge_into`` with ``arrival``, the order they are stored in."""
+    return read_table(spark, table, _MERGED).withColumnRenamed("ordinal", "arrival")
+
+
+def merge_into(spark: SparkSession, table: str, batch: DataFrame) -> Version:
+    """Merge a batch into the table of reviews at ``table`` and return its new version.
+
+    The table may be the one that ``batch`` was made from. Readers keep what they had until the
+    new version is whole; a write that fails changes nothing, and can be run again.
+    """
+    base = current(spark, table)
+    existing = read_merged(spark, table)
+    return commit(spark, table, base, lambda folder: write_merged_reviews(existing, batch, folder))
+
+
 def write_reviews_csv(reviews: DataFrame, target: str) -> None:
     reviews.write.mode("overwrite").options(**_CSV).csv(target)
 

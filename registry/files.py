@@ -269,6 +269,19 @@ def final_export(spark, sf_dir):
     return files.read_reviews_csv(spark, path, schema).drop("file_name")
 
 
+@query(
+    "merge_versions",
+    """with d as (select lang as category, regexp_extract(source, '[0-9]+') as product_id, text as review_text from documents)
+       select distinct category, product_id, review_text from d""",
+)
+def merge_versions(spark, sf_dir):
+    """Two batches are merged into one table, the second into what the first left there."""
+    path, every = work_dir(spark, "versions"), reviews(spark, sf_dir)
+    for part in range(2):
+        writers.merge_into(spark, path, every.where(F.col("doc_id") % 2 == part).drop("doc_id"))
+    return writers.read_merged(spark, path).select("category", "product_id", "review_text")
+
+
 # --- streams ------------------------------------------------------------------------
 
 
