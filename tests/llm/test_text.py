@@ -3,7 +3,9 @@
 import hashlib
 import json
 import re
+import tracemalloc
 import zlib
+from itertools import pairwise, product
 
 import numpy as np
 import public_tokenizers
@@ -127,7 +129,7 @@ def test_nothing_to_learn(spark):
 
 def test_marginals_are_those_of_forward_backward(model):
     texts = [made_up(1, FRENCH, 70) + " " + made_up(2, ENGLISH, 45), "", None, "die", made_up(3, GERMAN, 200)]
-    found = language.shares(model, texts)
+    found, _ = language.shares(model, texts)
     for text, share in zip(texts, found, strict=True):
         _, grams, first, lexicon = language.word_features((text or "").lower())
         e, t = np.exp(model.emissions(grams, first, lexicon)), np.exp(model.transitions)
@@ -148,6 +150,104 @@ def test_marginals_are_those_of_forward_backward(model):
     assert abs(found[0][model.languages.index("fr")] - 70 / 115) < 0.1
 
 
+def test_gradient_is_that_of_the_likelihood():
+    texts, labels = ["le chat dort la", "the cat", "die katze und"], [1, 0, 2]
+    words = language._Words.of(texts)
+    rng = np.random.default_rng(3)
+    rows, truth = language.sequences(words.texts, labels, 3, 2, rng)
+    assert (rows[:, -1] < 0).all() and set(truth[rows >= 0]) == {0, 1, 2}
+    model = language.Model(["en", "fr", "de"], rng.normal(0, 0.3, (language._SIZE, 3)), rng.normal(0, 1, (3, 3)), rng.normal(0, 1, 3))
+
+    def likelihood():
+        total = 0.0
+        for row, gold in zip(rows, truth, strict=True):
+            own = [int(w) for w in row if w >= 0]
+            e = model.emissions(*words.take(np.array(own)))
+            every = []
+            for path in product(range(3), repeat=len(own)):
+                score = model.first[path[0]] + sum(e[i, k] for i, k in enumerate(path))
+                every.append(score + sum(model.transitions[a, b] for a, b in pairwise(path)))
+                if list(path) == [int(g) for g in gold if g >= 0]:
+                    right = every[-1]
+            total += right - np.logaddexp.reduce(every)
+        return total / len(rows)
+
+    rows, truth = rows[:, :7], truth[:, :7]
+    found = language.gradient(model, words, rows, truth)
+    spots = [(0, (int(words.lexicon[2]), 1)), (0, (int(words.grams[0][3]), 2)), (1, (0, 2)), (1, (1, 1)), (2, (1,))]
+    for which, at in spots:
+        x = (model.weights, model.transitions, model.first)[which]
+        before, sides = x[at], []
+        for step in (1e-5, -1e-5):
+            x[at] = before + step
+            sides.append(likelihood())
+        x[at] = before
+        assert abs((sides[0] - sides[1]) / 2e-5 - found[which][at]) < 1e-6
+
+
+def invented(seed):
+    """Words of a language of its own."""
+    rng = np.random.default_rng(seed)
+    letters = rng.permutation(list("abcdefghijklmnopqrstuvwxyzäöüßéèñçåøæđłşžćýþðœñ"))[:14]
+    return ["".join(rng.choice(letters, rng.integers(2, 9))) for _ in range(40)]
+
+
+def test_languages_of_short_documents(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, made_up(i, (FRENCH, ENGLISH)[i % 2]), ("fr", "en")[i % 2], "a", 0) for i in range(120)]
+    rows += [(200 + i, made_up(i, GERMAN, 6), "de", "a", 0) for i in range(60)]
+    kana = [chr(c) for c in range(0x3041, 0x3060)]
+    rows += [(300 + i, "".join(rng.choice(kana, 12)), "ja", "a", 0) for i in range(60)]
+    found = {r.doc_id: r.lang_pred for r in language.predict(docs(spark, rows)).collect()}
+    wrong = [r for r in rows if found[r[0]] != r[2]]
+    assert len(wrong) <= 4
+
+
+def test_seventy_languages(spark):
+    names = [f"l{i:02d}" for i in range(70)]
+    rows = [(100 * i + j, made_up(i * j, invented(i), 30), names[i], "a", 0) for i in range(70) for j in range(12)]
+    model = language.learn(docs(spark, rows), each=40)
+    assert model.languages == names
+    found = {r.doc_id: r.lang_pred for r in language.identify(docs(spark, rows), model).collect()}
+    assert sum(found[r[0]] == r[2] for r in rows) > 0.98 * len(rows)
+    cut = language.learn(docs(spark, rows), in_all=70, each=2)
+    assert cut.languages == names
+
+
+def test_long_texts_in_bounded_memory():
+    few = language.train([made_up(i, (FRENCH, ENGLISH)[i % 2]) for i in range(20)], ["fr", "en"] * 10, each=50)
+    text = made_up(1, FRENCH, 20_000) + " " + made_up(2, ENGLISH, 5_000)
+    found, usual = language.shares(few, [text, "the cat", text[:9]])
+    assert abs(found[0][1] - 0.8) < 0.02 and found[1][0] > 0.5 and usual[0] > few.limit
+    rng = np.random.default_rng(1)
+    many = language.Model([f"l{i:02d}" for i in range(64)], rng.normal(0, 1, (language._SIZE, 64)).astype(np.float32),
+                          rng.normal(0, 1, (64, 64)), np.zeros(64))
+    chunk = language.CHUNK * language._FEW // 64
+    tracemalloc.start()
+    language.shares(many, [made_up(3, ENGLISH, chunk // 5)])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300e6
+
+
+def test_lanes_change_nothing(model, monkeypatch):
+    texts = [made_up(i, (FRENCH, ENGLISH, GERMAN)[i % 3], n) for i, n in enumerate((1, 31, 32, 33, 64, 65, 200, 7))]
+    found = language.shares(model, texts)[0]
+    monkeypatch.setattr(language, "_FEW", 0)
+    assert np.allclose(found, language.shares(model, texts)[0], atol=1e-12)
+
+
+@pytest.mark.parametrize("count", [1, 3, 8])
+def test_texts_of_no_known_language_are_told(count):
+    own = [FRENCH, ENGLISH, GERMAN, *[invented(i) for i in range(20, 25)]][:count]
+    texts = [made_up(10 * k + i, words) for k, words in enumerate(own) for i in range(40)]
+    model = language.train(texts, [f"l{i // 40}" for i in range(len(texts))], each=100)
+    junk = ["xqzt kvvw pqrz zzxk wqpv jjkx " * 3, "кот сидит на столе и смотрит на дождь", made_up(1, invented(99), 30)]
+    clean = [made_up(900 + i, words, 25) for i, words in enumerate(own)] + [own[0][0], ""]
+    assert (language.shares(model, junk)[1] < model.limit).all()
+    assert (language.shares(model, clean)[1] >= model.limit).all()
+
+
 # --- fingerprints --------------------------------------------------------------
 
 
