@@ -1,6 +1,6 @@
 """Anchors: places that equal stretches of text agree on.
 
-Of every window of ``length`` bytes the anchor is the start of the run of ``GRAM`` bytes with
+Of every window of ``length`` bytes the anchor is the start of the run of ``gram`` bytes with
 the smallest hash in it, the first of equals. Equal windows have equal anchors at equal
 offsets, wherever they are. Windows in a row with one anchor make a segment.
 """
@@ -39,25 +39,25 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint64(29))) * np.uint64(0xA0761D6478BD642F)
 
 
-def gram_hashes(raw: np.ndarray) -> np.ndarray:
-    """Hash of the ``GRAM`` bytes from each place."""
+def gram_hashes(raw: np.ndarray, gram: int = GRAM) -> np.ndarray:
+    """Hash of the ``gram`` bytes from each place."""
     with np.errstate(over="ignore"):
         sums = np.empty(len(raw) + 1, np.uint64)
         sums[0] = 0
         np.cumsum(_LETTERS[raw] * _DOWN[: len(raw)], out=sums[1:])
-        return _mix((sums[GRAM:] - sums[:-GRAM]) * _UP[: len(raw) - GRAM + 1])
+        return _mix((sums[gram:] - sums[:-gram]) * _UP[: len(raw) - gram + 1])
 
 
-def segments(raw: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def segments(raw: np.ndarray, length: int, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Anchor hash, first window start and number of windows of each segment of ``raw``,
     which holds at most ``PART + length - 1`` bytes."""
     windows = len(raw) - length + 1
     if windows <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    hashes = gram_hashes(raw)
+    hashes = gram_hashes(raw, gram)
     low = np.uint64((1 << _PLACE_BITS) - 1)
     best = (hashes & ~low) | np.arange(len(hashes), dtype=np.uint64)
-    span = length - GRAM + 1
+    span = length - gram + 1
     width = 1
     while width < span:
         step = min(width, span - width)

@@ -7,6 +7,10 @@ suffixes with a common prefix are extended backwards on the transform, all those
 length before the next. An interval that ends where none ended before tells the common prefix
 of two neighbouring suffixes, so these become known by increasing value, and the search stops
 at the minimum length. Neighbours still undecided then share a string of that length.
+
+An anchor may stand in too many different segments for one block. Those segments are cut again
+at anchors of more bytes, and searched in blocks of these; last, at anchors as long as the
+string, where equal segments are all there is to find.
 """
 
 from __future__ import annotations
@@ -27,9 +31,10 @@ from hazardlens.session import materialize
 LENGTH = 200
 #: Bytes of segments that are searched together, on average.
 BLOCK_BYTES = 1_000_000
-#: An anchor with more different segments would make a block too large; windows of its segments are
-#: compared one by one instead, by 128-bit hashes that Spark groups.
+#: An anchor with more different segments would make a block too large; they are cut again.
 HOT_SEGMENTS = 15_000
+#: Bytes of an anchor, at first and for segments whose anchor is too common; last, whole strings.
+GRAMS = (anchors.GRAM, 96, 160)
 _END, _LAST = 0xFF, 0xFE  # bytes that UTF-8 never has
 
 
@@ -110,8 +115,13 @@ def runs(flags: np.ndarray) -> list[tuple[int, int]]:
 # --- jobs ---------------------------------------------------------------------
 
 
-def _segments(docs: DataFrame, length: int) -> DataFrame:
-    """``anchor``, ``seg`` (hash of the segment), ``d`` and ``pos`` (start and windows)."""
+def _bytes(text: str | bytes) -> bytes:
+    return text if isinstance(text, bytes) else text.encode()
+
+
+def _segments(docs: DataFrame, length: int, gram: int, part: int) -> DataFrame:
+    """``anchor``, ``seg`` (hash of the segment), ``d`` and ``pos`` (start and windows). Texts are looked
+    at in parts of ``part`` strings."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_64_intdigest
@@ -119,11 +129,11 @@ def _segments(docs: DataFrame, length: int) -> DataFrame:
             ids, texts = batch.column("d"), batch.column("text")
             kept: list[list] = [[], [], [], []]
             for i in range(batch.num_rows):
-                raw = texts[i].as_py().encode()
+                raw = _bytes(texts[i].as_py())
                 every = np.frombuffer(raw, np.uint8)
-                for at in range(0, len(raw) - length + 1, anchors.PART):
-                    part = every[at : at + anchors.PART + length - 1]
-                    anchor, start, count = anchors.segments(part, length)
+                for at in range(0, len(raw) - length + 1, part):
+                    own = every[at : at + part + length - 1]
+                    anchor, start, count = anchors.segments(own, length, gram)
                     start = start + at
                     ends = (start + count + length - 1).tolist()
                     seg = [digest(raw[a:b]) for a, b in zip(start.tolist(), ends, strict=True)]
@@ -151,7 +161,7 @@ def _pieces(docs: DataFrame, chosen: DataFrame, length: int) -> DataFrame:
             texts, lists = batch.column("text"), batch.column("_segs")
             rows, size = [], 0
             for i in range(batch.num_rows):
-                raw = texts[i].as_py().encode()
+                raw = _bytes(texts[i].as_py())
                 for s in lists[i].as_py():
                     start, count = s["pos"] >> 21, s["pos"] & ((1 << 21) - 1)
                     s["piece"] = raw[start : start + count + length - 1]
@@ -193,36 +203,20 @@ def _search(pieces: DataFrame, length: int) -> DataFrame:
     return pieces.groupBy("block").applyInArrow(search, _RANGES)
 
 
-def _compare(pieces: DataFrame, length: int) -> DataFrame:
-    """The same for segments of hot anchors: each window by its hash, grouped by Spark."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest = xxhash.xxh3_128_digest
-        names = ["anchor", "seg", "n", "at", "window"]
-        for batch in batches:
-            for i in range(batch.num_rows):
-                piece = batch.column("piece")[i].as_py()
-                at = range(len(piece) - length + 1)
-                same = [[batch.column(n)[i].as_py()] * len(at) for n in names[:3]]
-                hashes = [digest(piece[a : a + length]) for a in at]
-                arrays = [pa.array(s, pa.int64()) for s in same]
-                arrays += [pa.array(at, pa.int64()), pa.array(hashes, pa.binary())]
-                yield pa.RecordBatch.from_arrays(arrays, names=names)
-
-    schema = "anchor long, seg long, n long, at long, window binary"
-    windows = pieces.select("anchor", "seg", "n", "piece").mapInArrow(run, schema)
-    often = windows.groupBy("window").agg(F.sum("n").alias("_n")).where("_n > 1").select("window")
-    return windows.join(often, "window", "left_semi").select(
-        "anchor", "seg", "at", F.lit(1).cast("long").alias("windows")
-    )
-
-
-def repeats(docs: DataFrame, length: int = LENGTH, block_bytes: int = BLOCK_BYTES, hot: int = HOT_SEGMENTS) -> DataFrame:
+def repeats(
+    docs: DataFrame,
+    length: int = LENGTH,
+    block_bytes: int = BLOCK_BYTES,
+    hot: int = HOT_SEGMENTS,
+    grams: tuple[int, ...] = GRAMS,
+    part: int = anchors.PART,
+) -> DataFrame:
     """``d`` and ``spans`` (start and end of bytes) of the texts that hold repeated strings.
 
     ``docs`` has ``d``, which tells rows apart, ``doc_id`` and ``text``, not null. Spans may touch or overlap.
     """
-    found = materialize(_segments(docs, length), "segments")
+    gram = min(grams[0], length) if grams else length
+    found = materialize(_segments(docs, length, gram, part), "segments")
     # Written, so that the join below deals out both sides anew and Spark can split hot anchors.
     again = found.groupBy("anchor").agg(F.count("*").alias("_n")).where("_n > 1").select("anchor")
     again = materialize(again, "again")
@@ -238,14 +232,17 @@ def repeats(docs: DataFrame, length: int = LENGTH, block_bytes: int = BLOCK_BYTE
         pairs.groupBy("anchor").agg(F.count("*").alias("_n")).where(F.col("_n") > hot).select("anchor"), "hot"
     )
     block = F.pmod(F.xxhash64("anchor"), F.lit(blocks)).alias("block")
-    if crowded.isEmpty():
+    if gram == length:
+        windows = F.col("pos").bitwiseAND(F.lit((1 << 21) - 1))
+        ranges = pairs.where("n > 1").select("anchor", "seg", F.lit(0).cast("long").alias("at"), windows.alias("windows"))
+    elif crowded.isEmpty():
         ranges = _search(_pieces(docs, pairs.select("*", block), length), length)
     else:
         usual = pairs.join(crowded, "anchor", "left_anti").select(*pairs.columns, block)
         others = pairs.join(crowded, "anchor", "left_semi").select(*pairs.columns)
-        ranges = _search(_pieces(docs, usual, length), length).unionByName(
-            _compare(_pieces(docs, others, length), length)
-        )
+        pieces = materialize(_pieces(docs, others, length), "hot")
+        again = _again(pieces, length, block_bytes, hot, grams[1:], part)
+        ranges = _search(_pieces(docs, usual, length), length).unionByName(again)
     start = F.shiftright("pos", 21) + F.col("at")
     spans = kept.join(ranges, ["anchor", "seg"]).select(
         "d", F.struct(start.alias("start"), (start + F.col("windows") + length - 1).alias("end")).alias("s")
@@ -253,6 +250,19 @@ def repeats(docs: DataFrame, length: int = LENGTH, block_bytes: int = BLOCK_BYTE
     return spans.groupBy("d").agg(F.collect_list("s").alias("spans"))
 
 
+def _again(pieces: DataFrame, length: int, block_bytes: int, hot: int, grams: tuple[int, ...], part: int) -> DataFrame:
+    """Runs of repeated windows of segments that are texts of their own now; segments that occur
+    more than once are repeated as a whole."""
+    key = F.xxhash64("anchor", "seg").alias("d")
+    own = pieces.select(key, F.col("seg").alias("doc_id"), F.col("piece").alias("text"))
+    spans = repeats(own, length, block_bytes, hot, grams, part)
+    told = pieces.where("n = 1").select("anchor", "seg", key).join(spans, "d").select("anchor", "seg", F.explode("spans").alias("s"))
+    windows = F.col("s.end") - F.col("s.start") - (length - 1)
+    once = told.select("anchor", "seg", F.col("s.start").alias("at"), windows.alias("windows"))
+    often = pieces.where("n > 1").select("anchor", "seg", F.lit(0).cast("long"), (F.octet_length("piece") - (length - 1)).cast("long"))
+    return once.unionAll(often)
+
+
 def row_key(docs: DataFrame) -> Column:
     """A long that tells rows apart: doc_id if it does, else a hash of id and text, which gives
     rows that repeat as a whole the same number."""
@@ -261,12 +271,20 @@ def row_key(docs: DataFrame) -> Column:
     return F.col("doc_id").cast("long") if unique else F.xxhash64("doc_id", whole_text())
 
 
-def strip(docs: DataFrame, length: int = LENGTH, block_bytes: int = BLOCK_BYTES, hot: int = HOT_SEGMENTS) -> DataFrame:
+def strip(
+    docs: DataFrame,
+    length: int = LENGTH,
+    block_bytes: int = BLOCK_BYTES,
+    hot: int = HOT_SEGMENTS,
+    grams: tuple[int, ...] = GRAMS,
+    part: int = anchors.PART,
+) -> DataFrame:
     """``docs`` with ``kept`` (binary), ``n_bytes``, ``n_removed`` and ``n_spans``.
 
     Every byte of a text's UTF-8 that lies in a string of ``length`` bytes which also starts
     anywhere else, in the same or another row, is removed; strings are judged on the input.
-    Null texts count as empty, and shorter ones stay as they are. Rows that repeat as a whole are
+    Null texts count as empty, and shorter ones stay as they are; very long ones are looked at
+    whole, in parts. Rows that repeat as a whole are
     copies of each other. What is kept is bytes, as a cut can fall inside a character. Columns named
     like the results are replaced. An empty table gives no rows.
     """
@@ -275,7 +293,7 @@ def strip(docs: DataFrame, length: int = LENGTH, block_bytes: int = BLOCK_BYTES,
     keyed = base.withColumn("d", row_key(base))
     # Both joins below ask for the same rows and columns by ``d``, so the texts travel once.
     texts = keyed.select("d", "doc_id", whole_text().alias("text")).where("d is not null")
-    spans = repeats(texts, length, block_bytes, hot)
+    spans = repeats(texts, length, block_bytes, hot, grams, part)
     plain = base.columns == ["doc_id", "text"]
     joined = (texts if plain else keyed).join(spans, "d", "left")
 

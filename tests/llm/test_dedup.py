@@ -9,7 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from hazardlens.llm import anchors, components, exact, simhash, suffixes
+from hazardlens.llm import components, exact, simhash, suffixes
 from tests.llm.cases import ROWS, docs, empty, listed, order
 
 # --- exact copies --------------------------------------------------------------
@@ -166,8 +166,8 @@ def test_equal_windows_have_equal_anchors():
     assert found[0] == found[1]
 
 
-@pytest.mark.parametrize("hot", [15_000, 3])
-def test_strip(spark, hot):
+@pytest.mark.parametrize(("hot", "grams"), [(15_000, (32, 96, 160)), (3, (32, 96, 160)), (2, (64,)), (1, ())])
+def test_strip(spark, hot, grams):
     extra = [
         (300, "ab" * 400, "en", "a", None), (301, "q" * 199, "en", "a", None), (302, "é" * 150, "en", "a", None),
         (303, "x" + "é" * 150, "en", "a", None), (304, "z" * 200, "en", "a", None), (305, "k" + "z" * 200, "en", "a", None),
@@ -175,7 +175,7 @@ def test_strip(spark, hot):
     passage = " ".join(f"word{i}" for i in range(60))
     shared = [(400 + i, f"{i} begins {passage} ends {i * 7}", "en", "a", None) for i in range(25)]
     rows = [r for r in ROWS if len(r[1] or "") < 25_000] + extra + shared
-    got = suffixes.strip(docs(spark, rows).withColumn("kept", F.lit(1)), hot=hot, block_bytes=20_000)
+    got = suffixes.strip(docs(spark, rows).withColumn("kept", F.lit(1)), hot=hot, block_bytes=20_000, grams=grams)
     found = got.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256))
     assert listed(found) == repeats_by_hand(rows, 200)
 
@@ -184,10 +184,18 @@ def test_strip_of_nothing(spark):
     assert suffixes.strip(empty(spark)).count() == 0
 
 
-def test_long_texts_are_cut_into_parts(spark, monkeypatch):
-    monkeypatch.setattr(anchors, "PART", 700)
+def test_long_texts_are_cut_into_parts(spark):
     rows = [(1, "".join(chr(97 + (i * i + i // 7) % 26) for i in range(4000)), "en", "a", 0)]
     rows += [(2, "head " + rows[0][1][500:2500] + " tail", "en", "a", 0)]
-    found = suffixes.strip(docs(spark, rows))
-    got = found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256))
-    assert listed(got) == repeats_by_hand(rows, 200)
+    for part in (700, 100):
+        found = suffixes.strip(docs(spark, rows), part=part)
+        got = found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256))
+        assert listed(got) == repeats_by_hand(rows, 200)
+
+
+def test_very_long_texts(spark):
+    rng = np.random.default_rng(6)
+    plain = "".join(rng.choice(list("abcdefgh "), 1_300_000))
+    rows = [(1, plain, "en", "a", 0), (2, "own start " + plain[1_048_400:1_048_900] + " own end", "en", "a", 0)]
+    found = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans) for r in suffixes.strip(docs(spark, rows)).collect()}
+    assert found == {1: (1_300_000, 500, 1), 2: (518, 500, 1)}
