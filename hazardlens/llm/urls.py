@@ -31,10 +31,10 @@ RULES = [
     Rule("net", "/es/", "block"),
     Rule("net", "/fr/", "block"),
 ]
-#: Suffixes of two labels under which names are registered; all others have one label.
-TWO_LABEL_SUFFIXES = ["ac.uk", "co.in", "co.jp", "co.nz", "co.uk", "com.au", "com.br", "org.uk"]
+#: Names are registered under the last label, or under two labels if a country has one of these.
+SECOND_LEVEL = "ac co com edu go gob gouv gov ltd mil ne net nom or org plc sch".split()
 LIMIT = 0.3
-#: One-sided 95 % bound of a normal approximation.
+#: One-sided 95 % bound of a normal distribution of the logarithm of the odds.
 Z = 1.645
 
 
@@ -64,14 +64,34 @@ def rule_for(host: Column, path: Column, rules: Sequence[Rule], what: str) -> Co
     return out
 
 
-def suffix_of(host: Column) -> Column:
-    two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(TWO_LABEL_SUFFIXES), two).otherwise(F.substring_index(host, ".", -1))
+_ADDRESS = r"^([0-9]+(\.[0-9]+){3}|\[.*\])$"
+_TWO_LABELS = rf"^([^.]+\.)*({'|'.join(SECOND_LEVEL)})\.[a-z]{{2}}$"
 
 
-def domain_of(host: Column) -> Column:
-    two = F.substring_index(host, ".", -2).isin(TWO_LABEL_SUFFIXES)
-    return F.when(two, F.substring_index(host, ".", -3)).otherwise(F.substring_index(host, ".", -2))
+def name_of(host: Column) -> Column:
+    """The host without user and port."""
+    return F.regexp_replace(F.regexp_replace(host, "^.*@", ""), ":[0-9]*$", "")
+
+
+def _labels(host: Column, own: int, suffixes: Sequence[str]) -> Column:
+    """The suffix of the host's name and ``own`` labels more; an address is as it is."""
+    name = name_of(host)
+    two = F.rlike(name, F.lit(_TWO_LABELS))
+    out = F.when(two, F.substring_index(name, ".", -2 - own)).otherwise(F.substring_index(name, ".", -1 - own))
+    for suffix in sorted(suffixes, key=lambda s: s.count(".")):
+        listed = (name == suffix) | F.endswith(name, F.lit(f".{suffix}"))
+        out = F.when(listed, F.substring_index(name, ".", -1 - suffix.count(".") - own)).otherwise(out)
+    return F.when(F.rlike(name, F.lit(_ADDRESS)), name if own else F.lit("address")).otherwise(out)
+
+
+def suffix_of(host: Column, suffixes: Sequence[str] = ()) -> Column:
+    """What names are registered under: by the rule of ``SECOND_LEVEL`` and a list of further ones."""
+    return _labels(host, 0, suffixes)
+
+
+def registered(host: Column, suffixes: Sequence[str] = ()) -> Column:
+    """The registered domain of a host; an address is its own."""
+    return _labels(host, 1, suffixes)
 
 
 def _strength(members: DataFrame) -> tuple[float, float]:
@@ -103,17 +123,21 @@ def _posterior(n: Column, k: Column, mean: Column, weight: float) -> Column:
     return (mean * weight + k) / (n + weight)
 
 
-def reputation(outcomes: DataFrame, limit: float = LIMIT, z: float = Z) -> DataFrame:
+def reputation(
+    outcomes: DataFrame, limit: float = LIMIT, z: float = Z, suffixes: Sequence[str] = ()
+) -> DataFrame:
     """One row per ``host`` of ``outcomes`` (host, bad): ``bad_rate``, ``bad_bound``, ``verdict``.
 
+    User and port belong to the host, but not to its domain and suffix.
+
     ``bad`` is a boolean, null for pages without a label; these only make their host known.
     A null host counts as empty. Without any label every rate is zero and all are allowed.
     """
     own = outcomes.groupBy(F.coalesce("host", F.lit("")).alias("host")).agg(
         F.count("bad").alias("n"), F.count_if(F.col("bad")).alias("k")
     )
-    hosts = own.select("*", domain_of(F.col("host")).alias("domain"))
-    hosts = materialize(hosts.select("*", suffix_of(F.col("host")).alias("suffix")), "hosts")
+    hosts = own.select("*", registered(F.col("host"), suffixes).alias("domain"))
+    hosts = materialize(hosts.select("*", suffix_of(F.col("host"), suffixes).alias("suffix")), "hosts")
     sums = [F.sum("n").alias("n"), F.sum("k").alias("k")]
     domains = hosts.groupBy("domain", "suffix").agg(*sums)
     suffixes = hosts.groupBy("suffix").agg(*sums)
@@ -127,11 +151,14 @@ def reputation(outcomes: DataFrame, limit: float = LIMIT, z: float = Z) -> DataF
         "domain", "suffix", _posterior(n, k, F.col("suffix_rate"), domain_weight).alias("domain_rate")
     )
     rate = _posterior(n, k, F.col("domain_rate"), host_weight)
+    # The posterior is a beta distribution of a bad and b good pages; the logarithm of its odds is
+    # close to normal with variance 1 / a + 1 / b. Half a good page more keeps the bound low where b
+    # is next to none, and above zero and below the rate everywhere.
     weight = n + host_weight
-    bound = rate - z * F.sqrt(rate * (1 - rate) / (weight + 1))
-    rated = hosts.join(middle, ["domain", "suffix"]).select(
-        "host", rate.alias("bad_rate"), F.greatest(bound, F.lit(0.0)).alias("bad_bound")
-    )
+    a, b = rate * weight, (1 - rate) * weight + 0.5
+    odds = a / b * F.exp(-z * F.sqrt(1 / a + 1 / b))
+    bound = F.when(rate > 0, odds / (1 + odds)).otherwise(0.0)
+    rated = hosts.join(middle, ["domain", "suffix"]).select("host", rate.alias("bad_rate"), bound.alias("bad_bound"))
     verdict = F.when(F.col("bad_bound") > limit, "block").otherwise("allow")
     return rated.withColumn("verdict", verdict)
 
@@ -185,7 +212,6 @@ def _level_sql(members: str) -> str:
           from {members} where n > 0)"""
 
 
-_TWO = ", ".join(f"'{s}'" for s in TWO_LABEL_SUFFIXES)
 SQL = f"""
 with parsed as (
   select page_id,
@@ -197,14 +223,15 @@ with parsed as (
 known as (select doc_id, bool_or(toxic = 1 or quality = 0) as bad from labels group by 1),
 own as (select host, count(bad) as n, coalesce(sum(bad::int), 0) as k
         from parsed left join known on page_id = doc_id group by 1),
+names as (select *, regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', '') as name from own),
 hosts as (
-  select *, string_split(host, '.') as l, len(string_split(host, '.')) as c,
-    array_to_string(string_split(host, '.')[-2:], '.') in ({_TWO}) as two
-  from own),
+  select *, string_split(name, '.') as l, regexp_matches(name, '{_TWO_LABELS}') as two,
+    regexp_matches(name, '{_ADDRESS}') as address
+  from names),
 placed as (
   select host, n, k,
-    array_to_string(case when two then l[-3:] else l[-2:] end, '.') as domain,
-    array_to_string(case when two then l[-2:] else l[-1:] end, '.') as suffix
+    case when address then name else array_to_string(case when two then l[-3:] else l[-2:] end, '.') end as domain,
+    case when address then 'address' else array_to_string(case when two then l[-2:] else l[-1:] end, '.') end as suffix
   from hosts),
 domains as (select domain, suffix, sum(n) n, sum(k) k from placed group by all),
 suffixes as (select suffix, sum(n) n, sum(k) k from placed group by all),
@@ -213,7 +240,9 @@ top as (select suffix, (coalesce(p, 0) * w + k) / (n + w) as r from suffixes, ws
 middle as (select domain, suffix, (r * w + k) / (n + w) as r from domains join top using (suffix), wd),
 rated as (select host, (r * w + k) / (n + w) as r, n + w as weight
           from placed join middle using (domain, suffix), wh),
-bounds as (select host, r, greatest(r - {Z} * sqrt(r * (1 - r) / (weight + 1)), 0) as b from rated)
+odds as (select host, r, r * weight as x, (1 - r) * weight + 0.5 as y from rated),
+bounds as (select host, r, case when r > 0
+    then x / y * exp(-{Z} * sqrt(1 / x + 1 / y)) / (1 + x / y * exp(-{Z} * sqrt(1 / x + 1 / y))) else 0.0 end as b from odds)
 select page_id, host, path, {_rule_sql(RULES, "rule")} as rule,
   coalesce({_rule_sql(RULES, "verdict")}, case when b > {LIMIT} then 'block' else 'allow' end) as verdict,
   round(r, 6) as bad_rate, round(b, 6) as bad_bound
