@@ -114,13 +114,16 @@ def attribute_map(text: Column) -> Column:
             strip(F.substring(item, F.locate("=", item) + 1, F.length(item))).alias("value"),
         ),
     )
-    last = F.filter(
-        entries,
-        lambda e, i: ~F.exists(
-            F.slice(entries, i + 2, F.size(entries)), lambda later: later["key"] == e["key"]
-        ),
-    )
-    return F.map_from_entries(last)
+
+    def last(found: Column) -> Column:
+        keys = F.transform(found, lambda e: e["key"])
+        # The place of the last entry of each key, counted from the end.
+        return F.transform(F.array(F.reverse(keys)), lambda back: F.filter(
+            found, lambda e, i: F.array_position(back, e["key"]) == F.size(back) - i
+        ))
+
+    kept = F.get(F.flatten(F.transform(F.array(entries), last)), F.lit(0))
+    return F.map_from_entries(kept)
 
 
 def prefix_before(text: Column, mark: str = "_") -> Column:

@@ -137,12 +137,13 @@ def keyed_reviews(reviews: DataFrame, prefix: str = "", suffix: str = "_reviews_
     """Reviews read from files named after their category, with ``category``, ``arrival`` and
     ``review_key``, as label passes need them.
 
-    ``arrival`` is the place of the row in its file: the block it was read from, then its byte
-    order there, both of which Spark knows without a sort.
+    ``arrival`` is the name of the file, then the row's place in it: a file with quoted line ends
+    is read by one task from its first row on, so numbers grow with the place, however files are
+    dealt out to tasks.
     """
     stem = F.regexp_replace("file_name", r"\.[^.]*$", "")
     placed = reviews.withColumn("category", category_of_file(stem, prefix, suffix)).withColumn(
-        "arrival", F.monotonically_increasing_id()
+        "arrival", F.struct("file_name", F.monotonically_increasing_id().alias("place"))
     )
     key = review_key(F.col("category"), F.col("product_id"), F.col("review_text"))
     return placed.withColumn("review_key", key)
