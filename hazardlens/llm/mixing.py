@@ -1,8 +1,9 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
 Tokens are counted per cell of source, language and topic. The weights of the cells are
-raked to one margin after the other until all three fit their targets, and documents are
-drawn with the probabilities that give each cell its weight of the token budget.
+raked to one margin after the other, and cut at what a cell can give, in turn, until all three
+margins of what is drawn fit their targets. No target asks for more than its value has. Documents
+are drawn with the probabilities that give each cell its weight of the token budget.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazardlens.llm.common import packed, whole_text, without
@@ -19,9 +20,9 @@ from hazardlens.session import materialize
 DIMS = ["source", "lang", "topic"]
 #: Words that speak for a topic; the first topic with the most different ones is taken.
 TOPICS = {
-    "legal": ["licensed", "license", "copyright", "warranty"],
-    "security": ["token =", "password", "secret", "api_key"],
-    "contact": ["@mail", "+1 ("],
+    "legal": ["licensed", "license", "copyright", "warranty", "trademark", "liability"],
+    "security": ["token =", "password", "secret", "api_key", "private key"],
+    "contact": ["@", "phone", "e-mail", "tel:", "+1 ("],
     "hostile": ["idiot", "stupid", "pathetic", "disgusting", "scum", "clown"],
 }
 #: Cells up to so many are sent to every task; more are joined by a shuffle.
@@ -40,8 +41,10 @@ class Targets:
     )
     #: Share of all tokens that is drawn.
     budget: float = 0.7
-    rounds: int = 8
+    #: Rounds of raking and cutting, and of passing on what a value or cell cannot give.
+    rounds: int = 12
     fills: int = 6
+    topics: Mapping[str, list[str]] = field(default_factory=lambda: TOPICS)
 
 
 def topic_of(text: Column, topics: Mapping[str, list[str]] = TOPICS) -> Column:
@@ -66,43 +69,56 @@ def draw(doc_id: Column) -> Column:
     return F.conv(digits, 16, 10).cast("double") / F.lit(float(1 << 48))
 
 
-def described(docs: DataFrame) -> DataFrame:
+def described(docs: DataFrame, topics: Mapping[str, list[str]] = TOPICS) -> DataFrame:
     """``docs`` with ``_source``, ``_lang``, ``_topic`` and ``_n``, the number of tokens."""
     text = whole_text()
     return docs.select(
         "*",
         F.coalesce(F.col("source").cast("string"), F.lit("unknown")).alias("_source"),
         F.coalesce(F.col("lang").cast("string"), F.lit("unknown")).alias("_lang"),
-        topic_of(text).alias("_topic"),
+        topic_of(text, topics).alias("_topic"),
         n_tokens(text).alias("_n"),
     )
 
 
+def _bounded(margin: DataFrame, dim: str, targets: Targets, total: float) -> DataFrame:
+    """The targets of a margin (``dim``, ``_m``): no value is asked for more than it has, the others
+    for what is left over, in proportion."""
+    raw = F.pow("_m", F.lit(targets.powers[dim]))
+    for value, factor in targets.factors.get(dim, {}).items():
+        raw = F.when(F.col(dim) == value, raw * factor).otherwise(raw)
+    own = materialize(margin.select(dim, raw.alias("_r"), (F.col("_m") / (total * targets.budget)).alias("_most")), "margin")
+    scale = 1.0 / (own.agg(F.sum("_r")).first()[0] or 1.0)
+    for _ in range(targets.fills):
+        full = F.col("_r") * scale >= F.col("_most")
+        held, rest = own.agg(F.sum(F.when(full, F.col("_most")).otherwise(0.0)), F.sum(F.when(full, 0.0).otherwise(F.col("_r")))).first()
+        scale = max(1.0 - (held or 0.0), 0.0) / rest if rest else scale
+    return own.select(dim, F.least(F.col("_r") * scale, F.col("_most")).alias(f"_t_{dim}"))
+
+
 def rates(docs: DataFrame, targets: Targets) -> DataFrame:
     """``source``, ``lang``, ``topic``, ``weight`` and ``p`` for every cell with tokens.
 
     ``docs`` has the columns of ``described``. ``weight`` is the cell's raked share of all
-    tokens drawn, ``p`` the probability of its documents. No cell can give more than it has:
-    what full cells cannot give is spread over the others, ``fills`` times.
+    tokens drawn, ``p`` the probability of its documents, so that the cell gives its tokens times
+    ``p``. Where margins contradict each other or what the cells have, the last one raked fits
+    best; what full cells cannot give is then spread over the others, ``fills`` times.
     """
     cells = docs.groupBy(*[F.col(f"_{d}").alias(d) for d in DIMS]).agg(F.sum("_n").cast("double").alias("n"))
     cells = materialize(cells.where("n > 0"), "cells")
+    total = cells.agg(F.sum("n")).first()[0] or 1.0
+    wanted = total * targets.budget
+    state = cells.withColumn("weight", F.col("n") / total)
     for dim in DIMS:
         margin = cells.groupBy(dim).agg(F.sum("n").alias("_m"))
-        raw = F.pow("_m", F.lit(targets.powers[dim]))
-        for value, factor in targets.factors.get(dim, {}).items():
-            raw = F.when(F.col(dim) == value, raw * factor).otherwise(raw)
-        share = margin.select(dim, raw.alias("_r"))
-        whole = share.agg(F.sum("_r")).first()[0] or 1.0
-        cells = cells.join(share.select(dim, (F.col("_r") / whole).alias(f"_t_{dim}")), dim)
-    total = cells.agg(F.sum("n")).first()[0] or 1.0
-    state = materialize(cells.withColumn("weight", F.col("n") / total), "rake")
+        state = state.join(_bounded(margin, dim, targets, total), dim)
+    state = materialize(state, "rake")
     for _ in range(targets.rounds):
         for dim in DIMS:
-            now = F.sum("weight").over(Window.partitionBy(dim))
-            state = state.withColumn("weight", F.col("weight") * F.col(f"_t_{dim}") / now)
+            sums = state.groupBy(dim).agg(F.sum("weight").alias("_now"))
+            raked = F.col("weight") * F.col(f"_t_{dim}") / F.col("_now")
+            state = state.join(sums, dim).withColumn("weight", F.least(raked, F.col("n") / wanted)).drop("_now")
         state = materialize(state, "rake")
-    wanted = total * targets.budget
     scale = wanted
     for _ in range(targets.fills):
         p = F.least(F.lit(1.0), F.col("weight") * scale / F.col("n"))
@@ -115,6 +131,17 @@ def rates(docs: DataFrame, targets: Targets) -> DataFrame:
     return materialize(state.select(*DIMS, "weight", p.alias("p")), "rates")
 
 
+def _drawn(own: DataFrame, found: DataFrame) -> DataFrame:
+    """Described rows with the rates of their cells and whether they are drawn."""
+    cells = found.select(*[F.col(d).alias(f"_{d}") for d in DIMS], "weight", "p")
+    if found.count() <= SENT_CELLS:
+        cells = F.broadcast(cells)
+    joined = own.join(cells, [f"_{d}" for d in DIMS], "left").fillna(0.0, ["weight", "p"])
+    drawn = draw(F.col("doc_id")) < F.col("p")
+    named = joined.select("*", drawn.alias("sampled"), F.col("_topic").alias("topic"), F.col("_n").alias("n_tokens"))
+    return named.drop("_source", "_lang", "_topic", "_n")
+
+
 def mixed(docs: DataFrame, targets: Targets) -> DataFrame:
     """``docs`` with ``topic``, ``n_tokens``, ``weight``, ``p`` and ``sampled``.
 
@@ -124,21 +151,17 @@ def mixed(docs: DataFrame, targets: Targets) -> DataFrame:
     replaced. An empty table gives no rows.
     """
     results = ["topic", "n_tokens", "weight", "p", "sampled"]
-    own = described(without(docs, [*results, "_source", "_lang", "_topic", "_n"]))
+    own = described(without(docs, [*results, "_source", "_lang", "_topic", "_n"]), targets.topics)
     facts = materialize(own.select("_source", "_lang", "_topic", "_n"), "facts")
-    found = rates(facts, targets)
-    cells = found.select(*[F.col(d).alias(f"_{d}") for d in DIMS], "weight", "p")
-    if found.count() <= SENT_CELLS:
-        cells = F.broadcast(cells)
-    joined = own.join(cells, [f"_{d}" for d in DIMS], "left").fillna(0.0, ["weight", "p"])
-    drawn = draw(F.col("doc_id")) < F.col("p")
-    named = joined.select("*", drawn.alias("sampled"), F.col("_topic").alias("topic"), F.col("_n").alias("n_tokens"))
-    return named.drop("_source", "_lang", "_topic", "_n")
+    return _drawn(own, rates(facts, targets))
 
 
 def report(docs: DataFrame, targets: Targets | None = None) -> DataFrame:
     """One row per document with its cell, weight, probability and draw."""
-    found = mixed(docs.select("doc_id", "text", "lang", "source"), targets or Targets())
+    targets = targets or Targets()
+    # No text is needed any more, so each is gone through once.
+    facts = materialize(described(docs.select("doc_id", "text", "lang", "source"), targets.topics).drop("text"), "facts")
+    found = _drawn(facts, rates(facts, targets))
     unknown = [F.coalesce(F.col(c).cast("string"), F.lit("unknown")).alias(c) for c in ("source", "lang")]
     return found.select(
         "doc_id", *unknown, "topic", "n_tokens",
@@ -157,7 +180,7 @@ def sql(targets: Targets | None = None) -> str:
     t = targets or Targets()
     hits = {
         name: " + ".join(f"contains(lower(coalesce(text, '')), '{w}')::int" for w in words)
-        for name, words in TOPICS.items()
+        for name, words in t.topics.items()
     }
     cases = " ".join(f"when h{i} = m and m > 0 then '{name}'" for i, name in enumerate(hits))
     columns = ", ".join(f"{e} as h{i}" for i, e in enumerate(hits.values()))
@@ -176,16 +199,23 @@ cells as (select source, lang, topic, sum(n_tokens)::double as n from facts grou
         for value, factor in t.factors.get(dim, {}).items():
             raw = f"case when {dim} = '{value}' then {raw} * {factor} else {raw} end"
         steps.append(
-            f"m_{dim} as (select {dim}, r / sum(r) over () as t_{dim} from (select {dim}, {raw} as r from cells group by {dim}))"
+            f"m_{dim} as (select {dim}, {raw} as r, sum(n) / ({t.budget} * (select sum(n) from cells)) as most from cells group by {dim})"
         )
-    joins = " ".join(f"join m_{d} using ({d})" for d in DIMS)
-    steps.append(f"r0 as (select *, n / sum(n) over () as w from {last} {joins})")
+        steps.append(f"f_{dim}0 as materialized (select 1 / sum(r) as f from m_{dim})")
+        for i in range(t.fills):
+            steps.append(
+                f"""f_{dim}{i + 1} as materialized (select greatest(1 - sum(case when r * f >= most then most else 0 end), 0)
+  / sum(case when r * f >= most then 0 else r end) as f from m_{dim}, f_{dim}{i})"""
+            )
+        steps.append(f"t_{dim} as materialized (select {dim}, least(r * f, most) as t_{dim} from m_{dim}, f_{dim}{t.fills})")
+    joins = " ".join(f"join t_{d} using ({d})" for d in DIMS)
+    steps.append(f"r0 as materialized (select *, n / sum(n) over () as w, n / ({t.budget} * sum(n) over ()) as u from {last} {joins})")
     last, number = "r0", 0
     for _ in range(t.rounds):
         for dim in DIMS:
             number += 1
             steps.append(
-                f"r{number} as materialized (select * replace (w * t_{dim} / sum(w) over (partition by {dim}) as w) from {last})"
+                f"r{number} as materialized (select * replace (least(w * t_{dim} / sum(w) over (partition by {dim}), u) as w) from {last})"
             )
             last = f"r{number}"
     steps.append(f"s0 as materialized (select {t.budget} * sum(n) as wanted, {t.budget} * sum(n) as scale from {last})")
