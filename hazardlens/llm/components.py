@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazardlens.session import materialize
+from hazardlens.session import discard, materialize
 
 
 def _smallest(links: DataFrame) -> DataFrame:
@@ -46,7 +46,8 @@ def components(links: DataFrame) -> DataFrame:
     now = materialize(links.select(low, high).where("a < b").distinct(), "links")
     size = _size(now)
     while True:
-        now = materialize(_inward(_outward(now)), "links")
+        last, now = now, materialize(_inward(_outward(now)), "links")
         before, size = size, _size(now)
+        discard(last)
         if size == before:
             return now.select(F.col("b").alias("node"), F.col("a").alias("root"))

@@ -4,7 +4,9 @@ import random
 import re
 
 import corpus_pipeline
-from hazardlens.llm import simhash
+import numpy as np
+from pyspark.sql import functions as F
+from hazardlens.llm import shingles, simhash
 from tests.llm.cases import ROWS, docs, empty, listed, prose
 from tests.llm.test_dedup import components_by_hand
 
@@ -55,3 +57,45 @@ def test_near_copies_of_odd_tables(spark):
     assert kept.columns == table.columns
     assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 4, 7, 8]
     assert {re.sub(r"\s", "", r.text or "") for r in kept.collect()} == {"HelloWorld,thisisonetext", "", "x"}
+
+
+def test_texts_of_one_template_are_not_compared_all_with_all(spark):
+    rng = random.Random(8)
+    template = [f"t{i}" for i in range(200)]
+    rows = []
+    for n in range(400):
+        own = [f"o{n}x{i}" for i in range(rng.randrange(30, 80))]
+        rows.append((n, " ".join(own[:15] + template + own[15:]), "en", "a", 0))
+    own = shingles._prefixes(shingles._keyed(docs(spark, rows)), 5, 0.8)
+    met = shingles._meetings(own).withColumn("root", F.col("node"))
+    assert shingles._pairs(met, 0.8).count() < 2_000
+    assert corpus_pipeline.near_copies(spark, docs(spark, rows), "").count() == 400
+
+
+def test_repeated_rows_and_other_columns(spark):
+    rows = [(1, "a b c d e f g", "en", "a", 0)] * 3 + [(2, "a b c d e f g", "de", "b", 1), (None, "q r s", "en", "a", 0)] * 2
+    table = docs(spark, rows).withColumn("key", F.lit(1)).withColumn("row", F.lit("x")).withColumn("node", F.lit(2))
+    kept = corpus_pipeline.near_copies(spark, table, "")
+    assert kept.columns == table.columns
+    assert sorted((r.doc_id or 0, r.text, r.row) for r in kept.collect()) == [(0, "q r s", "x"), (1, "a b c d e f g", "x")]
+
+
+def test_long_texts_and_small_sketch(spark, monkeypatch):
+    monkeypatch.setattr(shingles, "_TEXTS", 5)
+    words = [f"v{i * 7919 % 60_013}" for i in range(60_000)]
+    texts = [" ".join(words), " ".join([*words[:59_000], *(f"n{i}" for i in range(1000))]), " ".join(words[:40_000])]
+    rows = [(i, t, "en", "a", 0) for i, t in enumerate(texts)] + [(10 + i, f"own {i} " * 9, "en", "a", 0) for i in range(20)]
+    kept = corpus_pipeline.near_copies(spark, docs(spark, rows), "")
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 2, *range(10, 30)]
+
+
+def test_bitmaps_differ_by_no_more_than_the_sets():
+    rng = np.random.default_rng(2)
+    for size, other, both in ((600, 700, 500), (2000, 1500, 1500), (5000, 9000, 10), (80_000, 70_000, 65_000)):
+        pool = np.unique(rng.integers(-(1 << 62), 1 << 62, size + other - both))
+        a, b = pool[:size], pool[size - both :]
+        apart = len(np.setxor1d(a, b))
+        assert shingles._unlike(shingles._wide(a), shingles._wide(b)) <= apart
+        x, y = shingles._odd(a, 512), shingles._odd(b, 512)
+        assert int(np.bitwise_count(x ^ y).sum()) <= apart
+    assert shingles._unlike(shingles._wide(pool[:3000]), shingles._wide(pool[3000:6000])) > 1500
