@@ -38,6 +38,8 @@ ASIDE = 5
 UNUSUAL, SURE = 3.0, 3.0
 _BITS = 14
 _LEXICON_BITS = 16
+#: Characters of texts that are worked on at a time, with few languages; bounds memory only.
+CHARS = CHUNK // 4
 #: Words that are chained side by side; with many languages whole texts are.
 _BLOCK, _FEW = 32, 16
 _SIZE = 3 * (1 << _BITS) + (1 << _LEXICON_BITS)
@@ -456,7 +458,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     fields = [StructField("lang_pred", StringType(), False), StructField("score", DoubleType(), False), StructField("usual", DoubleType(), False)]
     # A word holds a few probabilities of every language at a time.
-    chunk = CHUNK * _FEW // max(_FEW, len(model.languages))
+    chunk = CHARS * _FEW // max(_FEW, len(model.languages))
     return add_columns_by_chunk(docs, [text], fields, make, chunk)
 
 

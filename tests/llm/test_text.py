@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from hazardlens.llm import bpe, fingerprints, language, privacy
+from hazardlens.llm import bpe, fingerprints, language, mixing, privacy
 from tests.llm.cases import ROWS, docs, empty, listed, order, prose
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -222,12 +222,12 @@ def test_long_texts_in_bounded_memory():
     rng = np.random.default_rng(1)
     many = language.Model([f"l{i:02d}" for i in range(64)], rng.normal(0, 1, (language._SIZE, 64)).astype(np.float32),
                           rng.normal(0, 1, (64, 64)), np.zeros(64))
-    chunk = language.CHUNK * language._FEW // 64
+    chunk = language.CHARS * language._FEW // 64
     tracemalloc.start()
     language.shares(many, [made_up(3, ENGLISH, chunk // 5)])
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
-    assert peak < 300e6
+    assert peak < 100e6
 
 
 def test_lanes_change_nothing(model, monkeypatch):
@@ -382,5 +382,5 @@ def test_words_that_give_an_entity_away(spark):
 
 
 def test_the_main_path_runs_no_python(spark):
-    for plan in (privacy.report(docs(spark)), fingerprints.with_edits(docs(spark))):
+    for plan in (privacy.report(docs(spark)), fingerprints.with_edits(docs(spark)), mixing.report(docs(spark))):
         assert not re.search("Python|Pandas|Arrow", plan._jdf.queryExecution().executedPlan().toString())
