@@ -515,3 +515,12 @@ def folder_exists(folder):
     from urllib.parse import unquote
 
     return Path(unquote(folder)).is_dir()
+
+
+def test_arrival_is_the_place_in_the_file(spark, tmp_path):
+    for part in (2, 1):
+        lines = "\n".join(f'{i},s,"text {part}\n{i}"' for i in range(50))
+        (tmp_path / f"toys{part}_reviews_raw.csv").write_text(f"product_id,subcategory,review_text\n{lines}\n")
+    keyed = files.keyed_reviews(files.read_reviews_csv(spark, str(tmp_path), pattern="*_reviews_raw.csv"))
+    line = [(r.category, r.review_text) for r in keyed.orderBy("arrival").collect()]
+    assert line == [(f"toys{part}", f"text {part}\n{i}") for part in (1, 2) for i in range(50)]
