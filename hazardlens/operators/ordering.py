@@ -1,8 +1,9 @@
 """Ordinals, running totals, slices and sorts without one task per group.
 
 A group of rows that one task can sort is numbered by a window. A category may hold a third of
-all rows, though; groups beyond a fixed number of rows are dealt out by ranges of keys and
-order and written once, whole. A range holds few of them, and a group lies in few ranges. What a
+all rows, though, with their whole texts; groups beyond a fixed number of rows are dealt out by
+ranges of keys and order and written once, whole. A range holds about as many rows as a window
+may, however large the table is, and what follows finds the rows dealt out already. What a
 range adds to a group is known after one pass over narrow columns, so that no window sees more
 than one row per range and group. Which groups are large is counted on the keys alone.
 
@@ -21,8 +22,9 @@ from pyspark.sql import functions as F
 from hazardlens.session import materialize
 
 
-#: Rows of a group that one task may sort; larger groups are numbered by ranges.
-WINDOW_ROWS = 1_000_000
+#: Rows of a group that one task may sort, whole texts among them; larger groups are numbered by
+#: ranges of about so many rows.
+WINDOW_ROWS = 10_000
 
 
 def null_safe(left: str, right: str, keys: Sequence[str]) -> Column:
@@ -41,10 +43,10 @@ def arrival_order(reviews: DataFrame) -> list[str]:
     return [c for c in ("source_rank", "batch") if c in reviews.columns] + ["arrival"]
 
 
-def _ranged(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """``df`` sorted in ranges of keys and order, with ``_place``: the range in the upper bits
-    and the row's place in it in the lower 33."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _ranged(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int) -> DataFrame:
+    """``df``, of ``rows`` rows, sorted in ranges of keys and order, with ``_place``: the range in
+    the upper bits and the row's place in it in the lower 33."""
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // WINDOW_ROWS))
     by = [*keys, *in_order(order)]
     ranged = df.repartitionByRange(parts, *by).sortWithinPartitions(*by)
     return materialize(ranged.withColumn("_place", F.monotonically_increasing_id()), "ranged")
@@ -62,16 +64,18 @@ def _by_size(
     keys: Sequence[str],
     most: int,
     small: Callable[[DataFrame], DataFrame],
-    large: Callable[[DataFrame], DataFrame],
+    large: Callable[[DataFrame, int], DataFrame],
 ) -> DataFrame:
-    """``small`` of the rows in groups of up to ``most`` rows and ``large`` of the others."""
-    crowded = df.groupBy(*keys).count().where(F.col("count") > most).select(*keys)
-    if crowded.isEmpty():
+    """``small`` of the rows in groups of up to ``most`` rows and ``large`` of the others, which
+    is told their number."""
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    crowded = materialize(counts.where(F.col("_rows") > most), "crowded")
+    rows = crowded.agg(F.sum("_rows")).first()[0]
+    if not rows:
         return small(df)
-    crowded = materialize(crowded, "crowded")
     meet = null_safe("l", "r", keys)
-    parts = [df.alias("l").join(crowded.alias("r"), meet, how) for how in ("left_anti", "left_semi")]
-    return small(parts[0]).unionByName(large(parts[1]))
+    parts = [df.alias("l").join(crowded.select(*keys).alias("r"), meet, how) for how in ("left_anti", "left_semi")]
+    return small(parts[0]).unionByName(large(parts[1], rows))
 
 
 def ordinal(
@@ -84,8 +88,8 @@ def ordinal(
         number = F.row_number().over(Window.partitionBy(*keys).orderBy(*in_order(order)))
         return rows.select(*[f"`{c}`" for c in columns], number.cast("bigint").alias(out))
 
-    def ranged(rows: DataFrame) -> DataFrame:
-        place = _ranged(rows, keys, order)
+    def ranged(rows: DataFrame, count: int) -> DataFrame:
+        place = _ranged(rows, keys, order, count)
         of = F.shiftright("_place", 33)
         parts = place.groupBy(*keys, of.alias("_range")).agg(
             F.count("*").alias("_n"), F.min("_place").alias("_first")
@@ -111,8 +115,8 @@ def running_total(
         total = F.coalesce(F.sum(value).over(before), F.lit(0)).cast("bigint")
         return rows.select(*[f"`{c}`" for c in columns], total.alias(out))
 
-    def ranged(rows: DataFrame) -> DataFrame:
-        place = _ranged(rows, keys, [order]).withColumn("_range", F.shiftright("_place", 33))
+    def ranged(rows: DataFrame, count: int) -> DataFrame:
+        place = _ranged(rows, keys, [order], count).withColumn("_range", F.shiftright("_place", 33))
         earlier = (
             Window.partitionBy(*keys, "_range").orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
         )

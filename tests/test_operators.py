@@ -259,6 +259,14 @@ def test_ordinal_of_one_group_over_many_ranges(spark):
     assert got.where("o <> id + 1").count() == 0 and got.count() == 5000
 
 
+def test_no_task_numbers_a_large_group_alone(spark):
+    df = spark.range(60_000).withColumn("c", F.lit("hot"))
+    got = ordering.ordinal(df, ["c"], ["id"], "o")
+    of_task = got.groupBy(F.spark_partition_id()).count()
+    assert of_task.agg(F.max("count")).first()[0] <= 2 * ordering.WINDOW_ROWS
+    assert got.where("o <> id + 1").count() == 0 and got.count() == 60_000
+
+
 @pytest.mark.parametrize("most", [0, 1_000_000])
 def test_ordinal_with_three_columns_and_nulls(spark, most):
     rng = random.Random(8)
