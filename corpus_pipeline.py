@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazardlens.llm import bpe, exact, language, mixing, shingles
-from hazardlens.llm.common import packed
 from hazardlens.session import materialize
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -28,9 +27,12 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     model = language.learn(docs)
     if not model.languages:
         return docs.where(F.rlike("text", F.lit(r"\p{L}")))
-    found = language.identify(packed(docs, "text"), model)
+    # The text goes to Python and back once, beside the other columns.
+    others = [c for c in docs.columns if c.lower() != "text"]
+    found = language.identify(docs.select(F.struct(*[F.col(f"`{c}`") for c in others]).alias("row"), "text"), model)
     keep = (F.col("lang_pred") != "und") & (F.col("usual") >= model.limit)
-    return found.where(keep).select("row.*")
+    columns = [F.col(f"row.`{c}`") if c in others else F.col("text").alias(c) for c in docs.columns]
+    return found.where(keep).select(*columns)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +42,8 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that with the smallest id, of each component of texts whose shingles of
-    five words have a Jaccard similarity of 0.8 or more."""
+    five words have a Jaccard similarity of 0.8 or more: found by their SimHash and multi-index
+    hashing first, the rest by prefixes of their shingles, decided by whole sets."""
     return shingles.keep_one(docs)
 
 

@@ -1,6 +1,10 @@
-"""Near duplicates by the Jaccard similarity of word shingles, without missing any pair.
+"""Near duplicates by SimHash and the Jaccard similarity of word shingles, without missing any pair.
 
-Shingles are put into one order for the whole table, the common ones last. Of two similar texts
+Multi-index hashing finds the fingerprints that differ in few bits; whole sets decide on the
+texts that have them. Fingerprints of 64 bits miss similar texts, so an exact way finds the rest,
+and only looks at texts that are not connected yet.
+
+For that, shingles are put into one order for the whole table, the common ones last. Of two similar texts
 the smaller one has its first common shingle early in that order, the larger one a little later
 at the most (prefix filter with positions), so only texts that meet there are compared. Most
 shingles of a prefix stand in one text only; a sketch of a fixed size leaves nearly all of them
@@ -19,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, BooleanType, IntegerType, LongType, StructField, StructType
 
+from hazardlens.llm import simhash
 from hazardlens.llm.common import add_columns, packed, whole_text
 from hazardlens.llm.components import components
 from hazardlens.session import discard, materialize
@@ -196,7 +201,8 @@ _ENTRY = StructType([StructField("s", LongType(), False), StructField("i", Integ
 
 
 def _prefixes(docs: DataFrame, words: int, least: float) -> DataFrame:
-    """``docs``, written, without ``text`` but with ``node`` (the same for equal sets), ``size``, ``bits`` and ``wide`` (how often
+    """``docs``, written, without ``text`` but with ``node`` (the same for equal sets), ``fp`` (the SimHash of its
+    shingles), ``size``, ``bits`` and ``wide`` (how often
     shingles fall on each bit, odd or even) and ``prefix``: shingles that other prefixes may have too, and their
     places among all shingles of the text."""
     context, total = docs.sparkSession.sparkContext, docs.count()
@@ -214,12 +220,13 @@ def _prefixes(docs: DataFrame, words: int, least: float) -> DataFrame:
             slot = _slots(prefix)
             kept = np.flatnonzero((many[slot >> np.uint64(3)] >> (np.uint64(7) - (slot & np.uint64(7))).astype(np.uint8)) & 1)
             listed = [dict(s=s, i=i) for s, i in zip(prefix[kept].tolist(), kept.tolist(), strict=True)]
-            return _node(own), len(own), _odd(own, _BITS).view(np.int64).tolist(), _wide(own), listed
+            print_ = simhash.text_fingerprint(text, words)
+            return _node(own), print_, len(own), _odd(own, _BITS).view(np.int64).tolist(), _wide(own), listed
 
         return call
 
     fields = [
-        StructField("node", LongType(), False), StructField("size", IntegerType(), False),
+        StructField("node", LongType(), False), StructField("fp", LongType(), False), StructField("size", IntegerType(), False),
         StructField("bits", ArrayType(LongType(), False), False), StructField("wide", BinaryType(), False),
         StructField("prefix", ArrayType(_ENTRY, False), False),
     ]
@@ -229,6 +236,25 @@ def _prefixes(docs: DataFrame, words: int, least: float) -> DataFrame:
     return found
 
 
+def _near_prints(own: DataFrame, radius: int = simhash.RADIUS) -> DataFrame:
+    """Pairs ``a``, ``b`` of nodes, one for each ``a`` at most: whose fingerprints differ in up to ``radius`` bits.
+
+    Nodes of one fingerprint are paired with the first of them, and the first ones of different
+    fingerprints with that of the nearest smaller fingerprint that multi-index hashing finds, so
+    all that are near each other are connected.
+    """
+    nodes = own.select("fp", "node").distinct()
+    heads = materialize(nodes.groupBy("fp").agg(F.min("node").alias("head")), "prints")
+    alike = nodes.join(heads, "fp").where("node != head").select(F.col("node").alias("a"), F.col("head").alias("b"))
+    near = simhash.links(heads, radius)
+    nearest = F.min_by("a", F.struct(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))), "a"))
+    near = near.groupBy("b").agg(nearest.alias("a"))
+    for side in ("a", "b"):
+        of = heads.select(F.col("fp").alias(side), F.col("head").alias(f"head_{side}"))
+        near = near.join(of, side)
+    return alike.unionAll(near.select(F.col("head_b").alias("a"), F.col("head_a").alias("b")))
+
+
 def _meetings(own: DataFrame) -> DataFrame:
     """``s``, ``i``, ``node`` and ``size`` of shingles in the prefixes of different sets."""
     once = own.where(F.size("prefix") > 0).select("node", "size", "prefix").dropDuplicates(["node"])
@@ -343,14 +369,15 @@ def links(docs: DataFrame, own: DataFrame, words: int = WORDS, least: float = LE
     """Pairs ``a``, ``b`` of nodes with a similarity of ``least`` or more: enough of them that
     all such pairs lie in one component.
 
-    ``own`` holds ``key``, ``digest``, ``node``, ``size``, ``bits``, ``wide`` and ``prefix`` of
-    ``docs``. Large
+    ``own`` holds ``key``, ``digest``, ``node``, ``fp``, ``size``, ``bits``, ``wide`` and ``prefix`` of
+    ``docs``. Texts whose fingerprints are near each other are compared first. Of the others, large
     groups are compared with one of their texts first, and every text with one other before it is
     with all; pairs that are connected by then are not looked at again, all others are.
     """
+    found = [_verified(_possible(_near_prints(own), own, least), docs, own, words, least)]
     met = _meetings(own)
-    found, rounds = [], []
-    now, number = met.withColumn("root", F.col("node")), 0
+    now, number = _open(met, found[0]), 0
+    rounds = [now]
     while number < _PIVOTS and _crowded(now):
         pivot = F.min_by(F.struct("node", "size", "i", "root"), F.xxhash64("node", F.lit(number)))
         pivots = now.groupBy("s").agg(pivot.alias("p")).select(

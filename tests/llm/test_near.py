@@ -50,6 +50,22 @@ def test_near_copies_against_brute_force(spark):
     assert len(kept) < by_prints  # fingerprints within 3 bits leave near copies
 
 
+def test_fingerprints_find_near_copies_first(spark, monkeypatch):
+    base = [f"w{i}" for i in range(900)]
+    texts = [" ".join([*base, f"n{i}"]) for i in range(12)] + [" ".join(random.Random(i).sample(base, 300)) for i in range(9)]
+    rows = [(i, t, "en", "a", 0) for i, t in enumerate(texts)]
+    prints = {simhash.text_fingerprint(t, 5) for t in texts}
+    roots = components_by_hand(prints, lambda a, b: ((a ^ b) & (1 << 64) - 1).bit_count() <= 3)
+    own = shingles._prefixes(shingles._keyed(docs(spark, rows)), 5, 0.8)
+    found = [tuple(r) for r in shingles._near_prints(own).select("a", "b").collect()]
+    by_node = {r.node: r.fp for r in own.select("node", "fp").collect()}
+    assert len(found) == len(by_node) - len(set(roots.values())) >= 8
+    assert all(roots[by_node[a]] == roots[by_node[b]] for a, b in found)
+    monkeypatch.setattr(shingles, "_pairs", lambda now, least: now.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0))
+    kept = corpus_pipeline.near_copies(spark, docs(spark, rows), "").collect()
+    assert len(kept) < 21 and {r.doc_id for r in kept} >= {0, *range(12, 21)}
+
+
 def test_near_copies_of_odd_tables(spark):
     assert listed(corpus_pipeline.near_copies(spark, empty(spark), "")) == []
     table = docs(spark, ROWS[:9])
