@@ -42,3 +42,8 @@ def test_filters_reach_the_scan(spark):
 @pytest.mark.parametrize("name", ["extract_ids", "parse_reviews", "status_search"])
 def test_envelopes_are_parsed_once(spark, name):
     assert plan(spark, name).count("parseJson") == 1
+
+
+@pytest.mark.parametrize("name", ["score_rules", "score_rules_default", "benign_rules"])
+def test_rules_do_not_split_texts_into_words(spark, name):
+    assert "arrays_overlap" not in plan(spark, name)
