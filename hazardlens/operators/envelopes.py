@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +34,12 @@ _FALSE = ("null", '""', "0", "0.0", "false")
 def parse_envelope(json: Column) -> Column:
     """Envelope as a VARIANT, so that one odd field leaves the others readable; NULL for no
     text, text that is no JSON and values that count as missing, an empty object among them."""
-    return bound(F.try_parse_json(json), lambda v: F.when(is_given(v), v))
+    return bound(F.try_parse_json(json), lambda v: F.when(_has_codes(v) | is_given(v), v))
+
+
+def _has_codes(value: Column) -> Column:
+    """Whether it is an object with codes, and so not empty, without opening it."""
+    return part(value, "ret").isNotNull()
 
 
 def bound(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -106,7 +112,8 @@ def call_status(envelope: Column) -> Column:
 
 def search_status(envelope: Column) -> Column:
     """Status of a search response, which has no success code: what is not refused is data."""
-    flagged = is_given(part(envelope, "x5step")) | is_given(part(envelope, "rgv587_flag"))
+    flags = [part(envelope, name) for name in ("x5step", "rgv587_flag")]
+    flagged = reduce(lambda a, b: a | b, [flag.isNotNull() & is_given(flag) for flag in flags])
 
     def status(codes: Column) -> Column:
         return (
@@ -153,8 +160,9 @@ def read_search_envelopes(pages: DataFrame) -> DataFrame:
         return ~F.coalesce(product_id, F.lit("")).isin("", "0")
 
     def content(result: Column) -> Column:
-        listed = part(result, "mods.itemList.content", "array<variant>")
-        ids = F.transform(listed, lambda item: part(item, "productId", "string"))
+        # An item of another type is NULL in the list, the others stay.
+        listed = part(result, "mods.itemList.content", "array<struct<productId:string>>")
+        ids = F.transform(listed, lambda item: item["productId"])
         streams = [part(result, p, "string") for p in ("pageInfo.streamId", "streamId")]
         return F.struct(
             F.coalesce(F.filter(ids, is_id), _no_texts()).alias("ids"), first_text(*streams).alias("next_stream")
