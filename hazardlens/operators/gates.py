@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazardlens.operators.ordering import null_safe
+from hazardlens.session import materialize
 
 
 def complete_groups(
@@ -39,8 +40,12 @@ def gated_hazards(
     label: str = "label",
     mode: str = "nulls",
 ) -> DataFrame:
-    """Reviews with label 1 from complete groups; NULL is a group like any other."""
-    complete = complete_groups(reviews, group, label, mode)
+    """Reviews with label 1 from complete groups; NULL is a group like any other.
+
+    The groups are written first. Where they are few, the hazards, whole texts among them, stay
+    in the tasks they are in instead of meeting by group.
+    """
+    complete = materialize(complete_groups(reviews, group, label, mode), "complete")
     hazards = reviews.where(F.col(label) == 1)
     return hazards.alias("l").join(complete.alias("r"), null_safe("l", "r", group), "left_semi")
 

@@ -416,6 +416,21 @@ def test_gate(spark):
         gates.complete_groups(df, mode="other")
 
 
+def test_gate_deals_no_hazards_by_group(spark):
+    """The hazards of one large group stay in the tasks that have them."""
+    conf = {"spark.sql.shuffle.partitions": "40", "spark.sql.autoBroadcastJoinThreshold": "4k"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = spark.range(0, 8000, 1, 8).select("id", F.lit("a").alias("category"), F.lit(1).alias("label"))
+        of_task = gates.gated_hazards(df, mode="coverage").groupBy(F.spark_partition_id()).count()
+        assert sorted(r["count"] for r in of_task.collect()) == [1000] * 8
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_label_state_keeps_gaps(spark):
     data = [("a", None, 1), ("a", 1, 3), ("a", 0, 2), ("b", None, 1), ("b", None, 2)]
     labels = spark.createDataFrame(data, "review_key string, label int, labelled_at int")
