@@ -13,6 +13,7 @@ import re
 import unicodedata
 from array import array
 from collections.abc import Callable
+from weakref import WeakValueDictionary
 
 import numpy as np
 import regex
@@ -163,16 +164,16 @@ def certain_cuts(tokens: dict[bytes, int]) -> np.ndarray:
     return cut
 
 
-_CODECS: dict[int, Codec] = {}
+_CODECS: WeakValueDictionary[str, Codec] = WeakValueDictionary()
 
 
 def _codec(spec: str) -> Codec:
-    """One codec per Python worker and vocabulary."""
-    key = hash(spec)
-    if key not in _CODECS:
-        _CODECS.clear()
-        _CODECS[key] = Codec(spec)
-    return _CODECS[key]
+    """One codec per Python worker and vocabulary, while a task uses it: what the worker does next
+    needs the memory."""
+    codec = _CODECS.get(spec)
+    if codec is None:
+        codec = _CODECS[spec] = Codec(spec)
+    return codec
 
 
 def _loader(df: DataFrame, path: str) -> Callable[[], Codec]:

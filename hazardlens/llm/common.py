@@ -13,6 +13,8 @@ from pyspark.sql.types import StructField, StructType
 SPACES = " \t\n\x0b\x0c\r"
 #: Characters of input that are worked on at a time; bounds memory only.
 CHUNK = 500_000
+#: What of a table goes to Python at a time unless the session says so; bounds memory only.
+SENT, _SENT_KEY = "4m", "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def without(df: DataFrame, names: list[str]) -> DataFrame:
@@ -61,8 +63,12 @@ def add_columns_by_chunk(
     """Like ``add_columns``, with a function from lists of values to one list per field.
 
     It gets rows of about ``chunk`` characters at a time, one row at least, so a task holds
-    one Arrow batch of input and what it makes of a few million characters.
+    one Arrow batch of input and what it makes of a few million characters. The session's Arrow
+    batches hold ``SENT`` bytes from then on, if it has set no size itself: both sides keep whole
+    batches in memory.
     """
+    if _SENT_KEY not in df.sparkSession.conf.getAll:
+        df.sparkSession.conf.set(_SENT_KEY, SENT)
     names = [f.name for f in fields]
     if {n.lower() for n in inputs} & {n.lower() for n in names}:
         raise ValueError("inputs and results must not share names")

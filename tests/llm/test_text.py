@@ -1,5 +1,6 @@
 """Tokens, languages, fingerprints and personal data against brute force."""
 
+import gc
 import hashlib
 import json
 import re
@@ -9,16 +10,31 @@ from itertools import pairwise, product
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField
 from tokenizers import Tokenizer
 
 from hazardlens.llm import bpe, fingerprints, language, mixing, privacy
+from hazardlens.llm.common import add_columns
 from tests.llm.cases import ROWS, docs, empty, listed, order, prose
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
+# --- rows in Python ------------------------------------------------------------
+
+
+def test_rows_reach_python_in_small_batches(spark):
+    """Whole Arrow batches lie in memory, in the JVM and in Python."""
+    table = spark.range(400).select(F.repeat(F.lit("x"), F.lit(50_000)).alias("text")).coalesce(1)
+    told = add_columns(table, ["text"], [StructField("n", LongType())], lambda: lambda text: (len(text),))
+    sizes = told.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"size": [b.nbytes]}) for b in batches), "size long")
+    assert 0 < sizes.agg(F.max("size")).first()[0] < 5_000_000
+    assert told.groupBy("n").count().collect() == [(50_000, 400)]
+
+
 # --- BPE -----------------------------------------------------------------------
 
 HARD = [
@@ -41,6 +57,16 @@ def test_bpe_is_the_librarys(spark):
     assert bpe.digests(empty(spark), VOCABULARY).count() == 0
 
 
+def test_bpe_keeps_no_vocabulary_between_tasks():
+    with open(VOCABULARY, encoding="utf-8") as file:
+        spec = file.read()
+    codec = bpe._codec(spec)
+    assert bpe._codec(spec) is codec
+    del codec
+    gc.collect()
+    assert not bpe._CODECS
+
+
 def test_bpe_replaces_columns_of_its_names_and_keeps_others(spark):
     df = docs(spark, ROWS[:4]).withColumn("IDS", F.lit(1)).withColumn("extra", F.lit("x"))
     again = bpe.decode(bpe.encode(docs(spark, ROWS[:9]), VOCABULARY), VOCABULARY)
