@@ -423,7 +423,8 @@ def test_gate_deals_no_hazards_by_group(spark):
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
-        df = spark.range(0, 8000, 1, 8).select("id", F.lit("a").alias("category"), F.lit(1).alias("label"))
+        hot = F.when(F.col("id") >= 0, "a").alias("category")
+        df = spark.range(0, 8000, 1, 8).select("id", hot, F.lit(1).alias("label"))
         of_task = gates.gated_hazards(df, mode="coverage").groupBy(F.spark_partition_id()).count()
         assert sorted(r["count"] for r in of_task.collect()) == [1000] * 8
     finally:
