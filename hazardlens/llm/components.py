@@ -8,6 +8,15 @@ from pyspark.sql import functions as F
 from hazardlens.session import discard, materialize
 
 
+def _each(rows: DataFrame, *pairs: tuple[str, str]) -> DataFrame:
+    """``a`` and ``b``: the ``pairs`` of columns of each row, one after the other.
+
+    A union of the pairs would hold the plan of ``rows`` once for each, and a round nests several:
+    the driver keeps and compiles all of it.
+    """
+    return rows.select(F.inline(F.array(*[F.struct(F.col(a).alias("a"), F.col(b).alias("b")) for a, b in pairs])))
+
+
 def _smallest(links: DataFrame) -> DataFrame:
     """``links`` (a, b) with the smallest of b and its neighbours among the a as ``m``."""
     best = links.groupBy("b").agg(F.least("b", F.min("a")).alias("m"))
@@ -16,17 +25,13 @@ def _smallest(links: DataFrame) -> DataFrame:
 
 def _outward(links: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is linked to the node's smallest neighbour."""
-    both = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    joined = _smallest(both).where("a > b")
+    joined = _smallest(_each(links, ("a", "b"), ("b", "a"))).where("a > b")
     return joined.select(F.col("m").alias("a"), F.col("a").alias("b")).where("a < b").distinct()
 
 
 def _inward(links: DataFrame) -> DataFrame:
     """Every node and its smaller neighbours are linked to the smallest of them."""
-    joined = _smallest(links)
-    child = joined.select(F.col("m").alias("a"), F.col("a").alias("b"))
-    own = joined.select(F.col("m").alias("a"), "b")
-    return child.unionAll(own).where("a < b").distinct()
+    return _each(_smallest(links), ("m", "a"), ("m", "b")).where("a < b").distinct()
 
 
 def _size(links: DataFrame) -> tuple:

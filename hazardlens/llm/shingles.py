@@ -168,10 +168,11 @@ def _sketch(docs: DataFrame, words: int, least: float, sent, parts: int) -> np.n
     found = told.groupBy("blocks", "part").applyInArrow(lambda _, group: counted(group), schema)
     if parts > 1:
         found = found.groupBy("blocks").applyInArrow(merged, schema)
+    found = materialize(found.select("block", "many"), "sketch")
     out = np.zeros(1 << (_SLOTS - 3), np.uint8).reshape(-1, 1 << 13)
-    for row in found.select("block", "many").toArrow().to_batches():
-        for block, many in zip(row.column("block").to_pylist(), row.column("many").to_pylist(), strict=True):
-            out[block] = np.frombuffer(many, np.uint8)
+    for block, many in found.toLocalIterator():  # the driver holds a part of it at a time beside the result
+        out[block] = np.frombuffer(many, np.uint8)
+    discard(found)
     return out.reshape(-1)
 
 
@@ -232,7 +233,7 @@ def _prefixes(docs: DataFrame, words: int, least: float) -> DataFrame:
     ]
     found = materialize(add_columns(docs, ["text"], fields, make).drop("text"), "prefixes")
     for value in sent:
-        value.unpersist()
+        value.destroy()
     return found
 
 
@@ -330,15 +331,19 @@ def _one_each(pairs: DataFrame, number: int) -> DataFrame:
     return pairs.groupBy("a").agg(F.min_by("b", F.xxhash64("b", F.lit(number))).alias("b"))
 
 
-def _open(met: DataFrame, found: DataFrame) -> DataFrame:
-    """``met`` with the ``root`` of each node by the links ``found``, where roots still differ."""
-    linked = components(found)
+def _grown(linked: DataFrame, found: DataFrame) -> DataFrame:
+    """The components ``linked`` with more links; what is connected already takes no rounds again."""
+    grown = components(linked.select(F.col("root").alias("a"), F.col("node").alias("b")).unionAll(found))
+    discard(linked)
+    return grown
+
+
+def _open(met: DataFrame, linked: DataFrame) -> DataFrame:
+    """``met`` with the ``root`` of each node by the components ``linked``, where roots still differ."""
     roots = linked.withColumnRenamed("root", "r")
     rooted = met.join(roots, "node", "left").withColumn("root", F.coalesce("r", "node")).drop("r")
     shared = rooted.groupBy("s").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    left = materialize(rooted.join(shared.where("low < high").select("s"), "s"), "open")
-    discard(linked)
-    return left
+    return materialize(rooted.join(shared.where("low < high").select("s"), "s"), "open")
 
 
 def _pairs(now: DataFrame, least: float) -> DataFrame:
@@ -375,8 +380,8 @@ def links(docs: DataFrame, own: DataFrame, words: int = WORDS, least: float = LE
     with all; pairs that are connected by then are not looked at again, all others are.
     """
     found = [_verified(_possible(_near_prints(own), own, least), docs, own, words, least)]
-    met = _meetings(own)
-    now, number = _open(met, found[0]), 0
+    met, linked = _meetings(own), components(found[0])
+    now, number = _open(met, linked), 0
     rounds = [now]
     while number < _PIVOTS and _crowded(now):
         pivot = F.min_by(F.struct("node", "size", "i", "root"), F.xxhash64("node", F.lit(number)))
@@ -386,13 +391,14 @@ def links(docs: DataFrame, own: DataFrame, words: int = WORDS, least: float = LE
         pairs = now.join(pivots, "s").where(F.expr("root != root_b") & _can_meet(least))
         pairs = _possible(pairs.select(F.col("node").alias("a"), "b").distinct(), own, least)
         found.append(_verified(_one_each(pairs, number), docs, own, words, least))
-        now, number = _open(met, _together(found)), number + 1
+        linked = _grown(linked, found[-1])
+        now, number = _open(met, linked), number + 1
         rounds.append(now)
     pool = materialize(_possible(_pairs(now, least).distinct(), own, least), "pool")
     discard(met, *rounds)
     first = materialize(_one_each(pool, number), "first")
     found.append(_verified(first, docs, own, words, least))
-    linked = components(_together(found))
+    linked = _grown(linked, found[-1])
     rest = pool.join(first, ["a", "b"], "left_anti")
     for side in ("a", "b"):
         roots = linked.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))

@@ -5,8 +5,9 @@ import re
 
 import corpus_pipeline
 import numpy as np
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from hazardlens.llm import shingles, simhash
+from hazardlens.llm import components, shingles, simhash
 from tests.llm.cases import ROWS, docs, empty, listed, prose
 from tests.llm.test_dedup import components_by_hand
 
@@ -115,3 +116,23 @@ def test_bitmaps_differ_by_no_more_than_the_sets():
         x, y = shingles._odd(a, 512), shingles._odd(b, 512)
         assert int(np.bitwise_count(x ^ y).sum()) <= apart
     assert shingles._unlike(shingles._wide(pool[:3000]), shingles._wide(pool[3000:6000])) > 1500
+
+
+def test_a_round_of_components_reads_its_links_a_few_times(spark):
+    chain = spark.createDataFrame([(i, i + 1) for i in range(0, 40, 2)] + [(i + 1, i) for i in range(1, 20)], "a long, b long")
+    plan = components._inward(components._outward(chain))._jdf.queryExecution().optimizedPlan()
+    assert plan.collectLeaves().size() <= 4  # each scan is a stage whose plan the driver keeps
+    roots = {r.node: r.root for r in components.components(chain).collect()}
+    assert roots == {i: 0 if i <= 21 else i - 1 for i in range(1, 40) if i <= 21 or i % 2}
+
+
+def test_sketch_reaches_the_driver_in_parts(spark, monkeypatch):
+    table = docs(spark, near_rows())
+    order = spark.sparkContext.broadcast((np.zeros(0, np.int64), np.zeros(0, np.int64)))
+    sizes, collect = [], DataFrame.toArrow
+    monkeypatch.setattr(DataFrame, "toArrow", lambda self: sizes.append(1) or collect(self))
+    many = shingles._sketch(table, 5, 0.8, order, 1)
+    assert many.nbytes == 1 << 25 and not sizes  # else all of it is held twice or more
+    held = [shingles._slots(shingles._prefix(shingles.text_shingles(r[1]), *order.value, 0.8)) for r in near_rows()]
+    slots, counts = np.unique(np.concatenate(held), return_counts=True)
+    assert np.array_equal(np.flatnonzero(np.unpackbits(many)), slots[counts > 1])
