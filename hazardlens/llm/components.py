@@ -34,9 +34,12 @@ def _inward(links: DataFrame) -> DataFrame:
     return _each(_smallest(links), ("m", "a"), ("m", "b")).where("a < b").distinct()
 
 
-def _size(links: DataFrame) -> tuple:
-    found = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
-    return tuple(found)
+def _settled(links: DataFrame) -> bool:
+    """Whether each link leads from the smallest node of its component: no node has two smaller
+    neighbours, or a smaller one and a larger one. A further round would change nothing."""
+    ends = F.array(*[F.struct(F.col(n).alias("node"), F.lit(n == "b").cast("int").alias("low")) for n in ("a", "b")])
+    nodes = links.select(F.inline(ends)).groupBy("node").agg(F.sum("low").alias("low"), F.count("*").alias("n"))
+    return nodes.where("low > 0 and n > 1").isEmpty()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -49,10 +52,7 @@ def components(links: DataFrame) -> DataFrame:
     """
     low, high = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
     now = materialize(links.select(low, high).where("a < b").distinct(), "links")
-    size = _size(now)
-    while True:
+    while not _settled(now):
         last, now = now, materialize(_inward(_outward(now)), "links")
-        before, size = size, _size(now)
         discard(last)
-        if size == before:
-            return now.select(F.col("b").alias("node"), F.col("a").alias("root"))
+    return now.select(F.col("b").alias("node"), F.col("a").alias("root"))

@@ -237,6 +237,13 @@ def _prefixes(docs: DataFrame, words: int, least: float) -> DataFrame:
     return found
 
 
+def _nodes(own: DataFrame) -> DataFrame:
+    """One row for each ``node`` of ``own``, with the ``size``, ``bits`` and ``wide`` of its set and the smallest
+    ``key`` and ``digest`` of its texts. Written, since each comparison of pairs joins it."""
+    first = F.min_by(F.struct("size", "bits", "wide", "key", "digest"), F.struct("key", "digest"))
+    return materialize(own.groupBy("node").agg(first.alias("of")).select("node", "of.*"), "nodes")
+
+
 def _near_prints(own: DataFrame, radius: int = simhash.RADIUS) -> DataFrame:
     """Pairs ``a``, ``b`` of nodes, one for each ``a`` at most: whose fingerprints differ in up to ``radius`` bits.
 
@@ -253,7 +260,8 @@ def _near_prints(own: DataFrame, radius: int = simhash.RADIUS) -> DataFrame:
     for side in ("a", "b"):
         of = heads.select(F.col("fp").alias(side), F.col("head").alias(f"head_{side}"))
         near = near.join(of, side)
-    return alike.unionAll(near.select(F.col("head_b").alias("a"), F.col("head_a").alias("b")))
+    near = alike.unionAll(near.select(F.col("head_b").alias("a"), F.col("head_a").alias("b")))
+    return materialize(near, "near")  # the driver plans what compares them without what found them
 
 
 def _meetings(own: DataFrame) -> DataFrame:
@@ -276,16 +284,15 @@ def _can_meet(least: float) -> Column:
     return (F.least("size", "size_b") >= F.greatest("size", "size_b") * least - 1e-9) & (most >= _needed(least))
 
 
-def _possible(pairs: DataFrame, own: DataFrame, least: float) -> DataFrame:
+def _possible(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
     """Those of the pairs ``a``, ``b`` whose bitmaps allow it: a bit differs only if the sets do.
 
     The small bitmaps of all pairs are compared first, then the wide ones of the pairs left.
     """
 
     def beside(asked: DataFrame, column: str) -> DataFrame:
-        bits = own.select("node", "size", column).dropDuplicates(["node"])
         for node, size, name in (("a", "size", "x"), ("b", "size_b", "y")):
-            side = bits.select(F.col("node").alias(node), F.col("size").alias(size), F.col(column).alias(name))
+            side = nodes.select(F.col("node").alias(node), F.col("size").alias(size), F.col(column).alias(name))
             asked = asked.join(side, node)
         return asked
 
@@ -298,16 +305,16 @@ def _possible(pairs: DataFrame, own: DataFrame, least: float) -> DataFrame:
     return read.where(may).select("a", "b")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, own: DataFrame, words: int, least: float) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, least: float) -> DataFrame:
     """Those of the pairs ``a``, ``b`` whose whole sets are similar. The texts of a pair meet, not
     their sets, which are larger."""
     asked = materialize(pairs, "pairs")
+    if asked.isEmpty():
+        return asked
     sides = asked.select("a", "b", F.col("a").alias("node"), F.lit(0).alias("side")).unionAll(
         asked.select("a", "b", F.col("b").alias("node"), F.lit(1).alias("side"))
     )
-    one = own.join(sides.select("node").distinct(), "node", "left_semi")
-    one = one.groupBy("node").agg(F.min(F.struct("key", "digest")).alias("of")).select("node", "of.*")
-    sides = materialize(sides.join(one, "node").drop("node"), "sides")
+    sides = materialize(sides.join(nodes.select("node", "key", "digest"), "node").drop("node"), "sides")
     texts = _keyed(docs).join(sides, ["key", "digest"]).groupBy("a", "b").agg(
         *[F.max(F.when(F.col("side") == i, F.col("text"))).alias(n) for i, n in enumerate(("x", "y"))]
     )
@@ -333,6 +340,8 @@ def _one_each(pairs: DataFrame, number: int) -> DataFrame:
 
 def _grown(linked: DataFrame, found: DataFrame) -> DataFrame:
     """The components ``linked`` with more links; what is connected already takes no rounds again."""
+    if found.isEmpty():
+        return linked
     grown = components(linked.select(F.col("root").alias("a"), F.col("node").alias("b")).unionAll(found))
     discard(linked)
     return grown
@@ -363,24 +372,20 @@ def _crowded(now: DataFrame) -> bool:
     return not now.groupBy("s").count().where(F.col("count") > _CROWD).isEmpty()
 
 
-def _together(tables: list[DataFrame]) -> DataFrame:
-    out = tables[0]
-    for more in tables[1:]:
-        out = out.unionAll(more)
-    return out
-
-
-def links(docs: DataFrame, own: DataFrame, words: int = WORDS, least: float = LEAST) -> DataFrame:
-    """Pairs ``a``, ``b`` of nodes with a similarity of ``least`` or more: enough of them that
-    all such pairs lie in one component.
+def connected(docs: DataFrame, own: DataFrame, words: int = WORDS, least: float = LEAST) -> DataFrame:
+    """``node`` and ``root`` of the components of nodes with a similarity of ``least`` or more, written. A
+    node alone in its component may be left out.
 
     ``own`` holds ``key``, ``digest``, ``node``, ``fp``, ``size``, ``bits``, ``wide`` and ``prefix`` of
     ``docs``. Texts whose fingerprints are near each other are compared first. Of the others, large
     groups are compared with one of their texts first, and every text with one other before it is
     with all; pairs that are connected by then are not looked at again, all others are.
     """
-    found = [_verified(_possible(_near_prints(own), own, least), docs, own, words, least)]
-    met, linked = _meetings(own), components(found[0])
+    nodes = _nodes(own)
+    near = _near_prints(own)
+    linked = components(_verified(_possible(near, nodes, least), docs, nodes, words, least))
+    discard(near)
+    met = _meetings(own)
     now, number = _open(met, linked), 0
     rounds = [now]
     while number < _PIVOTS and _crowded(now):
@@ -389,23 +394,21 @@ def links(docs: DataFrame, own: DataFrame, words: int = WORDS, least: float = LE
             "s", F.col("p.node").alias("b"), F.col("p.size").alias("size_b"), F.col("p.i").alias("i_b"), F.col("p.root").alias("root_b")
         )
         pairs = now.join(pivots, "s").where(F.expr("root != root_b") & _can_meet(least))
-        pairs = _possible(pairs.select(F.col("node").alias("a"), "b").distinct(), own, least)
-        found.append(_verified(_one_each(pairs, number), docs, own, words, least))
-        linked = _grown(linked, found[-1])
+        pairs = _possible(pairs.select(F.col("node").alias("a"), "b").distinct(), nodes, least)
+        linked = _grown(linked, _verified(_one_each(pairs, number), docs, nodes, words, least))
         now, number = _open(met, linked), number + 1
         rounds.append(now)
-    pool = materialize(_possible(_pairs(now, least).distinct(), own, least), "pool")
+    pool = materialize(_possible(_pairs(now, least).distinct(), nodes, least), "pool")
     discard(met, *rounds)
     first = materialize(_one_each(pool, number), "first")
-    found.append(_verified(first, docs, own, words, least))
-    linked = _grown(linked, found[-1])
+    linked = _grown(linked, _verified(first, docs, nodes, words, least))
     rest = pool.join(first, ["a", "b"], "left_anti")
     for side in ("a", "b"):
         roots = linked.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
         rest = rest.join(roots, side, "left").withColumn(f"root_{side}", F.coalesce(f"root_{side}", side))
-    found.append(_verified(rest.where("root_a != root_b").select("a", "b"), docs, own, words, least))
-    discard(pool, first, linked)
-    return _together(found)
+    linked = _grown(linked, _verified(rest.where("root_a != root_b").select("a", "b"), docs, nodes, words, least))
+    discard(nodes, pool, first)
+    return linked
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -424,15 +427,14 @@ def keep_one(docs: DataFrame, words: int = WORDS, least: float = LEAST) -> DataF
     own = _prefixes(_keyed(docs), words, least)
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest", "key")
     nodes = own.groupBy("node").agg(F.min(place).alias("first"))
-    found = links(docs, own, words, least)
-    roots = components(found)
+    roots = connected(docs, own, words, least)
     rooted = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     first = F.struct("first.none", "first.doc_id", "node", "first.digest", "first.key")
     stay = rooted.groupBy("root").agg(F.min(first).alias("first")).select("first.key", "first.digest")
     listed = own.groupBy("key", "digest").agg(F.count("*").alias("n"))
     listed = listed.join(stay.withColumn("stays", F.lit(True)), ["key", "digest"], "left")
     out = materialize(listed.where("stays is null or n > 1"), "out")
-    discard(own, found, roots)
+    discard(own, roots)
     # Few rows go, so the others need not be dealt out to find them; rows that repeat come one by one.
     keyed = packed(docs, F.xxhash64("doc_id").alias("key"), F.xxhash64(whole_text()).alias("digest"))
     kept = keyed.join(out, ["key", "digest"], "left_anti").select("row")

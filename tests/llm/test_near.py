@@ -135,3 +135,34 @@ def test_sketch_reaches_the_driver_in_parts(spark, monkeypatch):
     held = [shingles._slots(shingles._prefix(shingles.text_shingles(r[1]), *order.value, 0.8)) for r in near_rows()]
     slots, counts = np.unique(np.concatenate(held), return_counts=True)
     assert np.array_equal(np.flatnonzero(np.unpackbits(many)), slots[counts > 1])
+
+
+def planned(monkeypatch):
+    """What the plans of written tables hold in all, by label, from now on."""
+    lines = {}
+    for module in (components, shingles, simhash):
+
+        def write(table, label, f=module.materialize):
+            plan = table._jdf.queryExecution().optimizedPlan().toString()
+            lines[label] = lines.get(label, []) + [len(plan.strip().split("\n"))]
+            return f(table, label)
+
+        monkeypatch.setattr(module, "materialize", write)
+    return lines
+
+
+def test_components_that_are_stars_take_no_round(spark, monkeypatch):
+    lines = planned(monkeypatch)
+    star, path = [(1, 2), (3, 1), (1, 1), (4, 9), (9, 4)], [(1, 2), (2, 3)]
+    for pairs, want, rounds in (star, {2: 1, 3: 1, 9: 4}, 0), (path, {2: 1, 3: 1}, 1), ([(1, 3), (2, 3)], {2: 1, 3: 1}, 1), ([], {}, 0):
+        lines.clear()
+        found = components.components(spark.createDataFrame(pairs, "a long, b long")).collect()
+        assert {r.node: r.root for r in found} == want
+        assert len(lines["links"]) == 1 + rounds  # one more before, to see that it changes nothing
+
+
+def test_the_driver_plans_little_for_near_copies(spark, monkeypatch):
+    lines = planned(monkeypatch)
+    corpus_pipeline.near_copies(spark, docs(spark, near_rows()), "")
+    assert max(map(max, lines.values())) <= 60
+    assert sum(map(sum, lines.values())) <= 560
