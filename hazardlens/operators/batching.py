@@ -54,11 +54,10 @@ def batch_prompts(
     batched: DataFrame,
     keys: Sequence[str] = ("category",),
     text: str = "review_text",
-    max_chars: int | None = None,
 ) -> DataFrame:
-    """One row per batch: its reviews as numbered lines, whole unless ``max_chars`` cuts them."""
-    body = F.col(text) if max_chars is None else truncate(F.col(text), max_chars)
-    lines = batched.select(*keys, "batch_id", "idx", numbered_line(F.col("idx"), body).alias("line"))
+    """One row per batch: its reviews as numbered lines, whole."""
+    line = numbered_line(F.col("idx"), F.col(text)).alias("line")
+    lines = batched.select(*keys, "batch_id", "idx", line)
     prompt = F.expr("listagg(line, '\\n') within group (order by idx)")
     return lines.groupBy(*keys, "batch_id").agg(prompt.alias("prompt"))
 

@@ -3,6 +3,7 @@
 import json
 import random
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,6 +11,7 @@ from hazardlens.functions.text import review_key
 from hazardlens.operators import batching, dedup, envelopes, gates, merging, ordering, paging, worklist
 from hazardlens.plans.collect import collect_ids, collect_reviews, collect_tree
 from hazardlens.sources.files import explode_id_lists, explode_query_map
+from registry import ORACLES, QUERIES
 
 
 def rows(df, *columns):
@@ -389,6 +391,20 @@ def test_batches(spark):
     assert prompt == "1. t40\n2. t41\n3. t42\n4. t43\n5. t44"
 
 
+@pytest.mark.parametrize("name", ["batch_prompt", "batch_prompt_whole_texts"])
+def test_prompts_hold_whole_texts(spark, tmp_path, name):
+    """Texts beyond the 300 characters that model calls were once cut to are in the prompt to their end."""
+    long, wide = "a" * 299 + " fire at the end", "\U0001f525" * 301
+    data = [(1, long, "en", "s1"), (2, "short", "en", "s2"), (3, wide, "en", "s3"), (4, None, "en", "s4")]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string, lang string, source string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    want = [("en", 0, f"1. {long}\n2. short\n3. {wide}")]
+    assert rows(QUERIES[name](spark, str(tmp_path)), "category", "batch_id", "prompt") == want
+    db = duckdb.connect()
+    db.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    assert db.sql(ORACLES[name]).fetchall() == want
+
+
 @pytest.mark.parametrize(
     "response, want",
     [
