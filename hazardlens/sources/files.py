@@ -63,7 +63,7 @@ def read_required(spark: SparkSession, path: str, pattern: str, fmt: str, **opti
 
 
 def read_landed(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Landed response pages, one JSON object per line, body as text."""
+    """Landed response pages, one JSON object per line, body as text; compressed files too."""
     return spark.read.schema(schema).json(path)
 
 

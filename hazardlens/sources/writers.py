@@ -71,6 +71,15 @@ def write_hazards_csv(hazards: DataFrame, target: str, label: str = PASS1_LABEL)
     write_reviews_csv(hazards.select(*columns), target)
 
 
+def write_landed(pages: DataFrame, target: str, rows_per_file: int = 100_000) -> None:
+    """Landed response pages as ``read_landed`` reads them, compressed.
+
+    Responses are wide and repeat their frame, so plain text takes many times the disk. A
+    compressed file cannot be split; tasks that read follow the number of files.
+    """
+    pages.write.option("maxRecordsPerFile", rows_per_file).json(target, compression="gzip")
+
+
 def write_id_lists(ids: DataFrame, target: str, rows_per_file: int = 1_000_000) -> None:
     """Id lists as JSON lines with their ``ordinal``, one folder per category slug.
 

@@ -132,7 +132,7 @@ def land_review_pages(spark, sf_dir):
 )
 def land_search_pages(spark, sf_dir):
     path = work_dir(spark, "search_pages")
-    search_pages(spark, sf_dir).write.json(path)
+    writers.write_landed(search_pages(spark, sf_dir), path)
     parsed = envelopes.read_search_envelopes(files.read_search_pages(spark, path))
     return parsed.where(F.col("status") == "DATA").select(
         "subcategory", "page", F.array_join("ids", ",").alias("ids")

@@ -1,7 +1,9 @@
 """Sources, sinks, label passes and streams, end to end in temporary folders."""
 
 import json
+from pathlib import Path
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -17,6 +19,7 @@ from hazardlens.session import discard, materialize, work_dir
 from hazardlens.sources import files, writers
 from hazardlens.streaming.dedup import distinct_stream, stream_distinct_ids
 from hazardlens.streaming.ingest import stream_merge
+from registry import ORACLES, QUERIES
 
 
 def rows(df, *columns):
@@ -56,6 +59,46 @@ def test_optional_and_required(spark, tmp_path):
         files.read_id_lists(spark, str(tmp_path), "nothing_*.json")
 
 
+def landed_search_pages(spark, n):
+    key = F.col("id")
+    body = F.format_string('{"ret":["x"],"data":{"result":{"mods":{"itemList":{"content":[{"productId":%d}]}}}}}', key)
+    return spark.range(0, n, 1, 1).select(
+        F.lit("C").alias("category"), key.cast("string").alias("subcategory"), key.cast("int").alias("sub_ord"),
+        F.lit(1).alias("page"), F.lit(1).alias("attempt"), body.alias("body"),
+    )
+
+
+def test_landed_pages_are_compressed_in_files_of_some_rows(spark, tmp_path):
+    pages = landed_search_pages(spark, 25).union(spark.sql("select 'C', null, null, 2, null, 'two\\nlines \U0001f525'"))
+    writers.write_landed(pages, str(tmp_path / "landed"), rows_per_file=10)
+    names = [p.name for p in (tmp_path / "landed").glob("part-*")]
+    assert len(names) == 4 and all(n.endswith(".json.gz") for n in names)
+    back = files.read_search_pages(spark, str(tmp_path / "landed"))
+    assert sorted(map(repr, back.collect())) == sorted(map(repr, pages.collect()))
+
+
+def test_landing_search_pages_takes_little_disk(spark, tmp_path):
+    """All rows of the SQL, from a folder of landed pages that has a fraction of their text."""
+    n, key = 20_000, F.col("id")
+    lines = spark.range(n).select(
+        F.pmod(F.xxhash64(key, F.lit(1)), n).alias("l_orderkey"), F.pmod(F.xxhash64(key, F.lit(2)), n).alias("l_partkey"),
+        F.pmod(F.xxhash64(key, F.lit(3)), 1000).alias("l_suppkey"), (key % 7 + 1).cast("int").alias("l_linenumber"),
+    )
+    odd = spark.sql("select null, 5L, 20L, 1 union all select 7L, 5L, null, 1 union all select 8L, 10L, 20L, null")
+    lines.union(odd).union(odd).write.parquet(str(tmp_path / "lineitem.parquet"))
+    base = Path(spark.conf.get("spark.checkpoint.dir")) / "hazardlens"
+    before = set(base.glob("search_pages-*"))
+    got = QUERIES["land_search_pages"](spark, str(tmp_path))
+    (landed,) = set(base.glob("search_pages-*")) - before
+    text = spark.read.text(str(landed)).agg(F.sum(F.length("value"))).first()[0]
+    assert sum(p.stat().st_size for p in landed.glob("part-*")) < text / 5
+    db = duckdb.connect()
+    db.execute(f"create view lineitem as select * from '{tmp_path}/lineitem.parquet/*.parquet'")
+    want = db.sql(ORACLES["land_search_pages"]).fetchall()
+    assert len(want) > n / 2
+    assert sorted(map(repr, map(tuple, got.select("subcategory", "page", "ids").collect()))) == sorted(map(repr, want))
+
+
 def test_query_map_file(spark, tmp_path):
     (tmp_path / "map.json").write_text('{"Toys": {"subcategories": {"Cars":\n "toy cars"}}}')
     got = files.read_query_map(spark, str(tmp_path / "map.json"))
